@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark import settings as S
@@ -253,48 +253,43 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
 # --- JSON requests: sixteen kinds of body --------------------------------------------------------
 
 
-def _object(d, skip: str | None = None, replace: tuple[str, str] | None = None, extra: str = "") -> str:
+def _instance() -> Column:
+    """A good instance as JSON text."""
+    hour, user, event = F.hour("ts"), F.col("user_id"), F.col("event_id")
     values = {
-        "pickup_hour": d.text("hour(ts)"), "pickup_dow": d.text("user_id % 7 + 1"), "pickup_month": d.text("month(ts)"),
-        "pickup_is_weekend": d.text("event_id % 2"), "pickup_borough_id": d.text("user_id % 7"),
-        "pickup_zone_id": d.text("user_id % 25"), "pickup_service_zone_id": d.text("user_id % 4"),
-        "dropoff_borough_id": d.text("event_id % 7"), "dropoff_zone_id": d.text("event_id % 25"),
-        "dropoff_service_zone_id": d.text("event_id % 4"), "route_pair_id": d.text("event_id % 4097"),
-        "avg_duration_7d_zone_hour": "concat(" + d.text("event_id % 900") + ", '.5')",
-        "avg_fare_30d_zone": "concat(" + d.text("user_id") + ", '.25')", "trip_count_90d_zone_hour": d.text("event_id % 90"),
+        "pickup_hour": hour, "pickup_dow": user % 7 + 1, "pickup_month": F.month("ts"), "pickup_is_weekend": event % 2,
+        "pickup_borough_id": user % 7, "pickup_zone_id": user % 25, "pickup_service_zone_id": user % 4,
+        "dropoff_borough_id": event % 7, "dropoff_zone_id": event % 25, "dropoff_service_zone_id": event % 4,
+        "route_pair_id": event % 4097, "avg_duration_7d_zone_hour": F.concat((event % 900).cast("string"), F.lit(".5")),
+        "avg_fare_30d_zone": F.concat(user.cast("string"), F.lit(".25")), "trip_count_90d_zone_hour": event % 90,
     }
-    if replace:
-        values[replace[0]] = f"'{replace[1]}'"
-    parts = [f"'\"{k}\":', {v}" for k, v in values.items() if k != skip]
-    return "concat('{', " + ", ',', ".join(parts) + f", '{extra}}}')"
-
-
-def request_exprs(d) -> dict[str, str]:
-    good = _object(d)
-    cases = [
-        f"concat('{{\"instances\":[', {good}, ',', {good}, ']}}')",
-        f"concat('{{\"inputs\":[', {good}, ']}}')",
-        f"concat('[', {good}, ']')",
-        good,
-        "'{\"instances\":[{\"pickup_hour\":1'",
-        "'{\"instances\":[]}'",
-        "'{\"instances\":\"x\"}'",
-        f"concat('[', {good}, ',1]')",
-        f"concat('[', {good}, ',', {_object(d, skip='pickup_month')}, ']')",
-        f"concat('[', {_object(d, extra=',\"zzz\":1,\"aaa\":2')}, ']')",
-        f"concat('[', {_object(d, replace=('pickup_dow', 'null'))}, ']')",
-        f"concat('[', {_object(d, replace=('pickup_dow', 'true'))}, ']')",
-        f"concat('[', {_object(d, replace=('route_pair_id', '\"abc\"'))}, ']')",
-        f"concat('[', {_object(d, replace=('route_pair_id', '\"12.5\"'))}, ']')",
-        "concat('[', repeat('{\"a\":1},', 256), '{\"a\":1}]')",
-        f"concat('[', {_object(d, replace=('pickup_hour', '\"NaN\"'))}, ']')",
-    ]
-    body = "CASE event_id % 16 " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(cases)) + " END"
-    return {"request_id": "event_id", "body": body}
+    return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v.cast("string")) for k, v in values.items()]),
+                    F.lit("}"))
 
 
 def requests(spark: SparkSession, sf: str) -> DataFrame:
-    return spark_select(table(spark, sf, "events"), request_exprs)
+    """One request per event; the body kind is ``event_id % 16``."""
+    good = F.col("good")
+
+    def swap(field: str, value: str) -> Column:
+        return F.regexp_replace(good, rf'"{field}":\d+', f'"{field}":{value}')
+
+    no_month = F.regexp_replace(good, r'"pickup_month":\d+,', "")
+    two_extra = F.concat(F.substring_index(good, "}", 1), F.lit(',"zzz":1,"aaa":2}'))
+    bodies = [
+        ('{"instances":[', good, ",", good, "]}"), ('{"inputs":[', good, "]}"), ("[", good, "]"), (good,),
+        ('{"instances":[{"pickup_hour":1',), ('{"instances":[]}',), ('{"instances":"x"}',), ("[", good, ",1]"),
+        ("[", good, ",", no_month, "]"), ("[", two_extra, "]"), ("[", swap("pickup_dow", "null"), "]"),
+        ("[", swap("pickup_dow", "true"), "]"), ("[", swap("route_pair_id", '"abc"'), "]"),
+        ("[", swap("route_pair_id", '"12.5"'), "]"), ("[", F.repeat(F.lit('{"a":1},'), 256), '{"a":1}]'),
+        ("[", swap("pickup_hour", '"NaN"'), "]"),
+    ]
+    kind = F.col("event_id") % 16
+    body = F.lit(None).cast("string")
+    for i, parts in enumerate(bodies):
+        text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+        body = F.when(kind == i, text).otherwise(body)
+    return table(spark, sf, "events").withColumn("good", _instance()).select(F.col("event_id").alias("request_id"), body.alias("body"))
 
 
 # --- request log: one row per event ---------------------------------------------------------------
@@ -305,7 +300,7 @@ def log_exprs(d) -> dict[str, str]:
         "ts": "ts", "route": "CASE WHEN user_id % 10 = 0 THEN '/healthz' ELSE '/predict' END",
         "method": "CASE WHEN user_id % 10 = 0 THEN 'GET' ELSE 'POST' END",
         "status_code": "CASE event_type WHEN 'error' THEN 422 WHEN 'signup' THEN 500 ELSE 200 END",
-        "latency_ms": "floor(value * 4)", "batch_size": "cast(event_id % 300 AS int)",
+        "latency_ms": "cast(floor(value * 4) AS double)", "batch_size": "cast(event_id % 300 AS int)",
     }
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymark.functions.times import utc_wall
+
 INTEGER = r"^[+-]?\d+$"
 INTEGRAL_DECIMAL = r"^[+-]?\d+\.0*$"
 DECIMAL = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
@@ -23,10 +25,8 @@ def safe_ts(value: Column) -> Column:
     without fractions. Text that names an offset is shifted to UTC.
     """
     raw = _text(value)
-    zoned = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), raw.try_cast("timestamp").cast("timestamp_ntz")
-    )
-    return F.when(raw.rlike(ZONE_SUFFIX), zoned).otherwise(raw.try_cast("timestamp_ntz"))
+    zoned = raw.rlike(ZONE_SUFFIX)
+    return F.when(zoned, utc_wall(F.when(zoned, raw).try_cast("timestamp"))).otherwise(raw.try_cast("timestamp_ntz"))
 
 
 def safe_long(value: Column) -> Column:

@@ -14,6 +14,16 @@ def epoch_micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), ts)
 
 
+def as_instant(ts: Column) -> Column:
+    """UTC wall clock to an instant (``TIMESTAMP``), as watermarks need it."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def utc_wall(instant: Column) -> Column:
+    """An instant back to UTC wall clock, whatever the session time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
+
+
 def epoch_second(ts: Column) -> Column:
     """Whole seconds since 1970, rounded down; independent of the session time zone."""
     micros = epoch_micros(ts)

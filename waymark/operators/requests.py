@@ -21,23 +21,33 @@ EMPTY_TEXT = "Body must contain one or more instances"
 NON_FINITE = r"^[+-]?(inf|infinity|nan)$"
 
 
+def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a one-element ``inline``.
+
+    Spark does not copy generator output into later filters and projections, so
+    the JSON work below runs once per request however often it is used.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``instances`` (array of VARIANT) and ``n_instances``.
+    """Add ``readable``, ``instances`` (array of VARIANT) and ``n_instances``.
 
     Accepts ``{"instances": [...]}``, ``{"inputs": [...]}``, a list or one object.
     ``instances`` is NULL when the body is unreadable or holds no list;
     ``readable`` tells the two apart.
     """
     doc = F.col("_doc")
-    is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    wrapped = F.coalesce(F.try_variant_get(doc, "$.instances", "variant"), F.try_variant_get(doc, "$.inputs", "variant"))
-    chosen = F.when(is_object & wrapped.isNull(), F.array(doc)).otherwise(
-        F.try_variant_get(F.when(is_object, wrapped).otherwise(doc), "$", "array<variant>"))
+    parsed = _computed_once(df, _doc=F.try_parse_json(F.col(body)))
+    parsed = _computed_once(
+        parsed, _object=F.schema_of_variant(doc).startswith("OBJECT"),
+        _wrapped=F.coalesce(F.try_variant_get(doc, "$.instances", "variant"), F.try_variant_get(doc, "$.inputs", "variant")))
+    chosen = F.when(F.col("_object") & F.col("_wrapped").isNull(), F.array(doc)).otherwise(
+        F.try_variant_get(F.when(F.col("_object"), F.col("_wrapped")).otherwise(doc), "$", "array<variant>"))
     return (
-        df.withColumn("_doc", F.try_parse_json(F.col(body)))
-        .withColumns({"readable": doc.isNotNull(), "instances": chosen})
+        _computed_once(parsed, readable=doc.isNotNull(), instances=chosen)
         .withColumn("n_instances", F.coalesce(F.size("instances"), F.lit(0)))
-        .drop("_doc")
+        .drop("_doc", "_object", "_wrapped")
     )
 
 
@@ -48,68 +58,86 @@ def explode_requests(df: DataFrame, body: str = "body", max_instances: int = S.M
     return parsed.select(*others, "n_instances", F.posexplode("instances").alias("row_index", "instance"))
 
 
-def _value_error(fields: Column, name: str, row: Column) -> Column:
-    value = F.get(F.transform(F.array(fields), lambda m: F.try_element_at(m, F.lit(name))), F.lit(0))
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-    text = F.trim(F.try_variant_get(value, "$", "string"))
-    number = F.try_variant_get(value, "$", "double")
-    at = row.cast("string")
+def _first(errors: Column) -> Column:
+    return F.get(F.array_compact(errors), F.lit(0))
+
+
+def _cell(name: Column, value: Column) -> Column:
+    """One feature value as (name, VARIANT kind, text, number)."""
+    return F.struct(
+        name.alias("name"), F.coalesce(F.schema_of_variant(value), F.lit("VOID")).alias("kind"),
+        F.trim(F.try_variant_get(value, "$", "string")).alias("text"),
+        F.try_variant_get(value, "$", "double").alias("number"))
+
+
+def _plain_pattern(features: Sequence[str]) -> str:
+    """Matches the VARIANT schema of an object with exactly these fields, all finite numbers.
+
+    ``DOUBLE`` is left to the full check: a literal such as 1e400 reads as infinity.
+    """
+    number = r"(BIGINT|DECIMAL\(\d+,\d+\))"
+    return "^OBJECT<" + ", ".join(f"{f}: {number}" for f in sorted(features)) + ">$"
+
+
+def _cell_error(cell: Column, row: Column) -> Column:
+    kind, text = cell["kind"], cell["text"]
+    is_text = kind == "STRING"
     is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    numeric = is_number | ((kind == "STRING") & text.rlike(DECIMAL))
-    as_double = F.when(is_number, number).when(kind == "STRING", text.try_cast("double"))
-    finite = F.abs(as_double) < F.lit(float("inf"))
+    as_double = F.when(is_number, cell["number"]).when(text.rlike(DECIMAL), text.try_cast("double"))
+
+    def message(problem: str) -> Column:
+        return F.concat(F.lit("Feature '"), cell["name"], F.lit(f"' {problem} at row "), row.cast("string"))
+
     return (
-        F.when(kind == "VOID", F.concat(F.lit(f"Feature '{name}' is null at row "), at))
-        .when((kind == "STRING") & F.lower(text).rlike(NON_FINITE),
-              F.concat(F.lit(f"Feature '{name}' must be finite at row "), at))
-        .when(~numeric, F.concat(F.lit(f"Feature '{name}' must be numeric at row "), at))
-        .when(~finite, F.concat(F.lit(f"Feature '{name}' must be finite at row "), at))
+        F.when(kind == "VOID", message("is null"))
+        .when(is_text & F.lower(text).rlike(NON_FINITE), message("must be finite"))
+        .when(~(is_number | (is_text & text.rlike(DECIMAL))), message("must be numeric"))
+        .when(~(F.abs(as_double) < F.lit(float("inf"))), message("must be finite"))
     )
 
 
-def _instance_error(instance: Column, row: Column, features: Sequence[str], allow_extra: bool) -> Column:
-    fields = F.try_variant_get(instance, "$", "map<string,variant>")
-    names = F.map_keys(fields)
-    wanted = F.array(*[F.lit(f) for f in features])
-    missing = F.array_except(wanted, names)
+def _row_error(checked: Column, row: Column) -> Column:
     at = row.cast("string")
-    checks = [F.when(F.size(missing) > 0, F.concat(F.lit("Missing required features at row "), at, F.lit(": "),
-                                                   F.array_join(missing, ", ")))]
-    if not allow_extra:
-        extra = F.array_sort(F.array_except(names, wanted))
-        checks.append(F.when(F.size(extra) > 0, F.concat(F.lit("Unexpected features at row "), at, F.lit(": "),
-                                                         F.array_join(extra, ", "))))
-    checks += [_value_error(fields, f, row) for f in features]
-    return F.coalesce(*checks)
+    return F.coalesce(
+        F.when(F.size(checked["missing"]) > 0, F.concat(
+            F.lit("Missing required features at row "), at, F.lit(": "), F.array_join(checked["missing"], ", "))),
+        F.when(F.size(checked["extra"]) > 0, F.concat(
+            F.lit("Unexpected features at row "), at, F.lit(": "), F.array_join(checked["extra"], ", "))),
+        _first(F.transform(checked["cells"], lambda c: _cell_error(c, row))),
+    )
 
 
 def validate_requests(df: DataFrame, features: Sequence[str] = S.FEATURES, body: str = "body",
                       max_instances: int = S.MAX_INSTANCES, allow_extra: bool = False) -> DataFrame:
     """Add ``status_code`` and ``error`` (first failure) to each request."""
     parsed = parse_requests(df, body)
-    not_object = F.transform("instances", lambda x, i: F.when(
-        ~F.schema_of_variant(x).startswith("OBJECT"),
-        F.concat(F.lit("Instance at index "), i.cast("string"), F.lit(" must be an object"))))
-    row_errors = F.transform("instances", lambda x, i: _instance_error(x, i, features, allow_extra))
-
-    def first(errors: Column) -> Column:
-        return F.get(F.array_compact(errors), F.lit(0))
-
-    within = (F.col("n_instances") > 0) & (F.col("n_instances") <= max_instances)
-    error = (
+    wanted = F.array(*[F.lit(f) for f in features])
+    no_names = F.array().cast("array<string>")
+    n = F.col("n_instances")
+    kinds = _computed_once(parsed, _kinds=F.when(n <= max_instances, F.transform("instances", F.schema_of_variant))
+                           .otherwise(F.transform("instances", lambda x: F.substring(F.schema_of_variant(x), 1, 6))))
+    not_object = F.transform("_kinds", lambda k, i: F.when(
+        ~k.startswith("OBJECT"), F.concat(F.lit("Instance at index "), i.cast("string"), F.lit(" must be an object"))))
+    shape_error = (
         F.when(~F.col("readable"), F.lit(BAD_JSON_TEXT))
-        .when(F.col("n_instances") < 1, F.lit(EMPTY_TEXT))
-        .otherwise(F.coalesce(
-            first(not_object),
-            F.when(F.col("n_instances") > max_instances,
-                   F.concat(F.lit("Too many instances: "), F.col("n_instances").cast("string"),
-                            F.lit(f" > {max_instances}"))),
-            F.when(within, first(row_errors)),
-        ))
+        .when(n < 1, F.lit(EMPTY_TEXT))
+        .otherwise(F.coalesce(_first(not_object), F.when(n > max_instances, F.concat(
+            F.lit("Too many instances: "), n.cast("string"), F.lit(f" > {max_instances}")))))
     )
-    checked = parsed.withColumn("error", error)
-    status = (F.when(F.col("error").isNull(), OK).when(~F.col("readable"), BAD_JSON).otherwise(INVALID))
-    return checked.withColumn("status_code", status).drop("readable")
+    shaped = _computed_once(kinds, _shape_error=shape_error)
+    # Only requests that passed the shape checks have their values looked at, and of
+    # those only instances that are not already plain numbers under the right names.
+    suspect = F.transform("instances", lambda x, i: F.when(
+        ~F.get(F.col("_kinds"), i).rlike(_plain_pattern(features)), F.try_variant_get(x, "$", "map<string,variant>")))
+    shaped = _computed_once(shaped, _fields=F.when(F.col("_shape_error").isNull(), suspect))
+    checked = _computed_once(shaped, _checked=F.transform("_fields", lambda m: F.when(m.isNotNull(), F.struct(
+        F.array_except(wanted, F.map_keys(m)).alias("missing"),
+        (no_names if allow_extra else F.array_sort(F.array_except(F.map_keys(m), wanted))).alias("extra"),
+        F.transform(F.transform(wanted, lambda f: F.struct(f.alias("name"), F.try_element_at(m, f).alias("value"))),
+                    lambda c: _cell(c["name"], c["value"])).alias("cells")))))
+    checked = _computed_once(checked, error=F.coalesce("_shape_error", _first(F.transform("_checked", _row_error))))
+    status = F.when(F.col("error").isNull(), OK).when(~F.col("readable"), BAD_JSON).otherwise(INVALID)
+    return checked.withColumn("status_code", status).drop("readable", "_kinds", "_shape_error", "_fields", "_checked")
 
 
 def feature_rows(validated: DataFrame, key: str, features: Sequence[str] = S.FEATURES) -> DataFrame:

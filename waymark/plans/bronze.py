@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from waymark import settings as S
 from waymark.functions.columns import cast_if_present, first_value, require_columns, require_non_empty
 from waymark.functions.parsing import safe_code, safe_double, safe_ts
-from waymark.functions.times import event_date
+from waymark.functions.times import event_date, utc_wall
 from waymark.operators.dedupe import latest_by_key
 from waymark.sources.lake import Lake
 from waymark.sources.readers import land_trips, land_zones
 
 
 def with_lineage(df: DataFrame, *, run_id: str, source_uri: str, revision: str, kind: str, file: str) -> DataFrame:
-    now = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return df.withColumns({
-        "ingestion_ts": now, "run_id": F.lit(run_id), "source_uri": F.lit(source_uri),
+        "ingestion_ts": utc_wall(F.current_timestamp()), "run_id": F.lit(run_id), "source_uri": F.lit(source_uri),
         "source_revision": F.lit(revision), "source_kind": F.lit(kind), "source_file": F.lit(file),
     })
 

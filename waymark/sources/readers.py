@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.columns import normalize_columns, raw_record_json, to_text_schema
+from waymark.functions.times import utc_wall
 from waymark.settings import RAW_TRIP_FIELDS, RAW_ZONE_FIELDS
 
 
@@ -58,8 +59,7 @@ def preview(df: DataFrame, n: int = 2) -> DataFrame:
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and modification time (UTC) of every data file below ``path``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    modified = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz"))
-    return files.select("path", F.col("length").alias("bytes"), modified.alias("modified"))
+    return files.select("path", F.col("length").alias("bytes"), utc_wall(F.col("modificationTime")).alias("modified"))
 
 
 def with_partition(files: DataFrame, root: str) -> DataFrame:

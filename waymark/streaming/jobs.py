@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from waymark.functions.times import as_instant, utc_wall
 from waymark.session import scratch_dir
 
 # Histogram bounds of request latency (ms) and batch size.
@@ -43,7 +44,8 @@ def stream_ingest(source: DataFrame, transform: Callable[[DataFrame], DataFrame]
 def stream_dedupe(source: DataFrame, key: str | Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First arrival per key; state older than the watermark is dropped."""
     keys = [key] if isinstance(key, str) else list(key)
-    return source.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    timed = source.withColumn("_event_time", as_instant(F.col(event_time))).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
 def _bounds(value, bounds: Sequence[int], name: str) -> list:
@@ -59,16 +61,18 @@ def metric_rollup(log: DataFrame, event_time: str = "ts", window: str = EXPORT_W
     Works on a batch and, with a watermark ``delay``, on a stream. The counters are
     combined before the shuffle, so a hot route sends one row per task and window.
     """
-    timed = log.withWatermark(event_time, delay) if delay else log
+    timed = log.withColumn("_event_time", as_instant(F.col(event_time)))
+    timed = timed.withWatermark("_event_time", delay) if delay else timed
     return (
-        timed.groupBy(F.window(event_time, window).alias("w"), "route", "method", "status_code")
+        timed.groupBy(F.window("_event_time", window).alias("w"), "route", "method", "status_code")
         .agg(
             F.count(F.lit(1)).alias("requests"), F.count(F.when(F.col("status_code") >= 400, 1)).alias("errors"),
             F.sum("latency_ms").alias("latency_sum"),
             *_bounds(F.col("latency_ms"), latency_bounds, "latency"),
             F.sum("batch_size").alias("batch_sum"), *_bounds(F.col("batch_size"), batch_bounds, "batch"),
         )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
+        .select(utc_wall(F.col("w.start")).alias("window_start"), utc_wall(F.col("w.end")).alias("window_end"), "*")
+        .drop("w")
     )
 
 
