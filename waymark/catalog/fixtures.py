@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark import settings as S
 from waymark.catalog.registry import SparkDialect, select, spark_select, table
+from waymark.session import spread_small
 
 # --- zones: nations as zones, regions as boroughs -------------------------------------
 
@@ -289,7 +290,7 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
     for i, parts in enumerate(bodies):
         text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
         body = F.when(kind == i, text).otherwise(body)
-    return table(spark, sf, "events").withColumn("good", _instance()).select(F.col("event_id").alias("request_id"), body.alias("body"))
+    return spread_small(table(spark, sf, "events")).withColumn("good", _instance()).select(F.col("event_id").alias("request_id"), body.alias("body"))
 
 
 # --- request log: one row per event ---------------------------------------------------------------

@@ -8,7 +8,7 @@ from waymark import settings as S
 from waymark.catalog import fixtures as X
 from waymark.catalog.registry import SparkDialect, query, table
 from waymark.operators.requests import (explode_requests, failed_requests, feature_rows, parse_requests, quarantine,
-                                        response_rows, slow_requests, validate_requests)
+                                        response_rows, scoring_rows, slow_requests, validate_requests)
 from waymark.operators.scoring import CANDIDATES, fit, score_batches
 from waymark.operators.metrics import label_cap
 from waymark.plans.scoring import score_requests
@@ -93,10 +93,10 @@ def score_batch(spark, sf):
 
         return lambda m: np.log1p(m[:, place].astype("float64") + 1.0)
 
-    rows = feature_rows(validated, "request_id")
-    scored = score_batches(rows, load, ["request_id", "row_index"], 86_400.0).withColumn(
+    keys = ["request_id", "n_instances", "status_code", "error", "row_index"]
+    scored = score_batches(scoring_rows(validated, "request_id"), load, keys, 86_400.0).withColumn(
         "prediction_seconds", F.round("prediction_seconds", 6))
-    return response_rows(scored, validated, "request_id", "m1")
+    return response_rows(scored, "request_id", "m1")
 
 
 @query("score_requests")

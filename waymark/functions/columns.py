@@ -62,6 +62,18 @@ def typed(df: DataFrame, candidates: Sequence[str], build: Callable[[Column], Co
     return F.coalesce(*[build(F.col(c)) for c in found])
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns through a one-element ``inline``.
+
+    Spark copies projected expressions into later filters and projections, but not
+    generator output, so costly parsing runs once per row however often it is used.
+    """
+    fields = F.struct(*[c.alias(f"_once_{n}") for n, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    out = df.select("*", F.inline(F.array(fields)))
+    return out.select(*kept, *[F.col(f"_once_{n}").alias(n) for n in columns])
+
+
 def cast_if_present(df: DataFrame, casts: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items() if c in df.columns})
 

@@ -8,42 +8,36 @@ from pyspark.sql import functions as F
 from waymark.functions.times import utc_wall
 
 INTEGER = r"^[+-]?\d+$"
-INTEGRAL_DECIMAL = r"^[+-]?\d+\.0*$"
+INTEGRAL = r"^[+-]?\d+(\.0*)?$"
 DECIMAL = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 ZONE_SUFFIX = r"\d{1,2}:\d{1,2}.*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?)$"
 
 
-def _text(value: Column) -> Column:
-    raw = F.trim(value.cast("string"))
-    return F.when(raw != "", raw)
-
-
 def safe_ts(value: Column) -> Column:
     """Text to a UTC wall-clock timestamp; blank or unreadable text becomes NULL.
 
     The plain cast reads both the blank- and the ``T``-separated form with or
     without fractions. Text that names an offset is shifted to UTC.
     """
-    raw = _text(value)
+    raw = F.trim(value.cast("string"))
     zoned = raw.rlike(ZONE_SUFFIX)
-    return F.when(zoned, utc_wall(F.when(zoned, raw).try_cast("timestamp"))).otherwise(raw.try_cast("timestamp_ntz"))
+    return F.when(zoned, utc_wall(raw.try_cast("timestamp"))).otherwise(raw.try_cast("timestamp_ntz"))
 
 
 def safe_long(value: Column) -> Column:
-    raw = _text(value)
+    raw = F.trim(value.cast("string"))
     return F.when(raw.rlike(INTEGER), raw.try_cast("bigint"))
 
 
 def safe_code(value: Column) -> Column:
     """Like :func:`safe_long`, but also reads integral decimals such as ``1.0``."""
-    raw = _text(value)
-    whole = F.when(raw.rlike(INTEGRAL_DECIMAL), F.substring_index(raw, ".", 1)).otherwise(raw)
-    return F.when(whole.rlike(INTEGER), whole.try_cast("bigint"))
+    raw = F.trim(value.cast("string"))
+    return F.when(raw.rlike(INTEGRAL), F.substring_index(raw, ".", 1).try_cast("bigint"))
 
 
 def safe_double(value: Column) -> Column:
     """Decimal or scientific notation only: ``NaN``, ``Infinity`` and ``1d`` become NULL."""
-    raw = _text(value)
+    raw = F.trim(value.cast("string"))
     return F.when(raw.rlike(DECIMAL), raw.try_cast("double"))
 
 

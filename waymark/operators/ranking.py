@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_SKETCH_ACCURACY = 10_000
-_SMALL = 50_000
+_SKETCH_ACCURACY = 2_000
+_FEW_VALUES = 100_000  # distinct values per column that may be ranked from value counts
+_FEW_ROWS = 200_000  # values of one bracket that may be sorted in one task
 
 
 def bucket_offsets(df: DataFrame, coarse: Sequence[str], fine: Sequence[str]) -> DataFrame:
@@ -57,84 +58,113 @@ def global_position(df: DataFrame, order: Sequence[Column], coarse: Sequence[str
 
 
 def order_statistics(df: DataFrame, columns: dict[str, Column], ranks: dict[str, Sequence[int]],
-                     sizes: dict[str, int] | None = None) -> dict:
+                     few_values: Sequence[str] = ()) -> dict[tuple[str, int], float]:
     """The values at the given 0-based ranks of each column, NULL and NaN left out.
 
-    A sketch with a guaranteed rank error brackets each rank; one pass counts the
-    rows below and at the bracket ends, and the search goes on strictly between
-    them. Every round shrinks the candidates by a factor of about 2,500, so a
-    trillion rows need three or four scans, and no task ever holds more than
-    ``50,000`` values.
+    Columns in ``few_values`` are ranked from their value counts. For the others a
+    sketch with a guaranteed rank error brackets each rank, one pass counts the rows
+    around the bracket, and the search goes on strictly inside it until few rows are
+    left. Each round shrinks the candidates about 500-fold, so a trillion rows need
+    four rounds, and no task holds more than a bounded number of values.
     """
-    clean = {c: F.when(~F.isnan(v.cast("double")), v.cast("double")) for c, v in columns.items()}
+    names = {c: f"v{i}" for i, c in enumerate(columns)}
+    frame = df.select(*[_number(v).alias(names[c]) for c, v in columns.items()])
     found: dict[tuple[str, int], float] = {}
-    # rank -> (open lower end, open upper end, rows at or below the lower end, rows inside)
-    todo: dict[tuple[str, int], tuple] = {(c, r): (None, None, 0, (sizes or {}).get(c)) for c, rs in ranks.items() for r in rs}
-    frame = df.select(*[v.alias(f"v{i}") for i, v in enumerate(clean.values())])
-    pos = {c: f"v{i}" for i, c in enumerate(clean)}
-
-    def inside(key) -> Column:
-        low, high, _, _ = todo[key]
-        value = F.col(pos[key[0]])
+    few = [c for c in columns if c in few_values and ranks.get(c)]
+    if few:
+        found.update(_from_value_counts(frame, {c: names[c] for c in few}, ranks))
+    # Open bracket (low, high) with the rows at or below low -> the ranks searched in it.
+    todo: dict[tuple, list[int]] = {
+        (c, None, None, 0): sorted(ranks[c]) for c in columns if c not in few and ranks.get(c)}
+    while todo:
+        todo = _narrow(frame, names, todo, found)
+    return found
+
+
+def _number(value: Column) -> Column:
+    as_double = value.cast("double")
+    return F.when(~F.isnan(as_double), as_double)
+
+
+def _from_value_counts(frame: DataFrame, names: dict[str, str], ranks: dict[str, Sequence[int]]) -> dict:
+    counts = (
+        frame.select(*names.values()).unpivot([], list(names.values()), "_column", "_value")
+        .where("_value IS NOT NULL").groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    running = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy("_column").orderBy("_value")))
+    wanted = [(c, r) for c in names for r in ranks[c]]
+    picks = [F.min(F.when((F.col("_column") == names[c]) & (F.col("_upto") > r), F.col("_value"))).alias(f"p{i}")
+             for i, (c, r) in enumerate(wanted)]
+    row = running.agg(*picks).first()
+    return {key: row[f"p{i}"] for i, key in enumerate(wanted)}
+
+
+def _narrow(frame: DataFrame, names: dict[str, str], todo: dict[tuple, list[int]], found: dict) -> dict[tuple, list[int]]:
+    """One round: finish the small brackets, split the others around their ranks."""
+    keys = list(todo)
+
+    def inside(key: tuple) -> Column:
+        column, low, high, _ = key
+        value = F.col(names[column])
         keep = value.isNotNull()
         if low is not None:
-            keep = keep & (value > F.lit(low))
+            keep = keep & (value > low)
         if high is not None:
-            keep = keep & (value < F.lit(high))
+            keep = keep & (value < high)
         return F.when(keep, value)
 
-    while todo:
-        keys = list(todo)
-        if any(todo[k][3] is None for k in keys):
-            row = frame.agg(*[F.count(inside(k)).alias(f"n{i}") for i, k in enumerate(keys)]).first()
-            todo.update({k: (*todo[k][:3], row[f"n{i}"]) for i, k in enumerate(keys)})
-        small = [k for k in keys if todo[k][3] <= _SMALL]
-        brackets = sorted({(k[0], *todo[k][:3]) for k in small}, key=str)
-        if small:
-            at = {(k[0], *todo[k][:3]): k for k in small}
-            lists = frame.agg(*[F.sort_array(F.collect_list(inside(at[b]))).alias(f"l{i}")
-                                for i, b in enumerate(brackets)]).first()
-            for k in small:
-                b = (k[0], *todo[k][:3])
-                found[k] = lists[f"l{brackets.index(b)}"][k[1] - todo[k][2]]
-                del todo[k]
-        keys = list(todo)
-        if not keys:
-            break
-        sketches = []
-        for i, k in enumerate(keys):
-            n, want = todo[k][3], k[1] - todo[k][2]
-            spread = [min(1.0, max(0.0, want / n + d)) for d in (-2 / _SKETCH_ACCURACY, 2 / _SKETCH_ACCURACY)]
-            sketches.append(F.percentile_approx(inside(k), spread, _SKETCH_ACCURACY).alias(f"b{i}"))
-        bounds = frame.agg(*sketches).first()
-        counts = []
-        for i, k in enumerate(keys):
-            low, high = bounds[f"b{i}"]
-            value = inside(k)
-            counts += [F.count(F.when(value < low, 1)).alias(f"lt{i}"), F.count(F.when(value == low, 1)).alias(f"el{i}"),
-                       F.count(F.when((value > low) & (value < high), 1)).alias(f"in{i}"),
-                       F.count(F.when(value == high, 1)).alias(f"eh{i}")]
-        row = frame.agg(*counts).first()
-        for i, k in enumerate(keys):
-            low, high = bounds[f"b{i}"]
-            open_low, open_high, base, _ = todo[k]
-            at_low = base + row[f"lt{i}"]
-            above_low = at_low + row[f"el{i}"]
-            at_high = above_low + row[f"in{i}"]
-            above_high = at_high + (row[f"eh{i}"] if high != low else 0)
-            if at_low <= k[1] < above_low:
-                found[k] = low
-                del todo[k]
-            elif at_high <= k[1] < above_high:
-                found[k] = high
-                del todo[k]
-            elif k[1] < at_low:
-                todo[k] = (open_low, low, base, row[f"lt{i}"])
-            elif k[1] < at_high:
-                todo[k] = (low, high, above_low, row[f"in{i}"])
+    sizes = frame.agg(*[F.count(inside(k)).alias(f"n{i}") for i, k in enumerate(keys)]).first()
+    size = {k: sizes[f"n{i}"] for i, k in enumerate(keys)}
+    small = [k for k in keys if size[k] <= _FEW_ROWS]
+    for k in small:  # one bracket per job keeps the sorted list of each job bounded
+        places = F.array(*[F.lit(r - k[3]) for r in todo[k]])
+        values = F.sort_array(F.collect_list(inside(k)))
+        row = frame.agg(values.alias("_v")).select(F.transform(places, lambda i: F.get("_v", i)).alias("_at")).first()
+        found.update({(k[0], r): v for r, v in zip(todo[k], row["_at"], strict=True)})
+    large = [k for k in keys if size[k] > _FEW_ROWS]
+    if not large:
+        return {}
+    margin = 2 / _SKETCH_ACCURACY
+    # Neighbouring ranks (the two sides of an interpolated quantile) share a bracket.
+    units = [(k, group) for k in large for group in _neighbours(todo[k], margin * size[k])]
+    bounds = frame.agg(*[
+        F.percentile_approx(inside(k), [max(0.0, (group[0] - k[3]) / size[k] - margin),
+                                        min(1.0, (group[-1] - k[3]) / size[k] + margin)], _SKETCH_ACCURACY).alias(f"b{i}")
+        for i, (k, group) in enumerate(units)]).first()
+    counts = []
+    for i, (k, _) in enumerate(units):
+        value, (low, high) = inside(k), bounds[f"b{i}"]
+        for name, test in (("lt", value < low), ("el", value == low), ("in", (value > low) & (value < high)), ("eh", value == high)):
+            counts.append(F.count(F.when(test, 1)).alias(f"{name}{i}"))
+    row = frame.agg(*counts).first()
+    rest: dict[tuple, list[int]] = {}
+    for i, (k, group) in enumerate(units):
+        column, open_low, open_high, base = k
+        low, high = bounds[f"b{i}"]
+        at_low = base + row[f"lt{i}"]
+        above_low = at_low + row[f"el{i}"]
+        at_high = above_low + row[f"in{i}"]
+        above_high = at_high + (row[f"eh{i}"] if high != low else 0)
+        for r in group:
+            if at_low <= r < above_low:
+                found[(column, r)] = low
+            elif at_high <= r < above_high:
+                found[(column, r)] = high
             else:
-                todo[k] = (high, open_high, above_high, None)
-    return found
+                piece = ((column, open_low, low, base) if r < at_low else (column, low, high, above_low) if r < at_high
+                         else (column, high, open_high, above_high))
+                rest.setdefault(piece, []).append(r)
+    return rest
+
+
+def _neighbours(ranks: Sequence[int], reach: float) -> list[list[int]]:
+    groups: list[list[int]] = []
+    for r in sorted(ranks):
+        if groups and r - groups[-1][-1] <= reach:
+            groups[-1].append(r)
+        else:
+            groups.append([r])
+    return groups
 
 
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], fractions: Sequence[float]) -> dict[str, list]:
@@ -142,15 +172,16 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], fractions: Sequen
 
     NULL and NaN are left out; a column without values gives ``None``.
     """
-    clean = {c: F.when(~F.isnan(v.cast("double")), v.cast("double")) for c, v in columns.items()}
-    sizes = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(clean.values())]).first()
-    counts = {c: sizes[f"n{i}"] for i, c in enumerate(clean)}
+    probe = df.agg(*[c for i, v in enumerate(columns.values()) for c in (
+        F.count(_number(v)).alias(f"n{i}"), F.approx_count_distinct(_number(v), 0.05).alias(f"d{i}"))]).first()
+    counts = {c: probe[f"n{i}"] for i, c in enumerate(columns)}
+    few = [c for i, c in enumerate(columns) if probe[f"d{i}"] <= _FEW_VALUES]
     ranks = {}
     for c, n in counts.items():
         if n:
             lows = [int((n - 1) * f) for f in fractions]
             ranks[c] = sorted({r for low in lows for r in (low, min(low + 1, n - 1))})
-    stats = order_statistics(df, {c: columns[c] for c in ranks}, ranks, counts)
+    stats = order_statistics(df, {c: columns[c] for c in ranks}, ranks, few)
     out = {}
     for c, n in counts.items():
         if not n:
@@ -164,8 +195,3 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], fractions: Sequen
             values.append(a + (b - a) * (place - low))
         out[c] = values
     return out
-
-
-def small_quantiles(value: Column, fractions: Sequence[float]) -> Column:
-    """One-pass exact quantiles for data known to hold few distinct values."""
-    return F.percentile(value, [float(f) for f in fractions])

@@ -20,7 +20,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _NULL_SECOND = -(2**60)  # rows without a time see exactly their own peers
@@ -69,73 +68,66 @@ def trailing_features(df: DataFrame, second: Column, specs: Sequence[Trailing],
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in (*keys, "_sec")})
-    cond = F.col("_sec") == F.col("_r__sec")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, cond, "left").drop(*[f"_r_{k}" for k in (*keys, "_sec")])
+    same = " AND ".join(["_sec = _r__sec", *[f"`{k}` <=> `_r_{k}`" for k in keys]])
+    return left.join(renamed, F.expr(same), "left").drop(*[f"_r_{k}" for k in (*keys, "_sec")])
+
+
+def _measures(spec: Trailing) -> dict[str, str]:
+    """The running sums one feature needs, by name."""
+    if spec.agg == "count":
+        return {"n_rows": "count(1)"}
+    sums = {f"s_{spec.value}": f"sum(`{spec.value}`)"}
+    if spec.agg == "avg":
+        sums[f"n_{spec.value}"] = f"count(`{spec.value}`)"
+    return sums
 
 
 def _features_per_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], chunk: int) -> DataFrame:
-    measures: dict[str, Column] = {}
-    for spec in specs:
-        if spec.agg == "count":
-            measures["n_rows"] = F.count(F.lit(1))
-        else:
-            measures[f"s_{spec.value}"] = F.sum(spec.value)
-            if spec.agg == "avg":
-                measures[f"n_{spec.value}"] = F.count(spec.value)
-    spans = sorted({s.seconds // chunk for s in specs})
-
-    grain = df.groupBy(*keys, "_sec").agg(*[m.alias(n) for n, m in measures.items()])
-    offset = F.pmod(F.col("_sec"), F.lit(chunk))
-    grain = grain.withColumns({
-        "_off": offset,
-        "_chunk": F.call_function("div", F.col("_sec") - offset, F.lit(chunk)),
-    })
+    by = ", ".join(f"`{k}`" for k in keys)
+    measures = {name: agg for spec in specs for name, agg in _measures(spec).items()}
+    needed = list(dict.fromkeys((m, spec.seconds // chunk) for spec in specs for m in _measures(spec)))
+    spans = sorted({span for _, span in needed})
+
+    grain = (
+        df.groupBy(*keys, "_sec").agg(*[F.expr(f"{agg} AS `{name}`") for name, agg in measures.items()])
+        .selectExpr("*", f"pmod(_sec, {chunk}) AS _off", f"(_sec - pmod(_sec, {chunk})) div {chunk} AS _chunk")
+    )
 
     # Each summed row also visits the chunks that are one window length later, where
     # it may belong to the tail.
-    spread = grain.withColumn("_lag", F.explode(F.array(*[F.lit(s) for s in (0, *spans)])))
-    spread = spread.withColumn("_chunk", F.col("_chunk") + F.col("_lag"))
-    part = W.partitionBy(*keys, "_chunk")
-    before = part.orderBy("_off").rangeBetween(W.unboundedPreceding, -1)
-    from_here = part.orderBy(F.col("_off").desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
-    parts = {}
-    for m in measures:
-        parts[f"head_{m}"] = F.sum(F.when(F.col("_lag") == 0, F.col(m))).over(before)
-        for s in spans:
-            parts[f"tail_{m}_{s}"] = F.sum(F.when(F.col("_lag") == s, F.col(m))).over(from_here)
-    edges = spread.withColumns(parts).where(F.col("_lag") == 0)
-
-    totals = grain.groupBy(*keys, "_chunk").agg(*[F.sum(m).alias(m) for m in measures])
-    days = W.partitionBy(*keys).orderBy("_chunk")
-    middles = {
-        f"mid_{m}_{s}": F.sum(m).over(days.rangeBetween(-(s - 1), -1)) if s > 1 else F.lit(None)
-        for m in measures for s in spans
-    }
-    totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_chunk").alias("_t_chunk"),
-                           *[c.alias(n) for n, c in middles.items()])
-    cond = F.col("_chunk") == F.col("_t_chunk")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    joined = edges.join(totals, cond, "left")
-
-    def in_frame(measure: str, span: int) -> Column:
-        pieces = [f"head_{measure}", f"mid_{measure}_{span}", f"tail_{measure}_{span}"]
-        framed = sum((F.coalesce(F.col(p), F.lit(0)) for p in pieces[1:]), F.coalesce(F.col(pieces[0]), F.lit(0)))
-        return F.when(F.col("_sec") == _NULL_SECOND, F.col(measure)).otherwise(framed)
-
-    def feature(spec: Trailing) -> Column:
-        span = spec.seconds // chunk
-        if spec.agg == "count":
-            value = in_frame("n_rows", span).cast("double")
-        elif spec.agg == "sum":
-            value = in_frame(f"s_{spec.value}", span).cast("double")
+    lags = ", ".join(str(x) for x in (0, *spans))
+    spread = grain.selectExpr("* EXCEPT (_chunk)", "_chunk AS _own", f"explode(array({lags})) AS _lag").selectExpr(
+        "* EXCEPT (_own)", "_own + _lag AS _chunk")
+    before = f"(PARTITION BY {by}, _chunk ORDER BY _off RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    onwards = f"(PARTITION BY {by}, _chunk ORDER BY _off DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    edges = spread.selectExpr(
+        "*",
+        *[f"sum(CASE WHEN _lag = 0 THEN `{m}` END) OVER {before} AS `head_{m}`" for m in measures],
+        *[f"sum(CASE WHEN _lag = {s} THEN `{m}` END) OVER {onwards} AS `tail_{m}_{s}`" for m, s in needed],
+    ).where("_lag = 0")
+
+    totals = grain.groupBy(*keys, "_chunk").agg(*[F.expr(f"sum(`{m}`) AS `{m}`") for m in measures])
+    middles = totals.selectExpr(
+        *[f"`{k}` AS `_t_{k}`" for k in keys], "_chunk AS _t_chunk",
+        *[f"sum(`{m}`) OVER (PARTITION BY {by} ORDER BY _chunk RANGE BETWEEN {s - 1} PRECEDING AND 1 PRECEDING) AS `mid_{m}_{s}`"
+          for m, s in needed if s > 1],
+    )
+    same = " AND ".join(["_chunk = _t_chunk", *[f"`{k}` <=> `_t_{k}`" for k in keys]])
+    joined = edges.join(middles, F.expr(same), "left")
+
+    def in_frame(m: str, s: int) -> str:
+        parts = [f"head_{m}", f"tail_{m}_{s}"] + ([f"mid_{m}_{s}"] if s > 1 else [])
+        total = " + ".join(f"coalesce(`{p}`, 0)" for p in parts)
+        return f"(CASE WHEN _sec = {_NULL_SECOND} THEN `{m}` ELSE {total} END)"
+
+    def feature(spec: Trailing) -> str:
+        sums = [in_frame(m, spec.seconds // chunk) for m in _measures(spec)]
+        if spec.agg == "avg":
+            value = f"CASE WHEN {sums[1]} > 0 THEN cast({sums[0]} AS double) / {sums[1]} END"
         else:
-            n = in_frame(f"n_{spec.value}", span)
-            value = F.when(n > 0, in_frame(f"s_{spec.value}", span).cast("double") / n)
+            value = f"cast({sums[0]} AS double)"
         if spec.default is not None:
-            value = F.coalesce(value, F.lit(float(spec.default)))
-        return value.alias(spec.name)
+            value = f"coalesce({value}, double('{spec.default}'))"
+        return f"{value} AS `{spec.name}`"
 
-    return joined.select(*keys, "_sec", *[feature(s) for s in specs])
+    return joined.selectExpr(*[f"`{k}`" for k in keys], "_sec", *[feature(s) for s in specs])

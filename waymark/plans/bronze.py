@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark import settings as S
-from waymark.functions.columns import cast_if_present, first_value, require_columns, require_non_empty
+from waymark.functions.columns import cast_if_present, computed_once, first_value, require_columns, require_non_empty
 from waymark.functions.parsing import safe_code, safe_double, safe_ts
 from waymark.functions.times import event_date, utc_wall
 from waymark.operators.dedupe import latest_by_key
@@ -34,7 +34,7 @@ def typed_trips(landed: DataFrame) -> DataFrame:
     }
     columns |= {c: safe_double(F.col(c)) for c in S.AMOUNT_COLUMNS if c in landed.columns}
     columns |= {c: safe_code(F.col(c)) for c in S.CODE_COLUMNS if c in landed.columns}
-    typed = cast_if_present(landed.withColumns(columns), {"store_and_fwd_flag": "string"})
+    typed = cast_if_present(computed_once(landed, columns), {"store_and_fwd_flag": "string"})
     dated = typed.withColumn("event_date", event_date(F.col("pickup_ts"), F.col("dropoff_ts")))
     return require_columns(dated.where(F.col("event_date").isNotNull()),
                            ("trip_distance", "fare_amount", "total_amount"), "bronze trips")

@@ -6,13 +6,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from waymark import settings as S
-from waymark.operators.requests import feature_rows, response_rows, validate_requests
+from waymark.operators.requests import response_rows, scoring_rows, validate_requests
 from waymark.operators.scoring import score
+from waymark.session import spread_small
 
 
 def score_requests(requests: DataFrame, model: PipelineModel, cap: float, model_version: str, key: str = "request_id",
                    body: str = "body", max_instances: int = S.MAX_INSTANCES) -> DataFrame:
     """One response per request: predictions in instance order, or the first error."""
-    validated = validate_requests(requests, body=body, max_instances=max_instances)
-    scored = score(feature_rows(validated, key), model, cap)
-    return response_rows(scored, validated, key, model_version)
+    validated = validate_requests(spread_small(requests), body=body, max_instances=max_instances)
+    return response_rows(score(scoring_rows(validated, key), model, cap), key, model_version)

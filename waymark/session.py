@@ -57,3 +57,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """Mark ``df`` for broadcast only after counting that it is small enough."""
     rows = df.select(F.lit(1)).limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+    """Use every core for costly per-row work on a small input.
+
+    A small file is a single scan task. Only when the plan statistics promise at
+    most ``max_bytes`` are the rows redistributed; a large input already has more
+    splits than cores and is left alone.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
