@@ -10,8 +10,19 @@ from pyspark.sql import functions as F
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
+def epoch_second(ts: Column) -> Column:
+    """Whole seconds since 1970, rounded down.
+
+    Read off the wall-clock parts: ``timestampdiff`` would go through the session
+    time zone and shift the hour that daylight saving skips.
+    """
+    days = F.unix_date(F.to_date(ts)).cast("bigint")
+    return days * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
+
+
 def epoch_micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), ts)
+    fraction = F.pmod((F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"), F.lit(1_000_000))
+    return epoch_second(ts) * 1_000_000 + fraction
 
 
 def as_instant(ts: Column) -> Column:
@@ -24,12 +35,6 @@ def utc_wall(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
 
 
-def epoch_second(ts: Column) -> Column:
-    """Whole seconds since 1970, rounded down; independent of the session time zone."""
-    micros = epoch_micros(ts)
-    return F.call_function("div", micros - F.pmod(micros, F.lit(1_000_000)), F.lit(1_000_000))
-
-
 def duration_seconds(start: Column, end: Column) -> Column:
     return epoch_second(end) - epoch_second(start)
 
