@@ -17,7 +17,7 @@ from waymark.operators.lookups import attach_zone_roles, fixed_code, join_covera
 from waymark.operators.trailing import Trailing, trailing_features
 from waymark.plans.bronze import to_bronze
 from waymark.plans.elt import run_elt
-from waymark.plans.gold import HISTORY_FEATURES, training_matrix, usable_label
+from waymark.plans.gold import HISTORY_FEATURES, service_zone_values, training_matrix, usable_label
 from waymark.plans.silver import canonical_trips
 from waymark.session import scratch_dir
 from waymark.sources.lake import Lake
@@ -307,10 +307,8 @@ FROM w WHERE label >= {min_label}"""
 
 @query("frozen_matrix", _matrix_sql(X.SILVER))
 def frozen_matrix(spark, sf):
-    from waymark.plans.gold import SERVICE_ZONE_COLUMNS
-
     silver = X.silver(spark, sf)
-    out = training_matrix(silver, sorted_codes(silver, SERVICE_ZONE_COLUMNS))
+    out = training_matrix(silver, service_zone_values(silver))
     return cold_start_to_null(out, "avg_duration_7d_zone_hour", "avg_fare_30d_zone")
 
 

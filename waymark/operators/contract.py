@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark import settings as S
+from waymark.functions.columns import computed_once
 from waymark.functions.hashing import canonical_json, canonical_json_text, schema_hash
 
 # The published feature table (name, role, dtype, nullable, unit, missing policy).
@@ -171,12 +172,14 @@ def contract_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
         a, b = F.col(c), F.col(f"_old_{c}")
         if c in S.STABLE_JSON_FIELDS:
             ja, jb = canonical_json_text(a), canonical_json_text(b)
-            return ja.isNull() | jb.isNull() | (ja != jb)
+            return F.when(a == b, F.try_parse_json(a).isNull()).otherwise(
+                ~F.coalesce(ja == jb, F.lit(False)))
         return ~a.eqNullSafe(b)
 
     fields = F.array_compact(F.array(*[
         F.when(differs(c), F.lit(c)) for c in (*S.STABLE_TEXT_FIELDS, *S.STABLE_JSON_FIELDS)]))
-    return pairs.select("run_id", "feature_version", F.explode(fields).alias("field"))
+    found = computed_once(pairs, {"fields": fields})
+    return found.select("run_id", "feature_version", F.explode("fields").alias("field"))
 
 
 _SPEC_DDL = "struct<output_columns: array<struct<name: string, role: string, dtype: string, nullable: boolean, missing_policy: string>>>"

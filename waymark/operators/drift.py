@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark import settings as S
-from waymark.operators.ranking import exact_quantiles
+from waymark.operators.ranking import exact_quantiles, sql_double
 
 FLOOR = 1e-4
 DECILES = [i / 10 for i in range(1, 10)]
@@ -22,14 +21,13 @@ def decile_edges(reference: DataFrame, columns: Sequence[str]) -> dict[str, list
 
 
 def _bins(df: DataFrame, categorical: Sequence[str], edges: dict[str, list[float]], side: str) -> DataFrame:
-    binned = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias(c) for c in categorical]
+    binned = [f"coalesce(cast(`{c}` AS string), '<null>') AS `{c}`" for c in categorical]
     for c, cuts in edges.items():
-        value = F.col(c).cast("double")
-        place = reduce(lambda a, b: a + b, [(value > F.lit(e)).cast("int") for e in cuts], F.lit(0))
-        binned.append(F.when(value.isNull() | F.isnan(value), F.lit(None)).otherwise(place.cast("string")).alias(c))
+        place = " + ".join(["0", *[f"cast(`{c}` > {sql_double(e)} AS int)" for e in cuts]])
+        binned.append(f"CASE WHEN NOT isnan(`{c}`) THEN cast({place} AS string) END AS `{c}`")
     columns = [*categorical, *edges]
     return (
-        df.select(*binned).unpivot([], columns, "column_name", "bin")
+        df.selectExpr(*binned).unpivot([], columns, "column_name", "bin")
         .groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias(side))
     )
 

@@ -57,13 +57,16 @@ def fixed_code(value: Column, codes: dict[str, int], unknown: int = 0) -> Column
     return F.coalesce(F.try_element_at(table, norm_text(value)), F.lit(unknown)).cast("int")
 
 
+def category_values(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ("", "unknown")) -> DataFrame:
+    """Distinct normalised values over ``columns``, in one scan."""
+    values = df.select(F.explode(F.array(*[norm_text(F.col(c)) for c in columns])).alias("value"))
+    return values.where(~F.col("value").isin(*exclude)).distinct()
+
+
 def sorted_codes(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ("", "unknown")) -> DataFrame:
     """Distinct normalised values over ``columns``, numbered 1..n in sorted order."""
-    both = df.select(norm_text(F.col(columns[0])).alias("value"))
-    for c in columns[1:]:
-        both = both.unionByName(df.select(norm_text(F.col(c)).alias("value")))
-    values = both.where(~F.col("value").isin(*exclude)).distinct()
-    values = values.withColumns({"_first": F.substring("value", 1, 1), "_third": F.substring("value", 1, 3)})
+    values = category_values(df, columns, exclude).withColumns(
+        {"_first": F.substring("value", 1, 1), "_third": F.substring("value", 1, 3)})
     return (
         global_position(values, [F.col("value")], ["_first"], ["_third"])
         .select("value", (F.col("position") + 1).cast("int").alias("code"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.parsing import clip
 from waymark.operators.ranking import exact_quantiles
+from waymark.session import materialize
 from waymark.settings import LABEL_CAP_QUANTILE
 
 
@@ -37,8 +38,13 @@ def error_columns(actual: Column, predicted: Column, suffix: str) -> list[Column
 
 
 def error_metrics(df: DataFrame, actual: str, predicted: str, cap: float) -> DataFrame:
-    """MAE, RMSE and median absolute error against raw and capped labels, in one row."""
-    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+    """MAE, RMSE and median absolute error against raw and capped labels, in one row.
+
+    The pairs are stored first: the median needs several passes, and predictions
+    are costly to compute again.
+    """
+    df = materialize(df.select(F.col(actual).cast("double").alias("y"), F.col(predicted).cast("double").alias("p")), "errors")
+    y, p = F.col("y"), F.col("p")
     capped = clip(y, 0.0, float(cap))
     medians = exact_quantiles(df, {"raw": F.abs(p - y), "capped": F.abs(p - capped)}, [0.5])
     if medians["raw"][0] is None:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from waymark.session import several_passes
+
 _SKETCH_ACCURACY = 2_000
 _FEW_VALUES = 100_000  # distinct values per column that may be ranked from value counts
 _FEW_ROWS = 200_000  # values of one bracket that may be sorted in one task
@@ -93,50 +95,59 @@ def _from_value_counts(frame: DataFrame, names: dict[str, str], ranks: dict[str,
     )
     running = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy("_column").orderBy("_value")))
     wanted = [(c, r) for c in names for r in ranks[c]]
-    picks = [F.min(F.when((F.col("_column") == names[c]) & (F.col("_upto") > r), F.col("_value"))).alias(f"p{i}")
-             for i, (c, r) in enumerate(wanted)]
-    row = running.agg(*picks).first()
+    row = running.selectExpr(*[
+        f"min(CASE WHEN _column = '{names[c]}' AND _upto > {r} THEN _value END) AS p{i}" for i, (c, r) in enumerate(wanted)]).first()
     return {key: row[f"p{i}"] for i, key in enumerate(wanted)}
 
 
+def sql_double(value: float) -> str:
+    """A double literal that keeps every bit."""
+    return f"double('{value!r}')"
+
+
 def _narrow(frame: DataFrame, names: dict[str, str], todo: dict[tuple, list[int]], found: dict) -> dict[tuple, list[int]]:
     """One round: finish the small brackets, split the others around their ranks."""
     keys = list(todo)
 
-    def inside(key: tuple) -> Column:
+    def inside(key: tuple) -> str:
         column, low, high, _ = key
-        value = F.col(names[column])
-        keep = value.isNotNull()
+        value = names[column]
+        tests = [f"{value} IS NOT NULL"]
         if low is not None:
-            keep = keep & (value > low)
+            tests.append(f"{value} > {sql_double(low)}")
         if high is not None:
-            keep = keep & (value < high)
-        return F.when(keep, value)
+            tests.append(f"{value} < {sql_double(high)}")
+        return f"(CASE WHEN {' AND '.join(tests)} THEN {value} END)"
 
-    sizes = frame.agg(*[F.count(inside(k)).alias(f"n{i}") for i, k in enumerate(keys)]).first()
+    sizes = frame.selectExpr(*[f"count({inside(k)}) AS n{i}" for i, k in enumerate(keys)]).first()
     size = {k: sizes[f"n{i}"] for i, k in enumerate(keys)}
-    small = [k for k in keys if size[k] <= _FEW_ROWS]
-    for k in small:  # one bracket per job keeps the sorted list of each job bounded
-        places = F.array(*[F.lit(r - k[3]) for r in todo[k]])
-        values = F.sort_array(F.collect_list(inside(k)))
-        row = frame.agg(values.alias("_v")).select(F.transform(places, lambda i: F.get("_v", i)).alias("_at")).first()
-        found.update({(k[0], r): v for r, v in zip(todo[k], row["_at"], strict=True)})
+    # Small brackets are sorted whole, as many per job as stay within the row limit.
+    batch, held = [], 0
+    for k in sorted((k for k in keys if size[k] <= _FEW_ROWS), key=lambda k: size[k]):
+        if batch and held + size[k] > _FEW_ROWS:
+            _read_ranks(frame, inside, batch, todo, found)
+            batch, held = [], 0
+        batch.append(k)
+        held += size[k]
+    if batch:
+        _read_ranks(frame, inside, batch, todo, found)
     large = [k for k in keys if size[k] > _FEW_ROWS]
     if not large:
         return {}
     margin = 2 / _SKETCH_ACCURACY
     # Neighbouring ranks (the two sides of an interpolated quantile) share a bracket.
     units = [(k, group) for k in large for group in _neighbours(todo[k], margin * size[k])]
-    bounds = frame.agg(*[
-        F.percentile_approx(inside(k), [max(0.0, (group[0] - k[3]) / size[k] - margin),
-                                        min(1.0, (group[-1] - k[3]) / size[k] + margin)], _SKETCH_ACCURACY).alias(f"b{i}")
-        for i, (k, group) in enumerate(units)]).first()
+    sketches = []
+    for i, (k, group) in enumerate(units):
+        shares = (max(0.0, (group[0] - k[3]) / size[k] - margin), min(1.0, (group[-1] - k[3]) / size[k] + margin))
+        sketches.append(f"percentile_approx({inside(k)}, array({', '.join(map(sql_double, shares))}), {_SKETCH_ACCURACY}) AS b{i}")
+    bounds = frame.selectExpr(*sketches).first()
     counts = []
     for i, (k, _) in enumerate(units):
-        value, (low, high) = inside(k), bounds[f"b{i}"]
-        for name, test in (("lt", value < low), ("el", value == low), ("in", (value > low) & (value < high)), ("eh", value == high)):
-            counts.append(F.count(F.when(test, 1)).alias(f"{name}{i}"))
-    row = frame.agg(*counts).first()
+        value, (low, high) = inside(k), map(sql_double, bounds[f"b{i}"])
+        counts += [f"count_if({value} < {low}) AS lt{i}", f"count_if({value} = {low}) AS el{i}",
+                   f"count_if({value} > {low} AND {value} < {high}) AS in{i}", f"count_if({value} = {high}) AS eh{i}"]
+    row = frame.selectExpr(*counts).first()
     rest: dict[tuple, list[int]] = {}
     for i, (k, group) in enumerate(units):
         column, open_low, open_high, base = k
@@ -157,6 +168,15 @@ def _narrow(frame: DataFrame, names: dict[str, str], todo: dict[tuple, list[int]
     return rest
 
 
+def _read_ranks(frame: DataFrame, inside, batch: list[tuple], todo: dict, found: dict) -> None:
+    lists = frame.selectExpr(*[f"sort_array(collect_list({inside(k)})) AS l{i}" for i, k in enumerate(batch)])
+    row = lists.selectExpr(*[
+        f"transform(array({', '.join(str(r - k[3]) for r in todo[k])}), i -> get(l{i}, cast(i AS int))) AS a{i}"
+        for i, k in enumerate(batch)]).first()
+    for i, k in enumerate(batch):
+        found.update({(k[0], r): v for r, v in zip(todo[k], row[f"a{i}"], strict=True)})
+
+
 def _neighbours(ranks: Sequence[int], reach: float) -> list[list[int]]:
     groups: list[list[int]] = []
     for r in sorted(ranks):
@@ -172,8 +192,14 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], fractions: Sequen
 
     NULL and NaN are left out; a column without values gives ``None``.
     """
+    slim = df.select(*[_number(v).alias(f"q{i}") for i, v in enumerate(columns.values())])
+    with several_passes(slim) as frame:
+        return _quantiles(frame, {c: F.col(f"q{i}") for i, c in enumerate(columns)}, fractions)
+
+
+def _quantiles(df: DataFrame, columns: dict[str, Column], fractions: Sequence[float]) -> dict[str, list]:
     probe = df.agg(*[c for i, v in enumerate(columns.values()) for c in (
-        F.count(_number(v)).alias(f"n{i}"), F.approx_count_distinct(_number(v), 0.05).alias(f"d{i}"))]).first()
+        F.count(v).alias(f"n{i}"), F.approx_count_distinct(v, 0.05).alias(f"d{i}"))]).first()
     counts = {c: probe[f"n{i}"] for i, c in enumerate(columns)}
     few = [c for i, c in enumerate(columns) if probe[f"d{i}"] <= _FEW_VALUES]
     ranks = {}

@@ -98,8 +98,10 @@ def _features_per_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Tra
     lags = ", ".join(str(x) for x in (0, *spans))
     spread = grain.selectExpr("* EXCEPT (_chunk)", "_chunk AS _own", f"explode(array({lags})) AS _lag").selectExpr(
         "* EXCEPT (_own)", "_own + _lag AS _chunk")
-    before = f"(PARTITION BY {by}, _chunk ORDER BY _off RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    onwards = f"(PARTITION BY {by}, _chunk ORDER BY _off DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    # One own row (_lag 0) per offset; visiting rows of the same offset sort before it in
+    # the descending order, so plain ROWS frames are exact.
+    before = f"(PARTITION BY {by}, _chunk ORDER BY _off, _lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    onwards = f"(PARTITION BY {by}, _chunk ORDER BY _off DESC, _lag DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     edges = spread.selectExpr(
         "*",
         *[f"sum(CASE WHEN _lag = 0 THEN `{m}` END) OVER {before} AS `head_{m}`" for m in measures],

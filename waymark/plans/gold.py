@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark import settings as S
-from waymark.functions.columns import present, require_columns, require_non_empty
+from waymark.functions.columns import present, qualify, require_columns, require_non_empty
 from waymark.functions.hashing import route_bucket
 from waymark.functions.times import calendar_parts, epoch_second
 from waymark.operators.contract import build_contract, contract_conflicts, pin_snapshot
 from waymark.operators.gates import matrix_gate, require_clean
-from waymark.operators.lookups import attach_codes, fixed_code, sorted_codes
+from waymark.operators.lookups import attach_codes, category_values, fixed_code
 from waymark.operators.trailing import Trailing, trailing_features
-from waymark.functions.columns import qualify
 from waymark.session import materialize
 from waymark.sources.lake import Lake
 
@@ -28,7 +27,8 @@ HISTORY_FEATURES = (
     Trailing("trip_count_90d_zone_hour", ("pickup_zone_id", "pickup_hour"), 90 * S.DAY, "count", None, 0.0),
 )
 SERVICE_ZONE_COLUMNS = ("pickup_service_zone", "dropoff_service_zone")
-MAX_SERVICE_ZONES = 1_000
+MAX_SERVICE_ZONES = 100_000  # what one contract row can reasonably list
+MAP_CODES = 1_000  # up to here codes are a literal map, beyond it a join
 
 
 def filter_run(df: DataFrame, run_id: str) -> DataFrame:
@@ -67,29 +67,30 @@ def usable_label(min_label: float = S.MIN_LABEL_SECONDS, max_label: float = S.MA
 
 
 def service_zone_values(silver: DataFrame) -> list[str]:
-    """The sorted service zones; they are listed in the contract, so they must be few."""
-    rows = sorted_codes(silver, SERVICE_ZONE_COLUMNS).orderBy("code").limit(MAX_SERVICE_ZONES + 1).collect()
+    """The sorted service zones; they are all listed in the contract row."""
+    rows = category_values(silver, SERVICE_ZONE_COLUMNS).limit(MAX_SERVICE_ZONES + 1).collect()
     if len(rows) > MAX_SERVICE_ZONES:
-        raise ValueError(f"more than {MAX_SERVICE_ZONES} service zones: this column is not a category")
-    return [r["value"] for r in rows]
+        raise ValueError(f"more than {MAX_SERVICE_ZONES} service zones cannot be listed in a contract")
+    return sorted(r["value"] for r in rows)
 
 
-def training_matrix(silver: DataFrame, service_zones: Sequence[str] | DataFrame, min_label: float = S.MIN_LABEL_SECONDS,
+def training_matrix(silver: DataFrame, service_zones: Sequence[str], min_label: float = S.MIN_LABEL_SECONDS,
                     max_label: float = S.MAX_LABEL_SECONDS) -> DataFrame:
-    """The 21-column matrix of one run.
+    """The 21-column matrix of one run, given the sorted service zones.
 
-    ``service_zones`` is the sorted value list, or a (value, code) table. History is
-    computed before the label filter: rows without a usable label still count as
-    history of later rows.
+    History is computed before the label filter: rows without a usable label still
+    count as history of later rows.
     """
     base = with_route(point_in_time_base(silver)).withColumns({
         f"{role}_borough_id": fixed_code(F.col(f"{role}_borough"), S.BOROUGH_CODES) for role in ("pickup", "dropoff")})
     targets = {c: f"{c}_id" for c in SERVICE_ZONE_COLUMNS}
-    if isinstance(service_zones, DataFrame):
-        base = attach_codes(base, service_zones, targets)
-    else:
+    if len(service_zones) <= MAP_CODES:
         codes = {"unknown": 0} | {v: i for i, v in enumerate(service_zones, 1)}
         base = base.withColumns({t: fixed_code(F.col(c), codes) for c, t in targets.items()})
+    else:
+        table = silver.sparkSession.createDataFrame(list(zip(service_zones, range(1, len(service_zones) + 1))),
+                                                    "value string, code int")
+        base = attach_codes(base, table, targets)
     return with_history(base).where(usable_label(min_label, max_label)).select(*S.MATRIX_COLUMNS)
 
 

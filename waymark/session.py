@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Above this many rows a lookup side is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 200_000
+# Inputs up to this size may be redistributed or kept in memory for repeated scans.
+SMALL_BYTES = 1 << 30
 
 
 def build_session(app: str = "waymark", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,14 +63,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= max_rows else df
 
 
-def spread_small(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+def _plan_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Use every core for costly per-row work on a small input.
 
     A small file is a single scan task. Only when the plan statistics promise at
     most ``max_bytes`` are the rows redistributed; a large input already has more
     splits than cores and is left alone.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) > max_bytes:
+    if _plan_bytes(df) > max_bytes:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def several_passes(df: DataFrame, max_bytes: int = SMALL_BYTES) -> Iterator[DataFrame]:
+    """``df`` for an algorithm that scans it repeatedly: kept in memory only when small.
+
+    A large frame is scanned again each time, with its columns pruned; callers with
+    an expensive plan store it with :func:`materialize` first.
+    """
+    if _plan_bytes(df) > max_bytes:
+        yield df
+        return
+    kept = spread_small(df, max_bytes).persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
