@@ -56,9 +56,16 @@ def fraction_cutoff(df: DataFrame, keep: float, column: str = "as_of_date") -> D
 
 
 def split_by_fraction(df: DataFrame, keep: float, column: str = "as_of_date") -> tuple[DataFrame, DataFrame]:
-    """Left: dates up to the cutoff; right: later dates. The cutoff is a scalar subquery."""
-    cutoff = fraction_cutoff(df, keep, column)
-    return (df.where(F.col(column) <= cutoff.scalar()), df.where(F.col(column) > cutoff.scalar()))
+    """Left: dates up to the cutoff; right: later dates.
+
+    The cutoff is fetched as one date, so both sides are plain filters that prune
+    partitions and nested splits do not pile up subqueries.
+    """
+    cutoff = fraction_cutoff(df, keep, column).first()["cutoff_date"]
+    if cutoff is None:
+        raise ValueError("a date split needs at least two dates")
+    day = F.lit(str(cutoff)).cast("date")
+    return df.where(F.col(column) <= day), df.where(F.col(column) > day)
 
 
 def even_sample(df: DataFrame, order: Sequence[Column], m: int, coarse: Sequence[str], fine: Sequence[str]) -> DataFrame:

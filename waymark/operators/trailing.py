@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _NULL_SECOND = -(2**60)  # rows without a time see exactly their own peers
 
@@ -43,10 +44,12 @@ def trailing_features(df: DataFrame, second: Column, specs: Sequence[Trailing],
     for spec in specs:
         if spec.seconds % chunk_seconds or spec.seconds <= 0:
             raise ValueError(f"{spec.name}: {spec.seconds} s is not a multiple of {chunk_seconds} s")
-    timed = df.withColumn("_sec", F.coalesce(second, F.lit(_NULL_SECOND)))
+    plain = {k: _plain_key(df, k) for spec in specs for k in spec.keys}
+    timed = df.select("*", F.coalesce(second, F.lit(_NULL_SECOND)).alias("_sec"),
+                      *[F.expr(f"{e} AS `{name}`") for parts in plain.values() for name, e in parts.items()])
     by_keys: dict[tuple[str, ...], list[Trailing]] = {}
     for spec in specs:
-        by_keys.setdefault(spec.keys, []).append(spec)
+        by_keys.setdefault(tuple(name for k in spec.keys for name in plain[k]), []).append(spec)
     tables = sorted(
         ((keys, _features_per_second(timed, keys, group, chunk_seconds)) for keys, group in by_keys.items()),
         key=lambda kt: -len(kt[0]),
@@ -57,19 +60,27 @@ def trailing_features(df: DataFrame, second: Column, specs: Sequence[Trailing],
     left = []
     for keys, table in tables[1:]:
         if set(keys) <= set(widest):
-            feature_table = _join_on(feature_table, table, keys)
+            feature_table = feature_table.join(table, ["_sec", *keys], "left")
         else:
             left.append((keys, table))
-    out = _join_on(timed, feature_table, widest)
+    out = timed.join(feature_table, ["_sec", *widest], "left")
     for keys, table in left:
-        out = _join_on(out, table, keys)
-    return out.drop("_sec")
+        out = out.join(table, ["_sec", *keys], "left")
+    return out.select(*df.columns, *[spec.name for spec in specs])
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in (*keys, "_sec")})
-    same = " AND ".join(["_sec = _r__sec", *[f"`{k}` <=> `_r_{k}`" for k in keys]])
-    return left.join(renamed, F.expr(same), "left").drop(*[f"_r_{k}" for k in (*keys, "_sec")])
+def _plain_key(df: DataFrame, key: str) -> dict[str, str]:
+    """The key as columns that are never NULL.
+
+    Plain equality then treats NULL keys as one group and lets windows and joins
+    share one partitioning.
+    """
+    kind = df.schema[key].dataType
+    value = f"`{key}`" if isinstance(kind, T.NumericType | T.StringType) else f"cast(`{key}` AS string)"
+    if not df.schema[key].nullable:
+        return {f"_k_{key}": value}
+    blank = "0" if isinstance(kind, T.NumericType) else "''"
+    return {f"_k_{key}": f"coalesce({value}, {blank})", f"_z_{key}": f"`{key}` IS NULL"}
 
 
 def _measures(spec: Trailing) -> dict[str, str]:
@@ -110,12 +121,11 @@ def _features_per_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Tra
 
     totals = grain.groupBy(*keys, "_chunk").agg(*[F.expr(f"sum(`{m}`) AS `{m}`") for m in measures])
     middles = totals.selectExpr(
-        *[f"`{k}` AS `_t_{k}`" for k in keys], "_chunk AS _t_chunk",
+        *[f"`{k}`" for k in keys], "_chunk",
         *[f"sum(`{m}`) OVER (PARTITION BY {by} ORDER BY _chunk RANGE BETWEEN {s - 1} PRECEDING AND 1 PRECEDING) AS `mid_{m}_{s}`"
           for m, s in needed if s > 1],
     )
-    same = " AND ".join(["_chunk = _t_chunk", *[f"`{k}` <=> `_t_{k}`" for k in keys]])
-    joined = edges.join(middles, F.expr(same), "left")
+    joined = edges.join(middles, [*keys, "_chunk"], "left")
 
     def in_frame(m: str, s: int) -> str:
         parts = [f"head_{m}", f"tail_{m}_{s}"] + ([f"mid_{m}_{s}"] if s > 1 else [])
