@@ -10,6 +10,7 @@ from waymark.catalog.registry import query, table
 from waymark.operators.profile import (partition_counts, profile_categorical, profile_dates, profile_label, profile_nulls,
                                        profile_numeric, summarize_int_list, truncate_columns)
 from waymark.session import scratch_dir
+from waymark.sources.lake import Lake
 from waymark.sources.readers import (cap_rows, describe_metadata, latest_by_time, list_files, read_columns,
                                      read_first_files, read_skipping_corrupt)
 
@@ -143,3 +144,11 @@ def skip_corrupt_scan(spark, sf):
 @query("row_cap", "SELECT least(count(*), 5000) AS n_rows FROM events")
 def row_cap(spark, sf):
     return cap_rows(table(spark, sf, "events"), 5000).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("table_copy", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def table_copy(spark, sf):
+    """A Parquet file loaded under a warehouse table name and read back."""
+    lake = Lake(spark, scratch_dir(spark, "lake"))
+    lake.copy(f"{sf}/customer.parquet", "bronze.customer", "run-1", ("c_mktsegment",))
+    return lake.read("bronze.customer", ["c_custkey", "c_name", "c_mktsegment"])

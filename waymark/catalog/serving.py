@@ -13,8 +13,8 @@ from waymark.operators.scoring import CANDIDATES, fit, score_batches
 from waymark.operators.metrics import label_cap
 from waymark.plans.scoring import score_requests
 from waymark.session import scratch_dir
-from waymark.streaming.jobs import (BATCH_BOUNDS, LATENCY_BOUNDS, drain, in_flight, metric_rollup, read_files, stream_dedupe,
-                                    stream_ingest)
+from waymark.streaming.jobs import (BATCH_BOUNDS, LATENCY_BOUNDS, drain, in_flight, metric_rollup, read_files, stream_canonical,
+                                    stream_dedupe, stream_ingest)
 
 KIND = "event_id % 16"
 _ERRORS = {
@@ -182,3 +182,17 @@ def ingested_stream(spark, sf):
     return spark.read.parquet(f"{base}/table").select("event_id", "event_date", "cents")
 
 
+@query("stream_canonical", f"""
+SELECT pickup_ts, dropoff_ts, pickup_location_id, dropoff_location_id, pickup_borough, dropoff_service_zone,
+  trip_duration_seconds, fare_amount FROM ({X.SILVER}) s WHERE trip_duration_seconds > 0""")
+def canonical_stream(spark, sf):
+    """Events as bronze rows, each arriving twice, through the streaming canonical job."""
+    bronze = _event_stream(spark, sf).selectExpr(*[f"{e} AS {a}" for a, e in X.event_trip_exprs(SparkDialect).items()]).select(
+        "pickup_ts", "dropoff_ts", F.col("pickup_zone_id").cast("bigint").alias("pickup_location_id"),
+        F.col("dropoff_zone_id").cast("bigint").alias("dropoff_location_id"), F.col("event_id").alias("vendor_id"),
+        F.lit(1.0).alias("trip_distance"), "fare_amount", F.col("fare_amount").alias("total_amount"),
+        *[F.lit("x").alias(c) for c in S.LINEAGE_COLUMNS if c != "ingestion_ts"], F.col("pickup_ts").alias("ingestion_ts"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("_copy"))
+    out = drain(stream_canonical(bronze.drop("_copy"), X.zones(spark, sf), "run-1"), "canonical")
+    return out.select("pickup_ts", "dropoff_ts", "pickup_location_id", "dropoff_location_id", "pickup_borough",
+                      "dropoff_service_zone", "trip_duration_seconds", "fare_amount")

@@ -67,17 +67,25 @@ def enrich(trips: DataFrame) -> DataFrame:
     )
 
 
+def valid_trips(trips: DataFrame) -> DataFrame:
+    """Typed, enriched trips that pass the validity rules; stateless."""
+    return enrich(trip_schema(trips)).where(valid_trip())
+
+
+def with_zones(trips: DataFrame, zones: DataFrame, run_id: str) -> DataFrame:
+    """The 41 canonical columns of already unique trips."""
+    joined = attach_zone_roles(trips, zone_schema(zones))
+    return joined.withColumnRenamed("run_id", "bronze_run_id").withColumn("silver_run_id", F.lit(run_id)).select(
+        *S.CANONICAL_COLUMNS)
+
+
 def canonical_trips(trips: DataFrame, zones: DataFrame, run_id: str) -> DataFrame:
     """The 41-column canonical table.
 
     Bad rows go first, then duplicates, and only the survivors meet the zone
     lookup: fewer columns travel through the one shuffle.
     """
-    base = enrich(trip_schema(trips)).where(valid_trip())
-    unique = dedupe_latest(base, "trip_id", S.DEDUPE_ORDER)
-    joined = attach_zone_roles(unique, zone_schema(zones))
-    return joined.withColumnRenamed("run_id", "bronze_run_id").withColumn("silver_run_id", F.lit(run_id)).select(
-        *S.CANONICAL_COLUMNS)
+    return with_zones(dedupe_latest(valid_trips(trips), "trip_id", S.DEDUPE_ORDER), zones, run_id)
 
 
 def build_silver(lake: Lake, run_id: str) -> dict:

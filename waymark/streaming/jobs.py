@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from waymark.functions.times import as_instant, utc_wall
+from waymark.plans.silver import valid_trips, with_zones
 from waymark.session import scratch_dir
 
 # Histogram bounds of request latency (ms) and batch size.
@@ -48,6 +49,16 @@ def stream_dedupe(source: DataFrame, key: str | Sequence[str], event_time: str,
     return timed.dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
+def stream_canonical(trips: DataFrame, zones: DataFrame, run_id: str, delay: str = "1 hour") -> DataFrame:
+    """Canonical trips from a stream of bronze rows: validity, one row per trip, zones.
+
+    Zones are a static table joined to each micro-batch. Duplicates are recognised
+    within ``delay`` of pickup time.
+    """
+    unique = stream_dedupe(valid_trips(trips), "trip_id", "pickup_ts", delay)
+    return with_zones(unique, zones, run_id)
+
+
 def _bounds(value, bounds: Sequence[int], name: str) -> list:
     """Cumulative histogram counts: values up to each bound, and all values."""
     return [F.count(F.when(value <= b, 1)).alias(f"{name}_le_{b}") for b in bounds] + [
