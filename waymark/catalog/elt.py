@@ -200,15 +200,15 @@ def duplicate_orders(spark, sf):
 
 
 @query("join_coverage", f"""
-WITH z AS (SELECT location_id FROM ({X.ZONES}) WHERE location_id % 5 <> 0),
+WITH z AS (SELECT location_id FROM ({X.ZONES}) WHERE borough IS NOT NULL),
 k AS (SELECT 'pickup_location_id' AS key_column, pickup_location_id AS v FROM ({X.LINE_TRIPS}) a
   UNION ALL SELECT 'dropoff_location_id', dropoff_location_id FROM ({X.LINE_TRIPS}) b)
 SELECT key_column, count(*) AS n_rows, count(*) FILTER (v IS NULL) AS null_keys,
   count(*) FILTER (v IS NOT NULL AND location_id IS NULL) AS unmatched
 FROM k LEFT JOIN z ON v = location_id GROUP BY 1""")
 def line_join_coverage(spark, sf):
-    some = X.zones(spark, sf).where(F.col("location_id") % 5 != 0)
-    return join_coverage(X.line_trips(spark, sf), some, ["pickup_location_id", "dropoff_location_id"])
+    named = X.zones(spark, sf).where(F.col("borough").isNotNull())
+    return join_coverage(X.line_trips(spark, sf), named, ["pickup_location_id", "dropoff_location_id"])
 
 
 # --- codes ----------------------------------------------------------------------------------------

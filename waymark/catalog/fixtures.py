@@ -240,7 +240,7 @@ def file_exprs(d) -> dict[str, str]:
     return {
         "path": f"concat('s3://bucket/gold/m/as_of_date=', {day}, '/part-', {d.text('o_orderkey')}, '.parquet')",
         "partition": f"concat('as_of_date=', {day})", "as_of_date": "cast(o_orderdate AS date)",
-        "bytes": "cast(floor(o_totalprice) AS bigint) * 1000", "modified": "o_orderdate",
+        "bytes": "cast(floor(o_totalprice) AS bigint) * 1000", "modified": "o_orderdate", "status": "o_orderstatus",
     }
 
 

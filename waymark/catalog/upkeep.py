@@ -26,16 +26,13 @@ def snapshot_expiry_plan(spark, sf):
     return plan.select("table_id", "snapshot_id", "made_current_at")
 
 
-_LIVE = X.FILES + " WHERE o_orderkey % 3 = 0"
-
-
 @query("orphan_files", f"""
-SELECT path FROM ({X.FILES}) f WHERE modified < TIMESTAMP '2000-01-01' AND path NOT IN (SELECT path FROM ({_LIVE}) g)""")
+SELECT path FROM ({X.FILES}) f WHERE modified < TIMESTAMP '2000-01-01'
+  AND path NOT IN (SELECT path FROM ({X.FILES}) g WHERE status = 'F')""")
 def orphans(spark, sf):
     """Files the live list does not name; the list spells paths with another scheme."""
     listing = X.files(spark, sf)
-    key = F.regexp_extract("path", r"/part-(\d+)\.", 1).cast("bigint")
-    live = listing.where(key % 3 == 0).select(F.replace("path", F.lit("s3://bucket"), F.lit("s3a://other")).alias("path"))
+    live = listing.where(F.col("status") == "F").select(F.replace("path", F.lit("s3://bucket"), F.lit("s3a://other")).alias("path"))
     return orphan_files(listing, live, "2000-01-01 00:00:00").select("path")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from waymark.operators.ranking import bucket_offsets, global_position
+from waymark.session import BROADCAST_ROWS
 from waymark.settings import INNER_KEEP_FRACTION, SEARCH_KEEP_FRACTION, TEST_START_DATE
 
 
@@ -71,15 +72,17 @@ def split_by_fraction(df: DataFrame, keep: float, column: str = "as_of_date") ->
 def even_sample(df: DataFrame, order: Sequence[Column], m: int, coarse: Sequence[str], fine: Sequence[str]) -> DataFrame:
     """``m`` evenly spaced rows of the ordered frame: positions ``int(i * (n-1)/(m-1))``.
 
-    Only buckets that hold a wanted position are ranked; the others are dropped
-    before the shuffle of rows. With ``n <= m`` every row is kept.
+    Only buckets that hold a wanted position are ranked. There are at most ``m`` of
+    them, so for a usual ``m`` they are broadcast and all other rows are dropped
+    before the shuffle. With ``n <= m`` every row is kept.
     """
     if m < 1:
         raise ValueError("m must be at least 1")
     offsets = bucket_offsets(df, coarse, fine)
     total, start = F.col("_total"), F.col("_offset")
     wanted = _first_wanted_at_or_after(start, total, m) < start + F.col("_size")
-    ranked = global_position(df, order, coarse, fine, offsets.where(wanted))
+    buckets = offsets.where(wanted)
+    ranked = global_position(df, order, coarse, fine, F.broadcast(buckets) if m <= BROADCAST_ROWS else buckets)
     position = F.col("position")
     return ranked.where(_first_wanted_at_or_after(position, total, m) == position).drop("position", "_total")
 
