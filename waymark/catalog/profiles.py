@@ -123,7 +123,7 @@ def latest_file(spark, sf):
     return latest_by_time(list_files(spark, sf))
 
 
-@query("bounded_files", "SELECT count(*) AS n_rows, sum(o_orderkey) AS key_sum FROM orders")
+@query("bounded_files", "SELECT count(*) AS n_rows, cast(sum(o_orderkey) AS bigint) AS key_sum FROM orders")
 def bounded_files(spark, sf):
     """A copy of orders read back file by file, up to more files than it has."""
     path = scratch_dir(spark, "orders")

@@ -294,7 +294,7 @@ def parity(spark, sf):
     return out.withColumn("max_abs_gap", F.round("max_abs_gap", 6))
 
 
-@query("training_frame", f"SELECT sum(pickup_zone_id) AS zones, sum(cast({L} AS double)) AS label_sum, count(*) AS n_rows FROM ({X.MATRIX}) m")
+@query("training_frame", f"SELECT cast(sum(pickup_zone_id) AS bigint) AS zones, sum(cast({L} AS double)) AS label_sum, count(*) AS n_rows FROM ({X.MATRIX}) m")
 def training_frames(spark, sf):
     return training_frame(X.matrix(spark, sf)).agg(
         F.sum("pickup_zone_id").alias("zones"), F.sum(F.col(L).cast("double")).alias("label_sum"), F.count(F.lit(1)).alias("n_rows"))

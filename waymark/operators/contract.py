@@ -42,6 +42,7 @@ _HASH = {"hash_algorithm": "sha256", "hash_salt": S.ROUTE_SALT, "bucket_count":
 def feature_spec(service_zones: Sequence[str]) -> list[dict]:
     names = ("name", "role", "dtype", "nullable", "unit", "missing_policy")
     rows = [dict(zip(names, r, strict=True)) for r in _FEATURE_TABLE]
+    # Published category domains.
     domains = {
         "borough_id": list(range(7)),
         "service_zone_id": list(range(len(service_zones) + 1)),
@@ -61,6 +62,7 @@ def feature_spec(service_zones: Sequence[str]) -> list[dict]:
 
 
 def encoding_spec(service_zones: Sequence[str]) -> dict:
+    # Published texts of the encoding description.
     spec = {}
     for role in ("pickup", "dropoff"):
         spec[f"{role}_borough_id"] = {"type": "fixed_enum", "unknown": 0, "values": dict(S.BOROUGH_NAMES)}
@@ -89,6 +91,7 @@ def aggregate_spec(source_table: str) -> list[dict]:
 
 
 def label_spec(source_table: str) -> dict:
+    # Published label description.
     return {"name": S.LABEL, "dtype": "float64", "unit": "seconds", "source_table": source_table,
             "source_column": "trip_duration_seconds", "null_policy": "drop_row_if_null", "primary_metric": "mae",
             "secondary_metric": "rmse", "target_family": "eta"}
