@@ -237,3 +237,20 @@ def test_bronze_prefers_first_readable_candidate(spark):
     got = sorted((r.pickup_ts, r.pickup_location_id, r.event_date, r.source_file) for r in out.collect())
     assert got == [(datetime(2024, 1, 1, 10), 1, date(2024, 1, 1), "u"), (datetime(2024, 2, 2), 9, date(2024, 2, 2), "u")]
     assert json.loads(out.where("pickup_location_id = 9").first().raw_record_json)["tpep_pickup_datetime"] == "x"
+
+
+def test_instants_are_read_as_utc(spark):
+    raw = spark.sql("SELECT timestamp_seconds(1710037800) AS tpep_pickup_datetime, '1' AS PULocationID, '1' AS trip_distance, "
+                    "'1' AS fare_amount, '1' AS total_amount")
+    assert to_bronze(raw, "r", "u", "1").first().pickup_ts == datetime(2024, 3, 10, 2, 30)
+
+
+def test_stream_bronze(spark):
+    from waymark.streaming.jobs import read_files, stream_ingest
+
+    base = scratch_dir(spark, "stream-bronze")
+    raw_trips(spark, 40).coalesce(3).write.parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    stream_ingest(read_files(spark, f"{base}/in", schema, max_files=1), lambda b: to_bronze(b, "r1", "u@1", "1").drop("run_id"),
+                  f"{base}/out", "r1", f"{base}/state").awaitTermination()
+    assert spark.read.parquet(f"{base}/out").count() == 43

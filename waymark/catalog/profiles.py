@@ -8,7 +8,8 @@ from waymark import settings as S
 from waymark.catalog import fixtures as X
 from waymark.catalog.registry import query, table
 from waymark.operators.profile import (partition_counts, profile_categorical, profile_dates, profile_label, profile_nulls,
-                                       profile_numeric, summarize_int_list, truncate_columns)
+                                       profile_numeric, summarize_int_list, summarize_map, summarize_text_list,
+                                       truncate_columns)
 from waymark.session import scratch_dir
 from waymark.sources.lake import Lake
 from waymark.sources.readers import (cap_rows, describe_metadata, latest_by_time, list_files, read_columns,
@@ -71,9 +72,9 @@ def truncated(spark, sf):
 
 @query("int_list_preview", """
 SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN
-    CASE WHEN p_size = 0 THEN '[]' WHEN p_size <= 12 THEN '[' || array_to_string(range(1, p_size + 1), ', ') || ']'
+    CASE WHEN p_size = 0 THEN '[]' WHEN p_size <= 10 THEN '[' || array_to_string(range(1, p_size + 1), ', ') || ']'
     ELSE 'int_range(1..' || p_size || ') [len=' || p_size || ']' END
-  ELSE CASE WHEN p_size <= 12 THEN '[' || array_to_string(list_transform(range(1, p_size + 1), lambda x: x * 3), ', ') || ']'
+  ELSE CASE WHEN p_size <= 10 THEN '[' || array_to_string(list_transform(range(1, p_size + 1), lambda x: x * 3), ', ') || ']'
     ELSE '[3, 6, 9, 12, 15, ..., ' || (p_size - 2) * 3 || ', ' || (p_size - 1) * 3 || ', ' || p_size * 3 || '] [len=' || p_size || ']' END
   END AS preview FROM part""")
 def int_lists(spark, sf):
@@ -83,6 +84,24 @@ def int_lists(spark, sf):
     return part.select("p_partkey", summarize_int_list(values).alias("preview"))
 
 
+@query("nested_preview", """
+WITH p AS (SELECT p_partkey, range(1, p_size + 1) AS r, p_size, p_type, chr(39) AS q FROM part)
+SELECT p_partkey,
+  '{ ' || array_to_string(list_concat(list_transform(r[1:12], lambda x: 'k' || x || '=' || p_type),
+    CASE WHEN p_size > 12 THEN ['... +' || (p_size - 12) || ' more'] ELSE [] END), ', ') || ' }' AS map_preview,
+  CASE WHEN p_size <= 10 THEN '[' || array_to_string(list_transform(r, lambda x: q || 'k' || x || q), ', ') || ']'
+    ELSE '[' || array_to_string(list_transform(r[1:5], lambda x: q || 'k' || x || q), ', ') || ', ..., '
+      || array_to_string(list_transform(r[p_size - 2:p_size], lambda x: q || 'k' || x || q), ', ') || '] [len=' || p_size || ']'
+  END AS list_preview
+FROM p""")
+def nested(spark, sf):
+    part = table(spark, sf, "part")
+    keys = F.transform(F.sequence(F.lit(1), "p_size"), lambda x: F.concat(F.lit("k"), x.cast("string")))
+    filled = part.withColumn("keys", F.when(F.col("p_size") > 0, keys).otherwise(F.array().cast("array<string>")))
+    pairs = F.map_from_arrays("keys", F.transform("keys", lambda k: F.col("p_type")))
+    return filled.select("p_partkey", summarize_map(pairs).alias("map_preview"), summarize_text_list(F.col("keys")).alias("list_preview"))
+
+
 @query("metadata_summary", """
 SELECT c_custkey, 2 AS format_version, 'u' || c_custkey AS table_uuid, cast(c_custkey * 10 AS bigint) AS current_snapshot_id,
   'id long,seg' || c_nationkey || ' string' AS columns, 'as_of_date' AS partition_fields,

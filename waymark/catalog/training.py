@@ -17,6 +17,8 @@ from waymark.operators.scoring import CANDIDATES, fit, score, search
 from waymark.operators.splits import (category_levels, encode_by_join, encode_level, even_sample, fraction_cutoff,
                                       level_table, nested_split, rows_per_date, split_by_date, split_by_fraction)
 
+from waymark.plans.training import SAMPLE_COARSE, SAMPLE_FINE, SAMPLE_ORDER, sample_keys
+
 L = S.LABEL
 TEST_START = "2024-01-24"
 
@@ -183,9 +185,8 @@ def sample_orders(spark, sf):
 
 
 def _nested(spark, sf):
-    m = X.matrix(spark, sf).select("trip_id", "as_of_ts", "as_of_date").withColumns({
-        "_second": F.date_trunc("second", F.col("as_of_ts").cast("timestamp_ntz")), "_head": F.substring("trip_id", 1, 2)})
-    return nested_split(m, 500, [F.col("as_of_ts"), F.col("trip_id")], ["as_of_date"], ["_second", "_head"], TEST_START)
+    m = sample_keys(X.matrix(spark, sf).select("trip_id", "as_of_ts", "as_of_date"))
+    return nested_split(m, 500, [F.col(c) for c in SAMPLE_ORDER], SAMPLE_COARSE, SAMPLE_FINE, TEST_START)
 
 
 _TRAIN = f"SELECT trip_id, as_of_ts, as_of_date FROM ({X.MATRIX}) m WHERE as_of_date < DATE '{TEST_START}'"
@@ -311,8 +312,6 @@ def gbt_candidates(spark, sf):
 
 
 def _training_parts(spark, sf):
-    from waymark.plans.training import SAMPLE_COARSE, SAMPLE_FINE, SAMPLE_ORDER, sample_keys
-
     matrix = sample_keys(X.matrix(spark, sf))
     return nested_split(matrix, 5_000, [F.col(c) for c in SAMPLE_ORDER], SAMPLE_COARSE, SAMPLE_FINE, TEST_START)
 

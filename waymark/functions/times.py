@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -35,6 +36,11 @@ def utc_wall(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
 
 
+def instants_to_utc_wall(df: DataFrame) -> DataFrame:
+    """Turn every ``TIMESTAMP`` column into UTC wall clock, so that no later cast uses the session zone."""
+    return df.withColumns({f.name: utc_wall(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.TimestampType)})
+
+
 def duration_seconds(start: Column, end: Column) -> Column:
     return epoch_second(end) - epoch_second(start)
 

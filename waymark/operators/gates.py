@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waymark import settings as S
 from waymark.functions.columns import column_diff
 from waymark.functions.parsing import is_bad_number, is_infinite
+from waymark.functions.times import instants_to_utc_wall
 
 Rules = dict[str, Column]
 
@@ -167,4 +168,5 @@ def coerce_matrix(df: DataFrame) -> DataFrame:
              "schema_version": "string", "feature_version": "string"}
     types.update({c: "bigint" for c in S.CATEGORICAL_FEATURES})
     types.update({c: "double" for c in (*S.NUMERIC_FEATURES, S.LABEL)})
+    df = instants_to_utc_wall(df)
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in S.MATRIX_COLUMNS if c in df.columns])

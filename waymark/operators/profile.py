@@ -14,7 +14,8 @@ from waymark.operators.ranking import exact_quantiles
 TOP_VALUES = 5
 MAX_PROFILE_COLUMNS = 12
 MAX_TEXT = 180
-MAX_LIST = 12
+MAX_LIST = 10
+MAX_MAP = 12
 
 
 def _missing(df: DataFrame, column: str):
@@ -103,8 +104,7 @@ def profile_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def truncate_columns(df: DataFrame, limit: int = MAX_TEXT) -> DataFrame:
     """Text longer than ``limit`` is cut and marked with three dots."""
     return df.withColumns({
-        f.name: F.when(F.length(f.name) > limit, F.concat(F.substring(f.name, 1, max(0, limit - 3)), F.lit("...")))
-        .otherwise(F.col(f.name))
+        f.name: _shorten(F.col(f.name), limit)
         for f in df.schema if isinstance(f.dataType, T.StringType)
     })
 
@@ -127,6 +127,30 @@ def summarize_int_list(values, limit: int = MAX_LIST):
     )
 
 
+def _shorten(text, limit: int = MAX_TEXT):
+    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, max(0, limit - 3)), F.lit("..."))).otherwise(text)
+
+
+def summarize_text_list(values, limit: int = MAX_LIST):
+    """Text preview of a text array: quoted items, head and tail when long."""
+    size = F.size(values)
+    quoted = F.transform(values, lambda x: F.concat(F.lit("'"), _shorten(x), F.lit("'")))
+    return F.when(size > limit, F.concat(
+        F.lit("["), F.array_join(F.slice(quoted, 1, 5), ", "), F.lit(", ..., "),
+        F.array_join(F.slice(quoted, F.greatest(size - 2, F.lit(1)), 3), ", "), F.lit("] [len="), size.cast("string"), F.lit("]"),
+    )).otherwise(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")))
+
+
+def summarize_map(values, limit: int = MAX_MAP):
+    """Text preview of a text-to-text map: the first entries and how many more there are."""
+    entries = F.map_entries(values)
+    shown = F.transform(F.slice(entries, 1, limit), lambda e: F.concat(e["key"], F.lit("="), _shorten(e["value"])))
+    more = F.size(entries) - limit
+    note = F.array(F.concat(F.lit("... +"), more.cast("string"), F.lit(" more")))
+    parts = F.when(more > 0, F.concat(shown, note)).otherwise(shown)
+    return F.concat(F.lit("{ "), F.array_join(parts, ", "), F.lit(" }"))
+
+
 def partition_counts(df: DataFrame) -> DataFrame:
     """Files per ``name=value`` folder of a partitioned table."""
     files = df.select(F.col("_metadata.file_path").alias("path")).distinct()

@@ -9,7 +9,7 @@ from waymark import settings as S
 from waymark.functions.columns import require_columns, require_non_empty, typed
 from waymark.functions.hashing import stable_id
 from waymark.functions.parsing import safe_double, safe_long, safe_ts
-from waymark.functions.times import calendar_parts, duration_seconds
+from waymark.functions.times import calendar_parts, duration_seconds, instants_to_utc_wall
 from waymark.operators.dedupe import dedupe_latest, latest_by_key
 from waymark.operators.lookups import attach_zone_roles
 from waymark.sources.lake import Lake
@@ -18,6 +18,7 @@ from waymark.sources.lake import Lake
 def trip_schema(df: DataFrame) -> DataFrame:
     """The 28 typed trip columns; absent ones become typed NULLs."""
     require_columns(df, S.LINEAGE_COLUMNS, "bronze trips")
+    df = instants_to_utc_wall(df)
 
     def text(c):
         return c.cast("string")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark import settings as S
+from waymark.functions.times import epoch_second
 from waymark.operators.contract import contract_violations, latest_contract
 from waymark.operators.gates import model_input_gate, require_clean, train_gate
 from waymark.operators.metrics import baseline_metrics, error_metrics, label_cap
@@ -18,8 +19,7 @@ from waymark.sources.lake import Lake
 
 def sample_keys(df: DataFrame) -> DataFrame:
     """Buckets that rise with (as_of_ts, trip_id): the second, then the first id character."""
-    return df.withColumns({"_second": F.date_trunc("second", F.col("as_of_ts")).cast("timestamp_ntz"),
-                           "_head": F.substring("trip_id", 1, 2)})
+    return df.withColumns({"_second": epoch_second(F.col("as_of_ts")), "_head": F.substring("trip_id", 1, 2)})
 
 
 SAMPLE_ORDER = ("as_of_ts", "trip_id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.columns import normalize_columns, raw_record_json, to_text_schema
-from waymark.functions.times import utc_wall
+from waymark.functions.times import instants_to_utc_wall, utc_wall
 from waymark.settings import RAW_TRIP_FIELDS, RAW_ZONE_FIELDS
 
 
@@ -43,7 +43,7 @@ def land_zones(raw: DataFrame) -> DataFrame:
 
 
 def _land(raw: DataFrame, fields: Sequence[str]) -> DataFrame:
-    named = normalize_columns(raw)
+    named = instants_to_utc_wall(normalize_columns(raw))
     return to_text_schema(named.withColumn("raw_record_json", raw_record_json(named)), fields)
 
 
