@@ -22,7 +22,7 @@ from waymark.plans.training import load_training_inputs, train
 from waymark.plans.upkeep import Upkeep, maintain
 from waymark.session import scratch_dir
 from waymark.sources.lake import Lake, write_json_report
-from waymark.sources.readers import (list_files, read_csv_lookup, read_dataset, read_first_files, read_skipping_corrupt,
+from waymark.sources.readers import (latest_by_time, list_files, read_csv_lookup, read_dataset, read_first_files, read_skipping_corrupt,
                                      with_partition)
 
 
@@ -226,6 +226,9 @@ def test_readers(spark):
     with open(f"{base}/t/d=0/part-bad.parquet", "wb") as f:
         f.write(b"not parquet")
     assert read_skipping_corrupt(spark, f"{base}/t").count() == 32
+    listing = spark.createDataFrame([("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 3)), ("c", datetime(2024, 1, 2))],
+                                    "path string, modified timestamp_ntz")
+    assert latest_by_time(listing).first().path == "b"
     write_json_report(spark.range(1), f"{base}/report")
     assert spark.read.text(f"{base}/report").first()[0] == '{"id":0}'
 
