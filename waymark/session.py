@@ -57,6 +57,42 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Folders of one job under the shared folder; closing it removes what was not handed out.
+
+    ``keep`` stores a frame that the job reads several times, ``drop`` removes one early, and
+    ``result`` stores the frame given to the caller, whose folder stays.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for df in list(self.paths):
+            self.drop(df)
+
+    def _store(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+        path = scratch_dir(self.spark, f"{self.name}-{name}")
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def keep(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        kept, path = self._store(df, name, partition_by)
+        self.paths[kept] = path
+        return kept
+
+    def result(self, df: DataFrame) -> DataFrame:
+        return self._store(df, "result")[0]
+
+    def drop(self, df: DataFrame) -> None:
+        jvm, path = self.spark.sparkContext._jvm, self.paths.pop(df)
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after counting that it is small enough."""
     rows = df.select(F.lit(1)).limit(max_rows + 1).count()
