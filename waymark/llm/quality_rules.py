@@ -53,7 +53,7 @@ def measures(text: Column) -> Column:
     return F.struct(
         let(words(text), lambda ws: F.struct(
             F.size(ws).cast("long").alias("n"), F.length(F.array_join(ws, "")).cast("long").alias("chars"),
-            let(F.transform(ws, F.xxhash64), repeated_words).alias("repeated"))).alias("w"),
+            let(F.transform(ws, lambda w: F.xxhash64(w)), repeated_words).alias("repeated"))).alias("w"),
         F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(wordy, lambda ls: F.struct(F.size(ls).alias("all"), (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("dup"))).alias("l"))
 
