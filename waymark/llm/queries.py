@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from waymark.catalog.registry import table
-from waymark.llm import quality_rules
+from waymark.llm import quality_rules, token_files
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
+from waymark.session import scratch_dir
 
 WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -47,3 +46,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def op5_quality_rules(spark, sf):
     rated = quality_rules.rate_documents(table(spark, sf, "documents"))
     return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def write_and_read_tokens(spark, docs):
+    """Token files of all documents in a new folder of the shared store, read back as digests."""
+    import public_tokenizers
+
+    path = scratch_dir(spark, "token-files")
+    token_files.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_tokens(spark, path, digest=True)
+
+
+@query("op4_token_files")
+def op4_token_files(spark, sf):
+    return write_and_read_tokens(spark, table(spark, sf, "documents"))
