@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from waymark.catalog.registry import table
-from waymark.llm import quality_rules, token_files
+from waymark.llm import minhash_forest, quality_rules, token_files
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
+from waymark.llm.text import LOWER, UPPER
 from waymark.session import scratch_dir
 
 WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -60,3 +61,24 @@ def write_and_read_tokens(spark, docs):
 @query("op4_token_files")
 def op4_token_files(spark, sf):
     return write_and_read_tokens(spark, table(spark, sf, "documents"))
+
+
+GROUPS_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ')
+  ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS z FROM documents UNION SELECT e.b, r.z FROM r JOIN e ON r.a = e.a),
+c AS (SELECT a AS doc_id, min(z) AS component_id FROM r GROUP BY a)
+SELECT doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
+
+
+@query("op7_minhash_forest", GROUPS_SQL)
+def op7_minhash_forest(spark, sf):
+    return minhash_forest.group_documents(table(spark, sf, "documents"), shingle_words=4, percent=80)
