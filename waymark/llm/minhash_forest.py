@@ -8,7 +8,8 @@
 3. Pairs are confirmed on the full sets of whole texts. The nearest neighbours of a few trees go first; pairs
    whose classes are already connected need no confirmation afterwards.
 4. Dense regions that still hold several components are compared completely: blocks of the region against each
-   other, spread over tasks, keeping pairs of different components whose signatures may reach the threshold.
+   other, spread over tasks; pairs of different components whose signatures leave the threshold possible are
+   confirmed there.
 
 A pair at 80 % similarity shares a root prefix in one of the trees with probability 1 - (1 - 0.8**5)**25 =
 0.99995, higher similarities more. Components come from grouped minima, nothing is gathered on the driver.
@@ -36,7 +37,7 @@ from waymark.session import Scratch
 
 HASHES, TREES, DEPTH, ROOT, REACH = 128, 25, 12, 5, 4
 FIRST_TREES = 4
-BLOCK = 512
+BLOCK = 256
 MARGIN = 0.2  # five standard deviations of a similarity estimated from 125 minhashes
 _rng = np.random.default_rng(7)
 _A = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -109,29 +110,54 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle_words: int, percent: int,
     return pairs.select("a", "b").join(right, "b").join(left, "a").mapInPandas(check, "a long, b long")
 
 
-def similar_in_blocks(members: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Pairs of different components in a block pair whose signatures agree often enough."""
-    labels = np.frombuffer(b"".join(members["forest"]), ">u2").reshape(len(members), TREES, DEPTH)[:, :, :ROOT].reshape(len(members), -1)
-    ids, part, side, found = members["id"].to_numpy(), members["component"].to_numpy(), members["block"].to_numpy(), []
-    low = members["low"].to_numpy()
-    for i in range(len(members)):
-        agree = (labels[i + 1:] == labels[i]).mean(1)
-        j = i + 1 + np.flatnonzero((agree >= least) & (part[i + 1:] != part[i]))
-        j = j[(side[j] != side[i]) | (members["high"].to_numpy()[j] == low[j])]
-        found += [(min(ids[i], ids[k]), max(ids[i], ids[k])) for k in j]
+def linked_in_blocks(members: pd.DataFrame, shingle_words: int, percent: int) -> pd.DataFrame:
+    """Links between components found in one pair of blocks of a region, confirmed on the full sets.
+
+    A pair is looked at in the first tree that brings its ends together, only if the signatures leave the threshold
+    possible, and only while the links found so far do not connect its ends.
+    """
+    labels = np.frombuffer(b"".join(members["forest"]), ">u2").reshape(len(members), TREES, DEPTH)[:, :, :ROOT]
+    ids, side, tree = members["id"].to_numpy(), members["block"].to_numpy(), members["region"].iloc[0][0]
+    group = members["component"].to_numpy().copy()
+    one_block = members["low"].iloc[0] == members["high"].iloc[0]
+    texts, hashes, sets, found = members["text"].tolist(), WordHashes(), {}, []
+
+    def shingles(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(hashes.of(lowered_words(texts[i])), shingle_words)
+        return sets[i]
+
+    for i in range(len(members) - 1):
+        same = labels[i + 1:] == labels[i]
+        near = same.mean((1, 2)) >= percent / 100 - MARGIN
+        near &= same.all(2).argmax(1) == tree
+        if not one_block:
+            near &= side[i + 1:] != side[i]
+        for j in i + 1 + np.flatnonzero(near):
+            if group[i] == group[j]:
+                continue
+            x, y = shingles(i), shingles(j)
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                continue
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                group[group == group[j]] = group[i]
     return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
-def open_region_pairs(keys: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs across components inside dense regions that the neighbours have not joined."""
+def open_region_links(keys: DataFrame, labels: DataFrame, docs: DataFrame, shingle_words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links across components inside dense regions that the neighbours have not joined."""
     part = keys.join(labels, keys["id"] == labels["node"], "left").select("id", "region", "forest", F.coalesce("component", "id").alias("component"))
     part = scratch.keep(part, "members")
     open_regions = part.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where(f"n > {REACH + 1} and x <> y")
     open_regions = scratch.keep(open_regions.select("region", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "regions")
-    members = part.join(open_regions, "region").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = scratch.keep(part.join(open_regions, "region"), "open")
+    texts = docs.join(scratch.keep(members.select(F.col("id").alias("doc_id")).distinct(), "ids"), "doc_id", "left_semi")
+    texts = scratch.keep(texts.select(F.col("doc_id").alias("id"), "text"), "texts")
+    placed = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("id", "component", "forest", "region", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    return placed.groupBy("region", "low", "high").applyInPandas(lambda m: similar_in_blocks(m, percent / 100 - MARGIN), "a long, b long").distinct()
+    return placed.join(texts, "id").groupBy("region", "low", "high").applyInPandas(lambda m: linked_in_blocks(m, shingle_words, percent), "a long, b long").distinct()
 
 
 def group_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -155,10 +181,9 @@ def group_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         dense = regions.groupBy("region").count().where(f"count > {REACH + 1}").select("region")
         dense = scratch.keep(dense, "dense")
         if not dense.isEmpty():
-            more = open_region_pairs(regions.join(dense, "region", "left_semi"), labels, percent, scratch)
-            more = scratch.keep(more, "more")
+            more = scratch.keep(open_region_links(regions.join(dense, "region", "left_semi"), labels, docs, shingle_words, percent, scratch), "links")
             if not more.isEmpty():
-                links = links.unionByName(scratch.keep(confirm(more, docs, shingle_words, percent, scratch), "links"))
+                links = links.unionByName(more)
                 labels = components(links, scratch)
         # Rows of one doc_id may lie in several classes; the smallest label of any of them holds for all.
         placed = own.select("doc_id", "n_shingles", "set_key").join(classes.select("set_key", "first_id"), "set_key", "left")
