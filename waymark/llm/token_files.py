@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from waymark.session import Scratch
 
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)
 KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 _tokenizers: dict = {}
@@ -53,7 +53,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         chunks = (text or "").encode("utf-8", "replace").split()
-        new = list(set(chunks) - self.known.keys())
+        new = [c for c in set(chunks) if c not in self.known]
         if new:
             if len(self.known) + len(new) > CACHED_CHUNKS:
                 self.known.clear()
