@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from waymark.catalog.registry import table
-from waymark.llm import minhash_forest, quality_rules, token_files
+from waymark.llm import decontamination, minhash_forest, quality_rules, token_files
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from waymark.llm.text import LOWER, UPPER
 from waymark.session import scratch_dir
@@ -82,3 +82,8 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
 @query("op7_minhash_forest", GROUPS_SQL)
 def op7_minhash_forest(spark, sf):
     return minhash_forest.group_documents(table(spark, sf, "documents"), shingle_words=4, percent=80)
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, sf):
+    return decontamination.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
