@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from waymark.catalog.registry import table
-from waymark.llm import decontamination, minhash_forest, quality_rules, token_files
+from waymark.llm import decontamination, minhash_forest, mixing, quality_rules, token_files
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from waymark.llm.text import LOWER, UPPER
 from waymark.session import scratch_dir
@@ -87,3 +89,9 @@ def op7_minhash_forest(spark, sf):
 @query("op6_decontamination")
 def op6_decontamination(spark, sf):
     return decontamination.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op2_entropy_mixing")
+def op2_entropy_mixing(spark, sf):
+    mixed = mixing.copies(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
