@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.catalog.registry import table
-from waymark.llm import decontamination, minhash_forest, mixing, quality_rules, token_files
+from waymark.llm import decontamination, line_dedup, minhash_forest, mixing, quality_rules, token_files
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from waymark.llm.text import LOWER, UPPER
 from waymark.session import scratch_dir
@@ -95,3 +95,19 @@ def op6_decontamination(spark, sf):
 def op2_entropy_mixing(spark, sf):
     mixed = mixing.copies(table(spark, sf, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+LINES_SQL = rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UPPER}', '{LOWER}') AS key FROM l),
+o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT doc_id, pos, line, owner IS NOT NULL AND owner <> doc_id AS gone FROM k LEFT JOIN o USING (key))
+SELECT doc_id, count(*) AS n_lines, cast(count(*) FILTER (WHERE gone) AS bigint) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+
+
+@query("op3_line_dedup", LINES_SQL)
+def op3_line_dedup(spark, sf):
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
