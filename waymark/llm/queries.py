@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.catalog.registry import table
-from waymark.llm import decontamination, line_dedup, minhash_forest, mixing, quality_rules, token_files
+from waymark.llm import decontamination, language_id, line_dedup, minhash_forest, mixing, quality_classifier, quality_rules, token_files
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
-from waymark.llm.text import LOWER, UPPER
+from waymark.llm.text import LOWER, UPPER, held_out
 from waymark.session import scratch_dir
 
 WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -111,3 +111,19 @@ SELECT doc_id, count(*) AS n_lines, cast(count(*) FILTER (WHERE gone) AS bigint)
 def op3_line_dedup(spark, sf):
     kept = line_dedup.dedup_lines(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op9_language_id")
+def op9_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    languages, model = language_id.learn(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
+    found = language_id.identify(docs, languages, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
+    scored = quality_classifier.score(docs, quality_classifier.fit(docs, labels))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
