@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.catalog.registry import table
-from waymark.llm import decontamination, language_id, line_dedup, minhash_forest, mixing, quality_classifier, quality_rules, token_files
+from waymark.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    minhash_forest,
+    mixing,
+    personal_data,
+    quality_classifier,
+    quality_rules,
+    token_files,
+)
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
 from waymark.llm.text import LOWER, UPPER, held_out
 from waymark.session import scratch_dir
@@ -127,3 +137,9 @@ def op1_quality_classifier(spark, sf):
     labels = table(spark, sf, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
     scored = quality_classifier.score(docs, quality_classifier.fit(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op10_personal_data")
+def op10_personal_data(spark, sf):
+    found = personal_data.find_personal_data(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
