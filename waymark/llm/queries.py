@@ -14,6 +14,7 @@ from waymark.llm import (
     personal_data,
     quality_classifier,
     quality_rules,
+    repeated_passages,
     token_files,
 )
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
@@ -143,3 +144,8 @@ def op1_quality_classifier(spark, sf):
 def op10_personal_data(spark, sf):
     found = personal_data.find_personal_data(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op8_repeated_passages")
+def op8_repeated_passages(spark, sf):
+    return repeated_passages.repeated_passages(table(spark, sf, "documents"))
