@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.hashing import WordHashes, finish, runs
+from waymark.llm.text import bound_batches
 from waymark.session import Scratch
 
 SIZES = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512)
@@ -177,6 +178,7 @@ def slices(benchmark: DataFrame, scratch: Scratch) -> Iterator[list[tuple[int, s
 def find_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """``doc_id, item_id, start, n_words, similarity`` (places in words): the best place of each item in each document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    bound_batches(docs.sparkSession)
     with Scratch(docs.sparkSession, "decontamination") as scratch:
         found = None
         for items in slices(benchmark, scratch):

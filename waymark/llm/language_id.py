@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.text import bound_batches
+
 BUCKETS = 1 << 14
 MAX_N = 4
 MAX_LANGUAGES = 1000
@@ -72,6 +74,7 @@ def learn(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
             at = np.flatnonzero(mine)
             yield pd.DataFrame({"lang": lang, "bucket": at, "n": mine[at]})
 
+    bound_batches(labelled.sparkSession)
     counts = labelled.where("lang is not null").select("text", "lang").mapInPandas(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     if counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -107,6 +110,7 @@ def classify(texts: list[str | None], languages: list[str], model: np.ndarray) -
 
 def identify(docs: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row of ``docs(doc_id, text)``."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((languages, model))
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

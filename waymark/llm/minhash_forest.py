@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from waymark.llm.components import components
 from waymark.llm.hashing import WordHashes, lowered_words, shingle_set
 from waymark.llm.neighbours import compare_neighbours
+from waymark.llm.text import bound_batches
 from waymark.session import Scratch
 
 HASHES, TREES, DEPTH, ROOT, REACH = 128, 25, 12, 5, 4
@@ -163,6 +164,7 @@ def open_region_links(keys: DataFrame, labels: DataFrame, docs: DataFrame, shing
 def group_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    bound_batches(docs.sparkSession)
     with Scratch(docs.sparkSession, "forest") as scratch:
         own = scratch.keep(sketches(docs, shingle_words), "sketches")
         classes = own.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("forest").alias("forest"))

@@ -28,6 +28,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.text import bound_batches
+
 SAMPLE_ROWS = 1_500
 SAMPLE_BYTES = 8_192
 DICTIONARY_BYTES = 112_640
@@ -110,6 +112,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> dict[tuple[int, int], list[lis
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "blocks": [pieces(t) for t in b["text"]]})
 
+    bound_batches(docs.sparkSession)
     ids = [i for some in chosen.values() for i in some]
     rows = docs.where(F.col("doc_id").isin(ids) & (F.length("text") > 0)).select("doc_id", "text").mapInPandas(cut, "doc_id long, blocks array<binary>").collect() if ids else []
     found: dict = {}
@@ -137,6 +140,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         return docs.select("doc_id", F.lit(0.5).alias("score"))
 
+    bound_batches(docs.sparkSession)
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         both = Compressors(model.good, model.bad)
         for b in batches:

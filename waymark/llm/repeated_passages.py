@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.hashing import WordHashes, lowered_words, runs
 from waymark.llm.neighbours import compare_neighbours
+from waymark.llm.text import bound_batches
 from waymark.session import Scratch
 
 MIN_WORDS = 50
@@ -137,6 +138,7 @@ def islands(spans: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """``doc_id, start, end, n_words``: maximal spans of words, counted from 0, covered by passages of other documents."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    bound_batches(docs.sparkSession)
     with Scratch(docs.sparkSession, "passages") as scratch:
         found = docs.mapInPandas(anchors, "key long, cls long, place int, doc_id long, n_words long")
         found = scratch.keep(found.withColumn("doc_id", F.when(F.col("place") < 0, F.col("doc_id"))), "anchors")

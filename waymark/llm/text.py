@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = "\\x20\\x09-\\x0D"
@@ -38,3 +38,13 @@ def word_count(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """Documents kept from learning: crc32 of the id as text leaves 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Lower the number of rows that reach a Python worker at once, for rows that are whole texts.
+
+    This is a setting of the session; it stays, as results are computed after an operator returns.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

@@ -27,9 +27,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waymark.llm.text import bound_batches
 from waymark.session import Scratch
 
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 300_000
+GROUP_CHARS = 1_000_000
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)
 KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 _tokenizers: dict = {}
@@ -50,17 +52,31 @@ class Encoder:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        chunks = (text or "").encode("utf-8", "replace").split()
-        new = [c for c in set(chunks) if c not in self.known]
-        if new:
-            if len(self.known) + len(new) > CACHED_CHUNKS:
-                self.known.clear()
-                new = list(set(chunks))
-            found = self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)
-            self.known.update((c, np.asarray(e.ids, "<u4").tobytes()) for c, e in zip(new, found, strict=True))
-        return b"".join(map(self.known.__getitem__, chunks))
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers.
+
+        Chunks met after ``CACHED_CHUNKS`` others are forgotten again: the frequent ones come early.
+        """
+        chunks = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        new = [c for c in set().union(*chunks) if c not in self.known]
+        for at in range(0, len(new), 10_000):
+            some = new[at:at + 10_000]
+            found = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
+            self.known.update((c, np.asarray(e.ids, "<u4").tobytes()) for c, e in zip(some, found, strict=True))
+        out = [b"".join(map(self.known.__getitem__, c)) for c in chunks]
+        for c in new[max(0, CACHED_CHUNKS - len(self.known) + len(new)):]:
+            del self.known[c]
+        return out
+
+
+def grouped(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Consecutive texts of about ``GROUP_CHARS`` characters."""
+    first, chars = 0, 0
+    for k, t in enumerate(texts):
+        chars += len(t or "")
+        if chars >= GROUP_CHARS or k + 1 == len(texts):
+            yield texts[first:k + 1]
+            first, chars = k + 1, 0
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -88,7 +104,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
     def tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.at(tokenizer)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [zlib.compress(encoder.encode(t) + end, 1) for t in b["text"]]})
+            ids = [zlib.compress(ids + end, 1) for some in grouped(b["text"].tolist()) for ids in encoder.encode(some)]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": ids})
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
@@ -101,6 +118,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
         yield pd.DataFrame({"id": (ids := np.flatnonzero(total)), "n": total[ids]})
 
     spark = docs.sparkSession
+    bound_batches(spark)
     with Scratch(spark, "tokens") as scratch:
         tokens = scratch.keep(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(tokenized, "doc_id long, ids binary"), "ids")
         # At most one row per id of the vocabulary reaches the driver.
