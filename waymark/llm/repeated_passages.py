@@ -145,6 +145,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         texts = scratch.keep(found.where("place < 0").select("doc_id", "cls", "n_words"), "texts")
         suffixes = found.where("place >= 0").select("key", "cls", "place")
         shared = suffixes.groupBy("key").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("key")
+        shared = scratch.keep(shared, "shared")  # stored, so that both sides of the join are plain shuffles that a hot key can split
         kept = suffixes.join(shared, "key", "left_semi").groupBy("cls").agg(F.collect_set("place").alias("places"))
         classes = texts.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"))
         kept = scratch.keep(kept.join(classes.select("cls", "doc_id"), "cls"), "kept")
