@@ -184,6 +184,7 @@ def test_maintenance_sweep(spark):
     source = next(f for f in os.listdir(f"{lake.root}/one") if f.endswith(".parquet"))
     with open(f"{lake.root}/one/{source}", "rb") as a, open(stray, "wb") as b:
         b.write(a.read())
+    os.utime(stray, (0, 0))
     later = datetime(2040, 1, 1)
     plan = Upkeep(orphans=(*S.MANAGED_TABLES, "gold.none"), delete_orphans=True, compact=(S.GOLD_MATRIX, S.SILVER_TRIPS),
                   compact_where=F.col("as_of_date").isNotNull())
@@ -208,8 +209,8 @@ def test_orphans_and_compaction(spark):
                                     "path string, modified timestamp_ntz")
     live = spark.createDataFrame([("s3a://other/a",)], "path string")
     assert [r.path for r in orphan_files(listing, live, "2024-01-05 00:00:00").collect()] == ["s3://b/c"]
-    files = spark.createDataFrame([("p1", 10), ("p1", 300 << 20), ("p2", 5)], "partition string, bytes long")
-    assert [(r.partition, r.n_files, r.target_files) for r in compaction_plan(files).collect()] == [("p1", 2, 2)]
+    files = spark.createDataFrame([("p1", 10), ("p1", 20), ("p1", 300 << 20), ("p2", 5), ("p3", 10), ("p3", 300 << 20)], "partition string, bytes long")
+    assert [(r.partition, r.n_files, r.target_files) for r in compaction_plan(files).collect()] == [("p1", 3, 2)]
 
 
 def test_readers(spark):

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from waymark.session import scratch_dir
-from waymark.streaming.jobs import drain, in_flight, metric_rollup, read_files, stream_dedupe, stream_ingest
+from waymark.streaming.jobs import drain, in_flight, metric_rollup, read_files, stream_ingest, stream_latest
 
 LOG = "ts timestamp_ntz, route string, method string, status_code int, latency_ms double, batch_size int"
 
@@ -45,14 +45,17 @@ def test_late_rows_and_closed_windows(spark):
     assert counts[(base, 200)] == 2
 
 
-def test_stream_dedupe(spark):
-    path = scratch_dir(spark, "dups")
-    t = datetime(2024, 1, 1)
-    rows = [(i % 5, t + timedelta(seconds=i)) for i in range(20)]
-    spark.createDataFrame(rows, "trip_id int, ts timestamp_ntz").write.parquet(path)
-    stream = read_files(spark, path, spark.read.parquet(path).schema)
-    out = drain(stream_dedupe(stream, "trip_id", "ts", "1 hour"), "dedupe")
-    assert sorted(r.trip_id for r in out.collect()) == [0, 1, 2, 3, 4] and out.columns == ["trip_id", "ts"]
+def test_newest_copy_wins_in_any_order(spark):
+    base, t = scratch_dir(spark, "latest-test"), datetime(2024, 1, 1)
+    schema = "trip_id int, ts timestamp_ntz, version int"
+    for k in range(3):  # newest day first, every key twice, the newer copy in the earlier file
+        day = t + timedelta(days=2 - k)
+        spark.createDataFrame([(10 * k + i, day, v) for i in range(5) for v in (2, 1)], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    spark.createDataFrame([(0, t + timedelta(days=2), 3)], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = read_files(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema, max_files=1)
+    stream_latest(stream, lambda b: b.withColumn("day", F.to_date("ts")), f"{base}/out", f"{base}/state", "trip_id", ["version"], "day").awaitTermination()
+    got = {r.trip_id: r.version for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {10 * k + i: 3 if (k, i) == (0, 0) else 2 for k in range(3) for i in range(5)}
 
 
 def test_ingest_takes_new_files_once(spark):

@@ -261,8 +261,7 @@ def trailing_30d_fare(spark, sf):
     specs = [Trailing("avg_fare_30d", ("pickup_zone_id",), 30 * S.DAY, "avg", "fare_amount"),
              Trailing("sum_fare_1d", ("pickup_zone_id",), S.DAY, "sum", "fare_amount")]
     featured = trailing_features(X.event_trips(spark, sf), epoch_second(F.col("pickup_ts")), specs)
-    # A window without rows sums to zero here and to NULL in SQL.
-    return featured.select("event_id", "avg_fare_30d", F.when(F.col("sum_fare_1d") != 0, F.col("sum_fare_1d")).alias("sum_fare_1d"))
+    return featured.select("event_id", "avg_fare_30d", "sum_fare_1d")
 
 
 @query("trailing_90d_count", f"""

@@ -14,7 +14,7 @@ from waymark.operators.metrics import label_cap
 from waymark.plans.scoring import score_requests
 from waymark.session import scratch_dir
 from waymark.streaming.jobs import (BATCH_BOUNDS, LATENCY_BOUNDS, drain, in_flight, metric_rollup, read_files, stream_canonical,
-                                    stream_dedupe, stream_ingest)
+                                    stream_ingest, stream_latest)
 
 KIND = "event_id % 16"
 _ERRORS = {
@@ -163,11 +163,27 @@ def stream_metric_rollup(spark, sf):
     return out.select("window_start", "route", "status_code", "requests", "errors", "latency_sum")
 
 
-@query("stream_dedupe", "SELECT DISTINCT event_id, ts FROM events")
+def _backwards(spark, rows, name):
+    """A stream over four files, the newest rows first; files arrive one per trigger."""
+    path = scratch_dir(spark, name)
+    days = rows.withColumn("_day", F.to_date("ts")).select("_day").distinct().orderBy("_day").collect()
+    for k in range(4):
+        first, last = (days[min(len(days) * x // 4, len(days) - 1)]["_day"] for x in (3 - k, 4 - k))
+        part = rows.where((F.to_date("ts") >= first) & ((F.to_date("ts") < last) if k else F.lit(True)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return read_files(spark, path, rows.schema, max_files=1)
+
+
+@query("stream_dedupe", """
+SELECT event_id, ts, cast(round(value * 100) AS bigint) + 1 AS cents FROM events""")
 def deduped_stream(spark, sf):
-    """Every event arrives twice; the stream keeps one."""
-    stream = _event_stream(spark, sf).select("event_id", "ts").withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    return drain(stream_dedupe(stream, "event_id", "ts", "1 hour").drop("_copy"), "dedupe")
+    """Every event arrives twice, newest day first and the newer copy before the older; the newest copies stay."""
+    events = table(spark, sf, "events").select("event_id", "ts", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    copies = events.withColumn("version", F.explode(F.array(F.lit(2), F.lit(1)))).withColumn("cents", F.col("cents") + F.col("version") - 1)
+    base = scratch_dir(spark, "latest")
+    stream = _backwards(spark, copies, "latest-input")
+    stream_latest(stream, lambda b: b.withColumn("day", F.to_date("ts")), f"{base}/table", f"{base}/state", "event_id", ["version"], "day").awaitTermination()
+    return spark.read.parquet(f"{base}/table").select("event_id", "ts", "cents")
 
 
 @query("stream_ingest", """
@@ -193,6 +209,7 @@ def canonical_stream(spark, sf):
         F.lit(1.0).alias("trip_distance"), "fare_amount", F.col("fare_amount").alias("total_amount"),
         *[F.lit("x").alias(c) for c in S.LINEAGE_COLUMNS if c != "ingestion_ts"], F.col("pickup_ts").alias("ingestion_ts"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("_copy"))
-    out = drain(stream_canonical(bronze.drop("_copy"), X.zones(spark, sf), "run-1"), "canonical")
+    base = scratch_dir(spark, "canonical")
+    out = stream_canonical(bronze.drop("_copy"), X.zones(spark, sf), "run-1", f"{base}/table", f"{base}/state")
     return out.select("pickup_ts", "dropoff_ts", "pickup_location_id", "dropoff_location_id", "pickup_borough",
                       "dropoff_service_zone", "trip_duration_seconds", "fare_amount")

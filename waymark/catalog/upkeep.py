@@ -39,7 +39,8 @@ def orphans(spark, sf):
 @query("compaction_plan", f"""
 SELECT partition, count(*) AS n_files, cast(sum(bytes) AS bigint) AS total_bytes,
   greatest(1, cast(ceil(sum(bytes) / {S.TARGET_FILE_BYTES}::double) AS bigint)) AS target_files
-FROM ({X.FILES}) f WHERE as_of_date >= DATE '1999-01-01' GROUP BY 1 HAVING count(*) >= 2""")
+FROM ({X.FILES}) f WHERE as_of_date >= DATE '1999-01-01' GROUP BY 1 HAVING count(*) >= 2
+  AND count(*) > greatest(1, ceil(sum(bytes) / {S.TARGET_FILE_BYTES}::double))""")
 def compaction(spark, sf):
     return compaction_plan(X.files(spark, sf), F.col("as_of_date") >= F.lit("1999-01-01").cast("date"))
 

@@ -45,11 +45,14 @@ def orphan_files(listing: DataFrame, live: DataFrame, cutoff: datetime | str) ->
 
 def compaction_plan(files: DataFrame, where: Column | None = None, min_files: int = S.MIN_COMPACT_FILES,
                     target_bytes: int = S.TARGET_FILE_BYTES) -> DataFrame:
-    """Partitions worth rewriting: at least ``min_files`` files; with the files to aim for."""
+    """Partitions worth rewriting: at least ``min_files`` files and more than their bytes need; with the files to aim for.
+
+    A rewritten partition holds ``target_files`` files at most, so it is not chosen again.
+    """
     if where is not None:
         files = files.where(where)
     return (
         files.groupBy("partition").agg(F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("total_bytes"))
-        .where(F.col("n_files") >= min_files)
         .withColumn("target_files", F.greatest(F.lit(1), F.ceil(F.col("total_bytes") / target_bytes)).cast("bigint"))
+        .where((F.col("n_files") >= min_files) & (F.col("n_files") > F.col("target_files")))
     )

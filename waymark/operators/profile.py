@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.functions.parsing import safe_ts
 from waymark.operators.ranking import exact_quantiles
 
 TOP_VALUES = 5
@@ -69,14 +70,13 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP_VALUES,
-                        max_columns: int = MAX_PROFILE_COLUMNS) -> DataFrame:
-    """The most frequent values per text column, with the number of distinct non-null values.
+def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None, top: int = TOP_VALUES) -> DataFrame:
+    """The most frequent values of the named or all text columns, with the number of distinct non-null values.
 
     Ties go to the smaller value. The rank filter trims each column to its top
     values on the map side, and the distinct count is a plain combined count.
     """
-    counts = value_counts(df, list(columns or text_columns(df))[:max_columns])
+    counts = value_counts(df, list(columns or text_columns(df)))
     distinct = counts.groupBy("column_name").agg(F.count("value").alias("n_distinct"))
     ranked = W.partitionBy("column_name").orderBy(F.col("n_rows").desc(), F.col("value").asc_nulls_last())
     best = counts.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
@@ -96,8 +96,7 @@ def profile_label(df: DataFrame, column: str) -> DataFrame:
 
 def profile_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Smallest and largest readable timestamp per column."""
-    aggs = [F.struct(F.lit(c).alias("column_name"), F.min(F.col(c).try_cast("timestamp_ntz")).alias("min_ts"),
-                     F.max(F.col(c).try_cast("timestamp_ntz")).alias("max_ts")) for c in columns]
+    aggs = [F.struct(F.lit(c).alias("column_name"), F.min(safe_ts(F.col(c))).alias("min_ts"), F.max(safe_ts(F.col(c))).alias("max_ts")) for c in columns]
     return df.agg(F.array(*aggs).alias("_s")).select(F.inline("_s"))
 
 

@@ -87,10 +87,7 @@ def _measures(spec: Trailing) -> dict[str, str]:
     """The running sums one feature needs, by name."""
     if spec.agg == "count":
         return {"n_rows": "count(1)"}
-    sums = {f"s_{spec.value}": f"sum(`{spec.value}`)"}
-    if spec.agg == "avg":
-        sums[f"n_{spec.value}"] = f"count(`{spec.value}`)"
-    return sums
+    return {f"s_{spec.value}": f"sum(`{spec.value}`)", f"n_{spec.value}": f"count(`{spec.value}`)"}
 
 
 def _features_per_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], chunk: int) -> DataFrame:
@@ -136,6 +133,8 @@ def _features_per_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Tra
         sums = [in_frame(m, spec.seconds // chunk) for m in _measures(spec)]
         if spec.agg == "avg":
             value = f"CASE WHEN {sums[1]} > 0 THEN cast({sums[0]} AS double) / {sums[1]} END"
+        elif spec.agg == "sum":
+            value = f"CASE WHEN {sums[1]} > 0 THEN cast({sums[0]} AS double) END"
         else:
             value = f"cast({sums[0]} AS double)"
         if spec.default is not None:

@@ -51,7 +51,7 @@ def maintain(lake: Lake, plan: Upkeep = Upkeep(), as_of: datetime | None = None)
             status, _, message = work(name).partition(":")
             results.append((name, operation, status, message))
         except Exception as problem:
-            results.append((name, operation, "failed", str(problem)[:500]))
+            results.append((name, operation, "failed", str(problem)))
             if not plan.continue_on_error:
                 raise
 
@@ -64,8 +64,15 @@ def maintain(lake: Lake, plan: Upkeep = Upkeep(), as_of: datetime | None = None)
         return f"ok:{n} snapshots expired"
 
     def orphans(name: str) -> str:
-        found = orphan_files(list_files(lake.spark, lake.path(name)),
-                             lake.live_files().where(F.col("table_id") == name), cutoff(now, plan.orphan_days))
+        live = lake.live_files().where(F.col("table_id") == name)
+        listing = list_files(lake.spark, lake.path(name))
+        if live.isEmpty():
+            return "skipped:no recorded files"
+        # Files of a write that died before its commit, or of a writer beside the log, look like orphans.
+        written = listing.agg(F.max("modified")).first()[0]
+        if lake.recorded_at(name) is None or written > lake.recorded_at(name):
+            return "skipped:files are newer than the last commit"
+        found = orphan_files(listing, live, cutoff(now, plan.orphan_days))
         if plan.delete_orphans:
             return f"ok:{lake.remove_files(found)} files removed"
         return f"ok:{found.count()} files found (dry run)"
@@ -79,7 +86,7 @@ def maintain(lake: Lake, plan: Upkeep = Upkeep(), as_of: datetime | None = None)
         if where is None:
             where = F.col(plan.partition_column) >= F.lit(cutoff(now, S.COMPACT_DAYS).date())
         files = files.withColumn(plan.partition_column, value.try_cast("date"))
-        wanted = compaction_plan(files, where).select(value.try_cast("date").alias(plan.partition_column))
+        wanted = compaction_plan(files, where).select(value.try_cast("date").alias(plan.partition_column), "target_files")
         n = wanted.count()
         if n:
             lake.rewrite_partitions(name, wanted, plan.partition_column, "maintenance")

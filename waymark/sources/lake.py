@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.columns import qualify
-from waymark.session import broadcast_if_small, materialize
+from waymark.session import Scratch, materialize
 from waymark.sources.readers import list_files
 
 MANIFEST_SCHEMA = T.StructType([
@@ -73,6 +73,13 @@ class Lake:
         return rows.join(newest, F.col("table_id") == F.col("_t"), "left").select(
             *rows.columns, (F.col("snapshot_id") == F.col("_newest")).alias("is_current"))
 
+    def recorded_at(self, table: str) -> datetime | None:
+        """When the files of a table were last recorded."""
+        if not self._has(f"{self.root}/_files"):
+            return None
+        listing = list_files(self.spark, f"{self.root}/_files").where(F.col("path").contains(f"/table_id={qualify(table)}/"))
+        return listing.agg(F.max("modified")).first()[0]
+
     def live_files(self) -> DataFrame:
         path = f"{self.root}/_files"
         if not self._has(path):
@@ -112,7 +119,7 @@ class Lake:
 
     def copy(self, source: str, table: str, run_id: str, partition_by: Sequence[str] = ()) -> None:
         """Load a Parquet folder under a table name."""
-        (self.spark.read.parquet(source).write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table)))
+        (self.spark.read.parquet(source).hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table)))
         self.commit(table, run_id, "overwrite")
 
     def commit(self, table: str, run_id: str, operation: str, at: datetime | None = None) -> str:
@@ -135,14 +142,18 @@ class Lake:
         staged.write.mode("overwrite").parquet(f"{self.root}/_manifest")
 
     def rewrite_partitions(self, table: str, partitions: DataFrame, partition_column: str, run_id: str) -> None:
-        """Compact the listed partition values of one table into fewer files.
+        """Compact the listed partition values of one table into ``target_files`` files each at most.
 
         The rows go to the shared folder first, because a job must not overwrite
         the files it is reading.
         """
-        wanted = broadcast_if_small(partitions.select(partition_column).distinct())
-        staged = materialize(self.read(table).join(wanted, partition_column, "left_semi"), "compact")
-        self.overwrite_partitions(staged, table, partition_column, run_id)
+        wanted = partitions.groupBy(partition_column).agg(F.max("target_files").alias("_files"))
+        rows = self.read(table)
+        with Scratch(self.spark, "compact") as scratch:
+            staged = scratch.keep(rows.join(wanted, partition_column).select(*rows.columns, F.pmod(F.xxhash64(*rows.columns), "_files").alias("_file")), "rows")
+            (staged.repartition(partition_column, "_file").drop("_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(partition_column).parquet(self.path(table)))
+        self.commit(table, run_id, "compact")
 
     def remove_files(self, files: DataFrame) -> int:
         """Delete the listed files; paths stream through the driver one partition at a time."""
