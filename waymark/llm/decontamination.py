@@ -1,8 +1,8 @@
 """Benchmark passages in documents: SimHash of item-sized windows, Hamming blocks, exact confirmation.
 
 Words are lower-cased with ASCII punctuation removed. Every item gets the largest window size ``c`` of ``SIZES``
-that, with windows ``c / 2`` words apart, fits completely into a passage of the item's length at any offset. All
-windows of the item of that size have a 64-bit SimHash over their two-word features; documents are covered by
+that, with windows ``c / 2`` words apart, fits completely into a passage of the item's length at any offset, also
+between as many changed words as the threshold allows. All windows of the item of that size have a 64-bit SimHash over their two-word features; documents are covered by
 windows of each size, ``c / 2`` apart. A leaked passage therefore contains a document
 window that stands opposite an item window, with the same fingerprint if the words are the same.
 
@@ -51,8 +51,13 @@ def plain_words(text: str | None) -> list[bytes]:
 
 
 def window_size(words: int) -> int:
-    """The window for items of so many words; shorter items are their own window."""
-    return max([c for c in SIZES if c + c // 2 - 1 <= words], default=words)
+    """The window for items of so many words; shorter items are their own window.
+
+    A similarity of 0.8 leaves room for one changed word in 45. Of the stretches between that many changes the longest
+    must still hold a window at any offset, so a passage with changed words keeps a window without any.
+    """
+    changes = max(words - SHINGLE + 1, 0) // 45
+    return max([c for c in SIZES if c + c // 2 - 1 <= (words - changes) // (changes + 1)], default=words)
 
 
 def window_step(size: int) -> int:
