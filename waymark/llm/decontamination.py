@@ -203,5 +203,5 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> D
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """The documents, with all their columns, that hold no item."""
     with Scratch(docs.sparkSession, "decontaminated") as scratch:
-        gone = scratch.keep(find_items(docs, benchmark, least).select("doc_id").distinct(), "gone")
-        return scratch.result(docs.join(gone, "doc_id", "left_anti").select(*docs.columns))
+        gone = scratch.result(find_items(docs, benchmark, least).select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

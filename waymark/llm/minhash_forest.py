@@ -204,5 +204,5 @@ def across_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns; of rows that share a ``doc_id`` all stay or go."""
     with Scratch(docs.sparkSession, "forest-keep") as scratch:
-        gone = scratch.keep(group_documents(docs, shingle_words, percent).where("not kept").select("doc_id").distinct(), "gone")
-        return scratch.result(docs.join(gone, "doc_id", "left_anti").select(*docs.columns))
+        gone = scratch.result(group_documents(docs, shingle_words, percent).where("not kept").select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

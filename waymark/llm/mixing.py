@@ -140,11 +140,14 @@ def copies(docs: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS,
 
 def mix(docs: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The mixed documents: every row as often as its copies say, with its own columns."""
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_key"), "source", "text")
     with Scratch(docs.sparkSession, "mix") as scratch:
-        own = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_key"), "source", "text")
-        counts = copies(own, cap, weights, key="_key").where("copies > 0").groupBy("_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-        joined = own.select("_row", "_key").join(scratch.keep(counts, "copies"), "_key")
-        # Equal rows share a key; being equal, one of them stands for the pooled copies of all.
-        equal = joined.where("rows > 1").groupBy("_key").agg(F.first("_row").alias("_row"), F.first("copies").alias("copies"))
-        every = joined.where("rows = 1").select("_row", "copies").unionByName(equal.select("_row", "copies"))
-        return scratch.result(every.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_n")).select("_row.*"))
+        counts = copies(own, cap, weights, key="_key").groupBy("_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+        counts = scratch.keep(counts.where("copies > 0"), "counts")
+        single = scratch.result(counts.where("rows = 1").select("_key", "copies"))
+        several = scratch.result(counts.where("rows > 1").select("_key", "copies"))
+    # Equal rows share a key; being equal, one of them stands for the pooled copies of all.
+    rows = own.select("_row", "_key")
+    equal = rows.join(several, "_key").groupBy("_key").agg(F.first("_row").alias("_row"), F.first("copies").alias("copies"))
+    every = rows.join(single, "_key").select("_row", "copies").unionByName(equal.select("_row", "copies"))
+    return every.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_n")).select("_row.*")

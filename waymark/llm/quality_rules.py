@@ -128,9 +128,14 @@ def rate_documents(docs: DataFrame, host: str = "source", text: str = "text", ke
 
 
 def filter_documents(docs: DataFrame, host: str = "source", text: str = "text", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The documents that pass, with their own columns; each text is measured once."""
+    """The documents that pass, with their own columns; each text is measured once.
+
+    What is stored are the measures and the hashes of rejected rows; equal rows have equal verdicts.
+    """
+    keys = [F.xxhash64(F.lit(part), *docs.columns).alias(f"_key{part}") for part in (0, 1)]
     with Scratch(docs.sparkSession, "quality-rules") as scratch:
-        whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host).alias("_own_host"), F.col(text).alias("_text"))
-        rules = scratch.keep(document_rules(whole, "_text").select("_row", "_own_host", "base_failed", "failed", F.xxhash64("_row").alias("_key")), "measures")
+        narrow = docs.select(*keys, F.col(host).alias("_own_host"), F.col(text).alias("_text"))
+        rules = scratch.keep(document_rules(narrow, "_text").select("_key0", "_key1", "_own_host", "base_failed", "failed"), "measures")
         refused = scratch.keep(host_verdicts(rules, "_own_host", max_host_rate).where("host_refused"), "hosts")
-        return scratch.result(judge(rules.where(~F.col("base_failed")), "_own_host", refused, "_key").where("kept").select("_row.*"))
+        gone = scratch.result(judge(rules, "_own_host", refused, "_key0").where("not kept").select("_key0", "_key1").distinct())
+    return docs.select("*", *keys).join(gone, ["_key0", "_key1"], "left_anti").select(*docs.columns)
