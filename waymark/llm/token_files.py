@@ -19,6 +19,8 @@ Further columns are ignored.
 
 from __future__ import annotations
 
+import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,9 +40,13 @@ _tokenizers: dict = {}
 
 
 class Encoder:
-    """One tokenizer of a worker with the ids of the chunks met so far."""
+    """One tokenizer of a worker with the ids of the chunks met so far.
+
+    The library's own threads are switched off: a task has one core, and Spark runs the tasks side by side.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,7 +68,7 @@ class Encoder:
         for at in range(0, len(new), 10_000):
             some = new[at:at + 10_000]
             found = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            self.known.update((c, np.asarray(e.ids, "<u4").tobytes()) for c, e in zip(some, found, strict=True))
+            self.known.update((c, struct.pack(f"<{len(ids)}I", *ids)) for c, ids in zip(some, (e.ids for e in found), strict=True))
         out = [b"".join(map(self.known.__getitem__, c)) for c in chunks]
         for c in new[max(0, CACHED_CHUNKS - len(self.known) + len(new)):]:
             del self.known[c]
