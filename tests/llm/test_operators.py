@@ -244,6 +244,23 @@ def test_repeated_passages(spark):
     assert repeated_passages.repeated_passages(frame(spark, []).limit(0)).count() == 0
 
 
+def test_repeated_passages_in_crowded_runs(spark):
+    passage, line = prose(1100, 60, 9000), prose(1101, 40, 9000)
+    texts = [" ".join(f"{passage} {prose(1200 + k, 5, 9000)}" for k in range(40)), f"{prose(1300, 30, 9000)} {passage} {prose(1301, 30, 9000)}"]
+    for k in range(120):  # all share the line, every two of the first 40 also the 12 words before it
+        lead = prose(1400 + k // 2, 12, 9000) if k < 40 else prose(1500 + k, 12, 9000)
+        texts.append(f"{prose(1700 + k, 40, 9000)} {lead} {line} {prose(1900 + k, 40, 9000)}")
+    out = repeated_passages.repeated_passages(frame(spark, texts)).collect()
+    seen = defaultdict(set)
+    for i, t in enumerate(texts):
+        w = words(t)
+        for k in range(len(w) - 49):
+            seen[tuple(w[k:k + 50])].add(i)
+    want = {(i, p) for i, t in enumerate(texts) for w in [words(t)] for k in range(len(w) - 49) if len(seen[tuple(w[k:k + 50])]) > 1 for p in range(k, k + 50)}
+    assert {i for i, _ in want} == set(range(42)) and sum(i == 0 for i, _ in want) == 2400
+    assert {(r.doc_id, p) for r in out for p in range(r.start, r.end)} == want
+
+
 def test_language_id(spark):
     tongues = {"aa": "kala mino petu", "bb": "strö wük zzy", "cc": "ñandú qué llo"}
     rows = [(i, " ".join(random.Random(i).choices(tongues[lang].split(), k=30)), lang) for i in range(60) for lang in [list(tongues)[i % 3]]]

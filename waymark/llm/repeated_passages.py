@@ -5,16 +5,18 @@
    and any passage of ``MIN_WORDS`` words holds a kept place within its first ``WINDOW`` words.
 2. A suffix that can begin a match shares its first ``RIGHT`` = ``MIN_WORDS - WINDOW + 1`` words with another text; one
    grouped minimum and maximum per hash of these words finds those.
-3. The suffixes that remain get their context - up to ``MIN_WORDS`` words to the right, which is their sort key, and
-   ``WINDOW - 1`` to the left - and are sorted. Every suffix is compared with the next ``REACH`` ones; the common
-   prefix is the extension to the right, the common left context the one to the left. Together they must reach
-   ``MIN_WORDS``. A longer passage is found piece by piece from its several kept places.
-4. Overlapping pieces of a text are joined to maximal spans.
-
-Texts with the same words are one class from the start: they repeat as a whole, and their suffixes enter once. A
-passage in very many texts is sorted across tasks by class and place, and pairs are only neighbours, so its cost is
-linear. Words are split at ASCII white space with A-Z lowered; context words are compared by 32-bit hashes of which
-at least 50 in a row must agree.
+3. The suffixes whose ``RIGHT`` words occur at most ``REACH + 1`` times get their context - up to ``MIN_WORDS`` words to the right, which is their sort key, and
+   ``WINDOW - 1`` to the left - and are sorted. Every suffix is compared with the next ``REACH`` ones, so with all of
+   its key; the common prefix is the extension to the right, the common left context the one to the left. Together they
+   must reach ``MIN_WORDS``. A longer passage is found piece by piece from its several kept places.
+4. Where the ``RIGHT`` words occur more often, no pairs are formed: every ``MIN_WORDS`` window whose kept place is such a
+   suffix is hashed, at most one window a word, and those that two classes hold are marked.
+5. Overlapping pieces of a text are joined to maximal spans.
+
+Texts with the same words are one class from the start: they repeat as a whole, and their suffixes enter once. Pairs are
+only neighbours and windows are grouped by hash with one minimum and maximum, summed up before the shuffle, so the cost of
+a passage in very many texts is linear. Words are split at ASCII white space with A-Z lowered; context words are compared
+by 32-bit hashes of which at least 50 in a row must agree, windows by 64-bit hashes of their words.
 
 Nulls and empties: a NULL text or one below ``MIN_WORDS`` words has no spans. Rows are documents of their own even when
 they share a ``doc_id`` or have none. Empty tables give an empty result; other columns are ignored.
@@ -47,16 +49,26 @@ def text_class(words: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(words.tobytes()) - (1 << 63)
 
 
-def kept_places(words: np.ndarray) -> np.ndarray:
-    """Minimiser positions that have ``RIGHT`` words to the right."""
+def minimisers(words: np.ndarray) -> np.ndarray:
+    """The minimiser position of each ``WINDOW`` consecutive places."""
     grams = runs(words, GRAM)
     if len(words) < MIN_WORDS:
         return np.zeros(0, np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(1) + np.arange(len(grams) - WINDOW + 1)
-    places = np.unique(least)
+    return np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(1) + np.arange(len(grams) - WINDOW + 1)
+
+
+def kept_places(words: np.ndarray) -> np.ndarray:
+    """Minimiser positions that have ``RIGHT`` words to the right."""
+    places = np.unique(minimisers(words))
     return places[places + RIGHT <= len(words)]
 
 
+def windows_at(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the ``MIN_WORDS`` windows whose minimiser is one of ``places``."""
+    starts = np.flatnonzero(np.isin(minimisers(words)[:max(len(words) - MIN_WORDS + 1, 0)], places))
+    return starts, runs(words, MIN_WORDS)[starts].view(np.int64)
+
+
 def contexts(words: np.ndarray, places: np.ndarray, cls: int) -> tuple[list[bytes], list[bytes]]:
     """Right and left context of each place as 32-bit word hashes, big-endian; missing words are unique to the class."""
     short = (words >> np.uint64(32)).astype(np.uint32)
@@ -117,13 +129,17 @@ def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def placed_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for b in batches:
-        for cls, text, places in zip(b["cls"], b["text"], b["places"], strict=True):
+        for cls, text, places, often in zip(b["cls"], b["text"], b["places"], b["often"], strict=True):
             words = hashes.of(lowered_words(text))
             if text_class(words) != cls:  # another text under the same doc_id
                 continue
             places = np.sort(np.asarray(places, np.int64))
-            right, left = contexts(words, places, cls)
-            yield pd.DataFrame({"key": right, "id": cls, "at": places, "extra": left})
+            if len(places):
+                right, left = contexts(words, places, cls)
+                yield pd.DataFrame({"key": right, "id": cls, "at": places, "extra": left, "hash": None})
+            if len(often):
+                starts, marks = windows_at(words, np.asarray(often, np.int64))
+                yield pd.DataFrame({"key": None, "id": cls, "at": starts, "extra": None, "hash": marks})
 
 
 def islands(spans: DataFrame) -> DataFrame:
@@ -144,15 +160,23 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         found = scratch.keep(found.withColumn("doc_id", F.when(F.col("place") < 0, F.col("doc_id"))), "anchors")
         texts = scratch.keep(found.where("place < 0").select("doc_id", "cls", "n_words"), "texts")
         suffixes = found.where("place >= 0").select("key", "cls", "place")
-        shared = suffixes.groupBy("key").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("key")
+        shared = suffixes.groupBy("key").agg(F.min("cls").alias("x"), F.max("cls").alias("y"), F.count(F.lit(1)).alias("n"))
+        shared = shared.where("x < y").select("key", (F.col("n") > REACH + 1).alias("hot"))
         shared = scratch.keep(shared, "shared")  # stored, so that both sides of the join are plain shuffles that a hot key can split
-        kept = suffixes.join(shared, "key", "left_semi").groupBy("cls").agg(F.collect_set("place").alias("places"))
+        kept = suffixes.join(shared, "key").groupBy("cls").agg(
+            F.collect_set(F.when(~F.col("hot"), F.col("place"))).alias("places"), F.collect_set(F.when(F.col("hot"), F.col("place"))).alias("often"))
         classes = texts.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"))
         kept = scratch.keep(kept.join(classes.select("cls", "doc_id"), "cls"), "kept")
         scratch.drop(found)
-        placed = docs.join(kept, "doc_id").select("cls", "text", "places").mapInPandas(placed_contexts, "key binary, id long, at long, extra binary")
+        placed = docs.join(kept, "doc_id").select("cls", "text", "places", "often").mapInPandas(
+            placed_contexts, "key binary, id long, at long, extra binary, hash long")
         placed = scratch.keep(placed, "contexts")
-        pieces = compare_neighbours(placed, REACH, common_spans, scratch, "pieces").select(F.col("p").alias("cls"), F.col("q").alias("start"), F.col("r").alias("end"))
+        pieces = compare_neighbours(placed.where("hash is null"), REACH, common_spans, scratch, "pieces").select(
+            F.col("p").alias("cls"), F.col("q").alias("start"), F.col("r").alias("end"))
+        windows = placed.where("hash is not null").select("hash", F.col("id").alias("cls"), F.col("at").alias("start"))
+        twice = windows.groupBy("hash").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("hash")
+        twice = scratch.keep(twice, "twice")
+        marked = windows.join(twice, "hash", "left_semi").select("cls", "start", (F.col("start") + MIN_WORDS).alias("end"))
         copies = classes.where("n > 1").select("cls", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))
-        spans = islands(pieces.unionByName(copies).distinct())
+        spans = islands(pieces.distinct().unionByName(copies).unionByName(marked))
         return scratch.result(texts.select("doc_id", "cls").join(spans, "cls").select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words")))
