@@ -287,6 +287,25 @@ def test_quality_classifier(spark):
     assert {r.score for r in quality_classifier.score(docs, None).collect()} == {0.5}
 
 
+def test_quality_scores_do_not_depend_on_the_sample_bound(spark, monkeypatch):
+    r, texts, labels = random.Random(9), [], []
+    for k in range(1200):  # plain texts are labelled good with probability 0.97, loud ones with 0.7
+        t, plain = prose(k, 100), k % 2
+        texts.append(t if plain else " ".join(w.upper() + "!!" for w in t.split()))
+        labels.append((k, int(r.random() < (0.97 if plain else 0.7))))
+    docs, given = frame(spark, texts), spark.createDataFrame(labels, "doc_id long, label int")
+    bad = sum(1 - y for _, y in labels)
+    assert 4 * bad < len(texts)
+    scores = {}
+    for bound in (1500, 80):  # 80 cuts the good side, and the other one little
+        monkeypatch.setattr(quality_classifier, "SAMPLE_ROWS", bound)
+        scores[bound] = {x.doc_id: x.score for x in quality_classifier.score(docs, quality_classifier.fit(docs, given)).collect()}
+    for plain in (0, 1):
+        some = [k for k in range(1200) if k % 2 == plain]
+        assert abs(np.mean([scores[1500][k] for k in some]) - np.mean([scores[80][k] for k in some])) < 0.06
+    assert np.mean([scores[80][k] for k in range(0, 1200, 2)]) == pytest.approx(0.7, abs=0.08)
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 

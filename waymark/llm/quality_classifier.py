@@ -10,7 +10,8 @@ did not enter the dictionaries, turns it into a calibrated score.
 
 Learning uses at most ``SAMPLE_ROWS`` texts per label and use, the ones with the smallest hash of their id, and at most
 ``SAMPLE_BYTES`` bytes of each, spread over the text: these bounds keep the training on the driver small whatever the
-corpus. Every text is scored as a whole.
+corpus. A calibration row weighs as many labelled ids as it stands for, so the scores keep the class ratio of all labels,
+also where the bound cuts one class. Every text is scored as a whole.
 
 Nulls and empties: a NULL or empty text compares equal under both dictionaries, so it scores as a difference of 0.
 Without labels of both kinds every score is 0.5. Documents with contradictory labels are learned under each.
@@ -82,26 +83,29 @@ def dictionary(texts: list[list[bytes]]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept by Newton's method, lightly regularised."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of weighted rows by Newton's method, lightly regularised."""
+    weight = weight / weight.mean()
     scale = x.std() or 1.0
     a = np.column_stack([x / scale, np.ones(len(x))])
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 1e-2 * np.eye(2), a.T @ (y - p) - 1e-2 * w)
+        step = np.linalg.solve(a.T @ (a * (weight * p * (1 - p))[:, None]) + 1e-2 * np.eye(2), a.T @ (weight * (y - p)) - 1e-2 * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
     return float(w[0] / scale), float(w[1])
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> dict[tuple[int, int], list[list[bytes]]]:
-    """Blocks of at most ``SAMPLE_ROWS`` texts per label and use; use 0 trains a dictionary, 1 the calibration.
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[dict[tuple[int, int], list[list[bytes]]], dict[tuple[int, int], float]]:
+    """Blocks of at most ``SAMPLE_ROWS`` texts per label and use, and how many labelled ids each chosen one stands for.
 
-    The ids are chosen from the labels alone, then one scan fetches the pieces of those texts.
+    Use 0 trains a dictionary, 1 the calibration. The ids are chosen from the labels alone, then one scan fetches the
+    pieces of those texts.
     """
     order, use = F.xxhash64(F.col("doc_id"), F.lit("quality")), F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    size = {(r["label"], r["use"]): r["count"] for r in labels.where(F.col("label").isin(0, 1)).select("doc_id", "label", use.alias("use")).distinct().groupBy("label", "use").count().collect()}
     chosen: dict = {}
     for label in (0, 1):
         for k in (0, 1):
@@ -118,20 +122,22 @@ def sample(docs: DataFrame, labels: DataFrame) -> dict[tuple[int, int], list[lis
     found: dict = {}
     for r in sorted(rows, key=lambda r: (r["doc_id"], r["blocks"])):
         found.setdefault(r["doc_id"], []).append([bytes(x) for x in r["blocks"]])
-    return {k: [blocks for i in some for blocks in found.get(i, [])] for k, some in chosen.items()}
+    stands = {k: size.get(k, 0) / max(len(some), 1) for k, some in chosen.items()}
+    return {k: [blocks for i in some for blocks in found.get(i, [])] for k, some in chosen.items()}, stands
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model learned from ``docs(doc_id, text)`` and ``labels(doc_id, label)``; None if a label is missing."""
-    texts = sample(docs, labels)
+    texts, stands = sample(docs, labels)
     if not texts[0, 0] or not texts[1, 0]:
         return None
     good, bad = dictionary(texts[1, 0]), dictionary(texts[0, 0])
     both = Compressors(good, bad)
-    held = {k: texts[k, 1] or texts[k, 0] for k in (0, 1)}
-    x = np.array([both.difference(t) for k in (0, 1) for t in held[k]])
-    y = np.array([float(k) for k in (0, 1) for _ in held[k]])
-    slope, intercept = logistic(x, y)
+    held = {k: (k, 1) if texts[k, 1] else (k, 0) for k in (0, 1)}
+    x = np.array([both.difference(t) for k in (0, 1) for t in texts[held[k]]])
+    y = np.array([float(k) for k in (0, 1) for _ in texts[held[k]]])
+    weight = np.array([stands[held[k]] for k in (0, 1) for _ in texts[held[k]]])
+    slope, intercept = logistic(x, y, weight)
     return Model(good, bad, max(slope, 0.0), intercept)
 
 
