@@ -134,6 +134,24 @@ def test_decontamination(spark):
     assert decontamination.find_items(frame(spark, []).limit(0), bench).count() == 0
 
 
+def test_decontamination_of_repeated_items(spark, monkeypatch):
+    passage = prose(110, 60, 3000).split()
+    near = " ".join(passage[:30] + ["changed"] + passage[31:])
+    template = prose(111, 50, 3000)
+    items = [" ".join(passage)] * 10 + [f"{template} {prose(112 + k, 10, 3000)}" for k in range(4)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    edit = items[11].split()
+    edit[52] = "changed"
+    texts = [f"{prose(210 + k, 40)} {t} {prose(310 + k, 40)}" for k, t in enumerate((near, " ".join(edit), items[0], prose(410, 60, 3000)))]
+    found = {}
+    for bound in (20_000, 3):
+        monkeypatch.setattr(decontamination, "SLICE_ITEMS", bound)
+        found[bound] = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontamination.find_items(frame(spark, texts), bench).collect()}
+    assert found[20_000] == found[3]
+    assert set(found[3]) >= {*((0, k) for k in range(10)), (1, 11), *((2, k) for k in range(10))}
+    assert not any(doc == 3 for doc, _ in found[3]) and found[3][0, 0] == pytest.approx(51 / 61)
+
+
 def test_fingerprint_blocks_find_every_close_pair():
     index = decontamination.Index([(1, prose(1, 40)), (2, prose(2, 40))])
     (size, (marks, owner, offset, tables)), = index.sizes.items()

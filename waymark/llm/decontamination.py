@@ -9,8 +9,9 @@ window that stands opposite an item window, with the same fingerprint if the wor
 Fingerprints are compared through four 16-bit blocks: of two fingerprints at distance 7 or less one block differs
 in at most one bit, and the index holds every block value of an item with its 16 one-bit neighbours. So all
 fingerprints within ``RADIUS`` are found, none is missed. Each candidate places the whole item over the document;
-the weighted Jaccard similarity of the five-word shingles there (a shingle counts as often as it occurs, divided
-by the number of items that hold it) must reach ``least``.
+the Jaccard similarity of the five-word shingles there, plain or weighted, must reach ``least``. A shingle counts as
+often as it occurs; its weight is one over the number of different texts of the whole benchmark that hold it, so
+neither equal items nor the slices below change a verdict.
 
 Items shorter than the smallest window are compared as one window of their own length.
 
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,12 +87,12 @@ def fingerprints(upto: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
 class Index:
     """The fingerprints of one slice of items, by window size and block."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], held: dict[int, int] | None = None):
         self.hashes = WordHashes()
         self.words = [self.hashes.of(plain_words(t)) for _, t in items]
         self.ids = [i for i, _ in items]
         self.shingles = [Counter(runs(w, min(SHINGLE, len(w))).tolist()) if len(w) else Counter() for w in self.words]
-        self.held = Counter(s for c in self.shingles for s in c)
+        self.held = held or {}
         by_size = defaultdict(list)
         for k, w in enumerate(self.words):
             if len(w):
@@ -133,13 +135,15 @@ class Index:
                     yield from zip(owner[found[0]].tolist(), (found[1] - offset[found[0]]).tolist(), found[1].tolist(), strict=True)
 
     def similarity(self, item: int, there: Counter) -> float:
+        """The larger one of the plain and the weighted Jaccard similarity."""
         mine = self.shingles[item]
-        least = most = 0.0
+        least = most = plain_least = plain_most = 0.0
         for s in mine.keys() | there.keys():
-            weight = 1 / max(self.held[s], 1)
-            least += weight * min(mine[s], there[s])
-            most += weight * max(mine[s], there[s])
-        return least / most if most else 0.0
+            weight = 1 / self.held.get(s, 1)
+            low, high = min(mine[s], there[s]), max(mine[s], there[s])
+            least, most = least + weight * low, most + weight * high
+            plain_least, plain_most = plain_least + low, plain_most + high
+        return max(least / most, plain_least / plain_most) if most else 0.0
 
     def found_in(self, texts: list[str | None], least: float) -> Iterator[tuple[int, int, int, int, float]]:
         """``(text, item_id, start, n_words, similarity)``: the best place of every item that a text holds.
@@ -170,14 +174,33 @@ def grouped(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
             first, chars = k + 1, 0
 
 
-def slices(benchmark: DataFrame, scratch: Scratch) -> Iterator[list[tuple[int, str]]]:
-    """Items in bounded slices, in ``item_id`` order within even ranges of a hash."""
+def item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The different shingles of each item and a name of its words."""
+    hashes = WordHashes()
+    for b in batches:
+        for text in b["text"]:
+            words = hashes.of(plain_words(text))
+            if len(words):
+                shingles = np.unique(runs(words, min(SHINGLE, len(words)))).view(np.int64)
+                yield pd.DataFrame({"shingle": shingles, "words": xxhash.xxh3_64_intdigest(words.tobytes()) - (1 << 63)})
+
+
+def slices(benchmark: DataFrame, scratch: Scratch) -> Iterator[tuple[list[tuple[int, str]], dict[int, int]]]:
+    """Items in bounded slices, in ``item_id`` order within even ranges of a hash, and how many texts of the whole
+    benchmark hold their shingles, where it is more than one."""
     items = scratch.keep(benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null"), "items")
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    named = scratch.keep(items.select("text").mapInPandas(item_shingles, "shingle long, words long").distinct(), "item-shingles")
+    held = scratch.keep(named.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "held")
     n = 1 + max(2 * size["n"] // SLICE_ITEMS, 2 * (size["chars"] or 0) // SLICE_CHARS)
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield sorted([(r["item_id"], r["text"]) for r in part.collect()], key=lambda r: (r[0] is None, r))
+        shared = held
+        if n > 1:
+            shared = held.join(part.select("text").mapInPandas(item_shingles, "shingle long, words long"), "shingle", "left_semi")
+        found = shared.toArrow()
+        counts = dict(zip(found["shingle"].to_numpy().view(np.uint64).tolist(), found["n"].to_pylist(), strict=True))
+        yield sorted([(r["item_id"], r["text"]) for r in part.collect()], key=lambda r: (r[0] is None, r)), counts
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
@@ -186,9 +209,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> D
     bound_batches(docs.sparkSession)
     with Scratch(docs.sparkSession, "decontamination") as scratch:
         found = None
-        for items in slices(benchmark, scratch):
-            def search(batches: Iterator[pd.DataFrame], items=items) -> Iterator[pd.DataFrame]:
-                index = Index(items)
+        for items, held in slices(benchmark, scratch):
+            def search(batches: Iterator[pd.DataFrame], items=items, held=held) -> Iterator[pd.DataFrame]:
+                index = Index(items, held)
                 for b in batches:
                     ids, texts = b["doc_id"].tolist(), b["text"].tolist()
                     rows = [(ids[first + k], *hit) for first, some in grouped(texts) for k, *hit in index.found_in(some, least)]
