@@ -15,6 +15,7 @@ from waymark.llm import (
     quality_classifier,
     quality_rules,
     repeated_passages,
+    simhash_tiles,
     token_files,
 )
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
@@ -149,3 +150,8 @@ def op10_personal_data(spark, sf):
 @query("op8_repeated_passages")
 def op8_repeated_passages(spark, sf):
     return repeated_passages.repeated_passages(table(spark, sf, "documents"))
+
+
+@query("op13_simhash_tiles")
+def op13_simhash_tiles(spark, sf):
+    return simhash_tiles.group_documents(table(spark, sf, "documents"))
