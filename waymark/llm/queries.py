@@ -16,6 +16,7 @@ from waymark.llm import (
     quality_rules,
     repeated_passages,
     simhash_tiles,
+    token_alignment,
     token_files,
 )
 from waymark.llm.catalog import ORACLES, QUERIES, query  # noqa: F401
@@ -155,3 +156,11 @@ def op8_repeated_passages(spark, sf):
 @query("op13_simhash_tiles")
 def op13_simhash_tiles(spark, sf):
     return simhash_tiles.group_documents(table(spark, sf, "documents"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf):
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align(table(spark, sf, "documents"), *files)
