@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from waymark.catalog.registry import table
 from waymark.llm import (
+    conversation_repair,
     decontamination,
     language_id,
     line_dedup,
@@ -164,3 +165,14 @@ def op11_token_alignment(spark, sf):
 
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return token_alignment.align(table(spark, sf, "documents"), *files)
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark, sf):
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.summarize(conversation_repair.repair(conversation_repair.damage(rows)))
+    ids = rows.select(F.col("conv_id").alias("id")).distinct()
+    joined = ids.join(found, ids["id"].eqNullSafe(found["conv_id"]), "left")
+    numbers = (F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    return joined.select(F.col("id").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
