@@ -4,7 +4,9 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -90,15 +92,15 @@ def test_forgetting_and_large_groups(spark):
     aligner = token_alignment.Aligner.at(*FILES)
     aligner.use(None)
     texts = [soup(900 + k) for k in range(60)]
-    whole = [aligner.numbers[p].sum(0).tolist() for p in aligner.places(texts)]
+    whole = [aligner.numbers[p].sum(0).tolist() for p in aligner.places(pa.array(texts))]
     aligner.forget()
     limit, token_alignment.LARGE_GROUP = token_alignment.LARGE_GROUP, 1
     try:
-        assert [aligner.numbers[p].sum(0).tolist() for p in [aligner.places([t])[0] for t in texts]] == whole
+        assert [aligner.numbers[p].sum(0).tolist() for p in [aligner.places(pa.array([t]))[0] for t in texts]] == whole
     finally:
         token_alignment.LARGE_GROUP = limit
         aligner.forget()
-    last_a, last_b = token_alignment.last_of_component(*(__import__("numpy").array(x) for x in ([2, 4, 6, 8], [1, 3, 5, 7, 8])))
+    last_a, last_b = token_alignment.last_of_component(*(np.array(x) for x in ([2, 4, 6, 8], [1, 3, 5, 7, 8])))
     assert set(last_a.tolist()) == set(last_b.tolist()) == {4}
 
 

@@ -28,20 +28,23 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.text import bound_batches
 from waymark.session import Scratch
 
-CACHED = 300_000
+CACHED = 500_000
 FREQUENT = 1_000_000
 ROUND_CHARS = 100_000
 LARGE_GROUP = 4_096
 SPACE_MARK = "▁"
 #: A lone space at the end of a text stays with the word before: the second library gives no token for it alone.
 BORDER = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
+#: Where not every space is a border: after white space, at the start and at the end.
+UNEVEN = "^ | $|[" + "".join(f"\\x{{{ord(c):x}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "] "
 ID_BITS = 32
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _aligners: dict = {}
@@ -112,18 +115,30 @@ class Aligner:
             self.forget()
 
     def stretches(self, text: str) -> list[str]:
-        return BORDER.split(" " + text) if self.in_stretches else [" " + text]
+        """The stretches of space+text, each without the space it starts with."""
+        return [s[1:] for s in BORDER.split(" " + text)] if self.in_stretches else [text]
+
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """All stretches end to end, and for each text where its own begin and how many there are."""
+        texts = pc.if_else(pc.equal(pc.fill_null(texts, ""), ""), None, texts)
+        uneven = pc.match_substring_regex(texts, UNEVEN) if self.in_stretches else pc.is_valid(texts)
+        even = pc.split_pattern(pc.if_else(uneven, None, texts), " ")
+        odd = pa.array([self.stretches(t) if t is not None else None for t in pc.if_else(uneven, texts, None).to_pylist()], pa.list_(pa.string()))
+        n_even, n_odd = (pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False).astype(np.int64) for some in (even, odd))
+        flat = pa.concat_arrays([even.flatten(), odd.flatten()])
+        start = np.where(n_odd > 0, n_even.sum() + np.cumsum(n_odd) - n_odd, np.cumsum(n_even) - n_even)
+        return flat, start, n_even + n_odd
 
     def _encode(self, stretches: list[str]):
         """``ids of A, ids of B`` of stretches laid end to end, or None where they do not give back the bytes or borders."""
-        whole = "".join(stretches)
+        whole = " " + " ".join(stretches)
         a = self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids
         b = self.b.encode(whole[1:], num_threads=1)
         raw = whole.encode("utf-8", "replace")
         if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
         a, b = np.array(a, np.int64), np.array(b, np.int64)
-        sizes = np.array([len(s.encode("utf-8", "replace")) for s in stretches], np.int64)
+        sizes = np.array([1 + len(s.encode("utf-8", "replace")) for s in stretches], np.int64)
         ends = np.cumsum(sizes)
         for ids, lengths in ((a, self.a_sizes), (b, self.b_sizes)):
             if not np.isin(ends, np.cumsum(lengths[ids])).all():
@@ -133,7 +148,7 @@ class Aligner:
     def learn(self, stretches: list[str]) -> None:
         """Encode and align stretches not met before."""
         units, good, bad = [], [], []
-        plain = [s for s in stretches if not s[-1].isspace()]
+        plain = [s for s in stretches if s and not s[-1].isspace()]
         at = size = 0
         for k, s in enumerate(plain):
             size += len(s)
@@ -141,7 +156,7 @@ class Aligner:
                 units.append(plain[at:k + 1])
                 at, size = k + 1, 0
         # A stretch that ends in white space would run into the next one, so it is encoded alone.
-        units += [[s] for s in stretches if s[-1].isspace()]
+        units += [[s] for s in stretches if not s or s[-1].isspace()]
         for unit in units:
             found = self._encode(unit)
             if found:
@@ -156,8 +171,11 @@ class Aligner:
             self._align(unit, a, b, sizes)
 
     def _add(self, stretches, numbers, groups, linked, rare) -> None:
-        self.known.update(zip(stretches, range(len(self.groups), len(self.groups) + len(stretches)), strict=True))
-        self.numbers = np.concatenate([self.numbers, numbers])
+        at = len(self.groups)
+        self.known.update(zip(stretches, range(at, at + len(stretches)), strict=True))
+        if at + len(stretches) > len(self.numbers):
+            self.numbers = np.concatenate([self.numbers, np.zeros((at + 2 * len(stretches), 7), np.int64)])
+        self.numbers[at:at + len(stretches)] = numbers
         self.groups += groups
         self.linked += linked
         self.rare += rare
@@ -224,28 +242,31 @@ class Aligner:
             x, y = x + p, y + q
         return [";".join(some) for some in each]
 
-    def places(self, texts: list[str | None]) -> list[np.ndarray]:
+    def places(self, texts: pa.Array) -> list[np.ndarray]:
         """The stretches of each text, as places in what is known."""
-        cut = [self.stretches(t) if t else [] for t in texts]
-        new = [s for s in dict.fromkeys(s for some in cut for s in some) if s not in self.known]
+        flat, start, n = self.cut(texts)
+        coded = flat.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [s for s in distinct if s not in self.known]
         if new:
             self.learn(new)
-        return [np.fromiter(map(self.known.__getitem__, some), np.int64, len(some)) for some in cut]
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        return [place[x:x + k] for x, k in zip(start.tolist(), n.tolist(), strict=True)]
 
 
 def pair_counts(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     """``pair, n``: in how many rows of ``docs(text)`` each pair of ids is linked."""
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner.at(byte_level, pieces)
         aligner.use(None)
         seen = np.zeros(0, np.int64)
 
-        def given() -> pd.DataFrame:
+        def given() -> pa.RecordBatch:
             held = np.flatnonzero(seen)
-            return pd.DataFrame({"pair": np.array(aligner.pairs, np.int64)[held], "n": seen[held]})
+            return pa.RecordBatch.from_pydict({"pair": np.array(aligner.pairs, np.int64)[held], "n": seen[held]})
 
         for b in batches:
-            for places in aligner.places(b["text"].tolist()):
+            for places in aligner.places(b.column("text")):
                 if len(seen) < len(aligner.pairs):
                     seen = np.pad(seen, (0, 2 * len(aligner.pairs) - len(seen)))
                 if len(places) and not aligner.numbers[places, 0].any():
@@ -257,7 +278,7 @@ def pair_counts(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
                 aligner.forget()
         yield given()
 
-    return docs.select("text").mapInPandas(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(rated: DataFrame, bound: int) -> tuple[tuple, bool]:
@@ -288,12 +309,16 @@ def align(docs: DataFrame, byte_level: str, pieces: str, frequent: int = FREQUEN
         table, whole = most_frequent(rated, frequent)
         shared = spark.sparkContext.broadcast(table)
 
-        def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner = Aligner.at(byte_level, pieces)
             aligner.use(shared.value)
+            types = [pa.int64()] * 6 + [pa.string()] + [pa.list_(pa.int64())] * 2
+            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare", "times"]
             for b in batches:
+                if not b.num_rows:
+                    continue
                 rows = []
-                for places in aligner.places(b["text"].tolist()):
+                for places in aligner.places(b.column("text")):
                     sums = aligner.numbers[places].sum(0).tolist()
                     if not len(places) or sums[0]:
                         rows.append((0, 0, 0, 0, 0, 0, "", None, None))
@@ -303,13 +328,12 @@ def align(docs: DataFrame, byte_level: str, pieces: str, frequent: int = FREQUEN
                     rare = [r for r in map(aligner.rare.__getitem__, at) if r]
                     keys, number = map(np.concatenate, zip(*rare, strict=True)) if rare else (None, None)
                     rows.append((*sums[1:], digest, keys, number))
-                out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare", "times"])
-                out.insert(0, "doc_id", b["doc_id"].to_numpy())
-                yield out
+                columns = [b.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 if len(aligner.known) > CACHED:
                     aligner.forget()
 
-        found = docs.mapInPandas(aligned, f"{RESULT}, rare array<long>, times array<long>")
+        found = docs.mapInArrow(aligned, f"{RESULT}, rare array<long>, times array<long>")
         if whole:
             return scratch.result(found.drop("rare", "times"))
         found = scratch.keep(found.withColumn("row", F.monotonically_increasing_id()), "rows")
