@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.text import word_count
-from waymark.session import Scratch
+from waymark.session import Scratch, broadcast_if_small
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
@@ -114,10 +114,23 @@ def round_classes(classes: DataFrame, tilts: DataFrame, cap: int, scratch: Scrat
     return now
 
 
+def _salt(key: str, salts: Column) -> Column:
+    """The part of a large class that a row belongs to."""
+    return F.pmod(F.xxhash64(key), salts).cast("int")
+
+
+def _draw(key: str) -> Column:
+    """The order in which rows of a part get a copy more."""
+    return F.xxhash64(key, F.lit("mix"))
+
+
 def copies(docs: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """``key, size, source_size, target, copies`` and the ``carry`` columns for every row of ``docs(key, source, text)``."""
+    """``key, size, source_size, target, copies`` and the ``carry`` columns for every row of ``docs(key, source, text)``.
+
+    ``carry`` may also name ``source`` and the rounding class, ``salt`` of ``salts``.
+    """
     with Scratch(docs.sparkSession, "mixing") as scratch:
-        rows = docs.select(F.col(key).alias("doc_id"), *carry, F.col("source").alias("source"), word_count(F.col("text")).alias("size"))
+        rows = docs.select(F.col(key).alias("doc_id"), *(c for c in carry if c not in ("source", "salt", "salts")), F.col("source").alias("source"), word_count(F.col("text")).alias("size"))
         rows = scratch.keep(rows, "sizes")
         counted = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("m"))
         counted = scratch.keep(counted.withColumn("salts", F.ceil(F.col("m") / CLASS_ROWS).cast("int")), "classes")
@@ -125,29 +138,43 @@ def copies(docs: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS,
         tilts = solve(counted.where("size > 0").select("source", "size", F.col("m").alias("n")), wanted, cap, scratch)
         r, k = rows.alias("r"), counted.alias("k")
         salted = r.join(k, F.col("r.source").eqNullSafe(F.col("k.source")) & (F.col("r.size") == F.col("k.size"))).select(
-            "r.*", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int").alias("salt"))
+            "r.*", "salts", _salt("doc_id", F.col("salts")).alias("salt"))
         salted = scratch.keep(salted, "salted")
         classes = salted.where("size > 0").groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n"))
         rounded = round_classes(scratch.keep(classes, "salted-classes"), tilts, cap, scratch)
-        rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id", F.lit("mix")), "doc_id"))
+        rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy(_draw("doc_id"), "doc_id"))
         ranked, c, w = salted.withColumn("rank", rank).alias("r"), rounded.alias("c"), wanted.alias("w")
         placed = ranked.join(c, F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.size") == F.col("c.size")) & (F.col("r.salt") == F.col("c.salt")), "left")
         mine = F.floor(F.col("c.copies") / F.col("c.n")) + F.when(F.col("rank") <= F.col("c.copies") % F.col("c.n"), 1).otherwise(0)
         with_copies = placed.select("r.*", F.coalesce(mine, F.lit(0)).cast("long").alias("copies")).alias("p")
         return scratch.result(with_copies.join(w, F.col("p.source").eqNullSafe(F.col("w.source"))).select(
-            F.col("doc_id").alias(key), *carry, "size", F.col("source_size").cast("long").alias("source_size"), "target", "copies"))
+            F.col("doc_id").alias(key), *(f"p.{c}" for c in carry), "size", F.col("source_size").cast("long").alias("source_size"), "target", "copies"))
 
 
 def mix(docs: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The mixed documents: every row as often as its copies say, with its own columns."""
-    own = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_key"), "source", "text")
+    """The mixed documents: every row as often as its copies say, with its own columns.
+
+    Inside a class of rounding the rows with the smallest hashes have one copy more, so a row's copies follow from its own
+    hash and the limit of its class; classes are joined, not rows, and no text is shuffled while they are few.
+    Equal rows (by 128 bits) cannot be told apart: one of them stands for the pooled copies of all.
+    """
+    keys = ["_key", "_key1"]
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_key"), F.xxhash64(F.lit("mix"), *docs.columns).alias("_key1"), "source", "text")
     with Scratch(docs.sparkSession, "mix") as scratch:
-        counts = copies(own, cap, weights, key="_key").groupBy("_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-        counts = scratch.keep(counts.where("copies > 0"), "counts")
-        single = scratch.result(counts.where("rows = 1").select("_key", "copies"))
-        several = scratch.result(counts.where("rows > 1").select("_key", "copies"))
-    # Equal rows share a key; being equal, one of them stands for the pooled copies of all.
-    rows = own.select("_row", "_key")
-    equal = rows.join(several, "_key").groupBy("_key").agg(F.first("_row").alias("_row"), F.first("copies").alias("copies"))
-    every = rows.join(single, "_key").select("_row", "copies").unionByName(equal.select("_row", "copies"))
+        found = copies(own, cap, weights, key="_key", carry=("_key1", "source", "salt", "salts"))
+        several = found.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+        several = scratch.result(several.select(*keys, "copies"))
+        used = found.where("size > 0")
+        salts = scratch.result(used.groupBy("source", "size").agg(F.first("salts").alias("salts")))
+        limits = used.groupBy("source", "size", "salt").agg(F.min("copies").alias("low"), F.max(F.struct("copies", _draw("_key").alias("draw"), "_key")).alias("top"))
+        limits = scratch.result(limits.where("top.copies > 0"))
+    rows = own.select("_row", *keys, F.col("source").alias("_source"), word_count(F.col("text")).alias("_size"))
+    s, m = broadcast_if_small(salts).alias("s"), broadcast_if_small(limits).alias("m")
+    classed = rows.join(s, F.col("_source").eqNullSafe(F.col("s.source")) & (F.col("_size") == F.col("s.size"))).select(
+        "_row", *keys, "_source", "_size", _salt("_key", F.col("salts")).alias("_salt"))
+    limited = classed.join(m, F.col("_source").eqNullSafe(F.col("m.source")) & (F.col("_size") == F.col("m.size")) & (F.col("_salt") == F.col("m.salt")))
+    more = F.struct(_draw("_key").alias("draw"), F.col("_key")) <= F.struct(F.col("top.draw").alias("draw"), F.col("top._key").alias("_key"))
+    single = limited.select("_row", *keys, F.when(more, F.col("top.copies")).otherwise(F.col("low")).alias("copies")).join(several.select(*keys), keys, "left_anti")
+    equal = rows.select("_row", *keys).join(several, keys).groupBy(*keys).agg(F.first("_row").alias("_row"), F.first("copies").alias("copies"))
+    every = single.select("_row", "copies").unionByName(equal.select("_row", "copies")).where("copies > 0")
     return every.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_n")).select("_row.*")

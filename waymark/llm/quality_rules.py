@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.text import SPACE, let, lines, words
-from waymark.session import Scratch
+from waymark.session import Scratch, broadcast_if_small
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -128,14 +128,14 @@ def rate_documents(docs: DataFrame, host: str = "source", text: str = "text", ke
 
 
 def filter_documents(docs: DataFrame, host: str = "source", text: str = "text", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The documents that pass, with their own columns; each text is measured once.
+    """The documents that pass, with their own columns.
 
-    What is stored are the measures and the hashes of rejected rows; equal rows have equal verdicts.
+    The base rules are read off each row again instead of joining stored verdicts back, so no text is shuffled; only the
+    refused hosts are joined, broadcast after a count, else spread over ``SALTS`` keys.
     """
-    keys = [F.xxhash64(F.lit(part), *docs.columns).alias(f"_key{part}") for part in (0, 1)]
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host).alias("_own_host"), F.col(text).alias("_text"))
     with Scratch(docs.sparkSession, "quality-rules") as scratch:
-        narrow = docs.select(*keys, F.col(host).alias("_own_host"), F.col(text).alias("_text"))
-        rules = scratch.keep(document_rules(narrow, "_text").select("_key0", "_key1", "_own_host", "base_failed", "failed"), "measures")
-        refused = scratch.keep(host_verdicts(rules, "_own_host", max_host_rate).where("host_refused"), "hosts")
-        gone = scratch.result(judge(rules, "_own_host", refused, "_key0").where("not kept").select("_key0", "_key1").distinct())
-    return docs.select("*", *keys).join(gone, ["_key0", "_key1"], "left_anti").select(*docs.columns)
+        rules = scratch.keep(document_rules(own.select("_own_host", "_text"), "_text").select("_own_host", "base_failed", "failed"), "measures")
+        refused = scratch.result(host_verdicts(rules, "_own_host", max_host_rate).where("host_refused").select("_host"))
+    passed = document_rules(own, "_text").select("_row", "_own_host", "base_failed").where("not base_failed")
+    return judge(passed, "_own_host", broadcast_if_small(refused), "_row").where("kept").select("_row.*")
