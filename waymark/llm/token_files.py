@@ -10,7 +10,8 @@ repeated task leaves no half files:
 * ``parts``: ``part, start`` - ids in all parts before this one.
 
 Tokenizing: a tokenizer that drops white space maps each white-space separated chunk on its own,
-so a worker keeps the ids of chunks it has met (a bounded number) and asks the library for new ones.
+so a worker keeps the ids of chunks it has met (a bounded number) and asks the library for new ones. A tokenizer
+that keeps white space is refused.
 
 Nulls and empties: a NULL or empty text is the end id alone. Rows that share a ``doc_id`` follow each
 other ordered by their ids; a NULL ``doc_id`` comes first. An empty table gives empty files.
@@ -19,30 +20,34 @@ Further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import os
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from waymark.llm.text import bound_batches
 from waymark.session import Scratch
 
-CACHED_CHUNKS = 300_000
-GROUP_CHARS = 1_000_000
+CACHED_CHUNKS = 700_000
+JOINED = 50
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)
 KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 _tokenizers: dict = {}
 
 
 class Encoder:
-    """One tokenizer of a worker with the ids of the chunks met so far.
+    """One tokenizer of a worker with the ids of the chunks met so far, laid end to end.
 
-    The library's own threads are switched off: a task has one core, and Spark runs the tasks side by side.
+    The library's own threads are switched off: a task has one core, and Spark runs the tasks side by side. At
+    ``CACHED_CHUNKS`` chunks all are forgotten; the frequent ones are soon back.
     """
 
     def __init__(self, path: str):
@@ -50,7 +55,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        if self.ids_of([" a  b\n", "a", "b"]) != self.ids_of(["a b", "a", "b"]) or self.ids_of(["a b"])[0] != sum(self.ids_of(["a", "b"]), []):
+            raise ValueError("this tokenizer does not drop white space, so its ids do not follow from the chunks of a text")
+        self.forget()
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -58,31 +65,43 @@ class Encoder:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers.
-
-        Chunks met after ``CACHED_CHUNKS`` others are forgotten again: the frequent ones come early.
-        """
-        chunks = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        new = [c for c in set().union(*chunks) if c not in self.known]
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            found = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            self.known.update((c, struct.pack(f"<{len(ids)}I", *ids)) for c, ids in zip(some, (e.ids for e in found), strict=True))
-        out = [b"".join(map(self.known.__getitem__, c)) for c in chunks]
-        for c in new[max(0, CACHED_CHUNKS - len(self.known) + len(new)):]:
-            del self.known[c]
-        return out
-
-
-def grouped(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Consecutive texts of about ``GROUP_CHARS`` characters."""
-    first, chars = 0, 0
-    for k, t in enumerate(texts):
-        chars += len(t or "")
-        if chars >= GROUP_CHARS or k + 1 == len(texts):
-            yield texts[first:k + 1]
-            first, chars = k + 1, 0
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def ids_of(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Ids of new chunks, encoded ``JOINED`` at a time in one text and told apart by the places they come from."""
+        joined = [chunks[at:at + JOINED] for at in range(0, len(chunks), JOINED)]
+        found, sizes = [], []
+        for at in range(0, len(joined), 200):
+            some = joined[at:at + 200]
+            for words, e in zip(some, self.tokenizer.encode_batch([" ".join(w) for w in some], add_special_tokens=False), strict=True):
+                begins = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+                owner = np.searchsorted(begins, np.array([x for x, _ in e.offsets] or [0], np.int64), "right")
+                found.append(np.array(e.ids, np.uint32))
+                sizes.append(np.bincount(owner[:len(e.ids)], minlength=len(words)))
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        self.ids = np.concatenate([self.ids, *found])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Chunks are cut and numbered by Arrow, and the ids of all texts gathered at once."""
+        if len(self.known) > CACHED_CHUNKS:
+            self.forget()
+        chunks = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if new := [c for c in distinct if c not in self.known]:
+            self.learn(new)
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        start, size = self.ends[place], self.ends[place + 1] - self.ends[place]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+        borders = upto[np.concatenate([[0], np.cumsum(pc.list_value_length(chunks).to_numpy())])].tolist()
+        return [ids[x:y] for x, y in itertools.pairwise(borders)]
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -107,17 +126,20 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
     """Encode every whole text and write the files of ``path``."""
     end = np.asarray([end_id], "<u4").tobytes()
 
-    def tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.at(tokenizer)
+    def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, packer = Encoder.at(tokenizer), ZstdCompressor(level=1)
         for b in batches:
-            ids = [zlib.compress(ids + end, 1) for some in grouped(b["text"].tolist()) for ids in encoder.encode(some)]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": ids})
+            ids = [packer.compress(ids.astype("<u4").tobytes() + end) for ids in encoder.encode(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    def unzipped(column: pd.Series) -> Iterator[np.ndarray]:
+        return (np.frombuffer(raw, "<u4") for raw in map(ZstdDecompressor().decompress, column))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b["ids"]:
-                seen = np.bincount(np.frombuffer(zlib.decompress(ids), "<u4"))
+            for ids in unzipped(b["ids"]):
+                seen = np.bincount(ids)
                 if len(seen) > len(total):
                     total = np.pad(total, (0, len(seen) - len(total)))
                 total[:len(seen)] += seen
@@ -126,7 +148,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
     spark = docs.sparkSession
     bound_batches(spark)
     with Scratch(spark, "tokens") as scratch:
-        tokens = scratch.keep(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(tokenized, "doc_id long, ids binary"), "ids")
+        tokens = scratch.keep(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(tokenized, "doc_id long, ids binary"), "ids")
         # At most one row per id of the vocabulary reaches the driver.
         counts = tokens.select("ids").mapInPandas(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
         order = [r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))]
@@ -136,7 +158,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
         def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             done = 0
             for b in batches:
-                ranks = [rank_of[np.frombuffer(zlib.decompress(ids), "<u4")] for ids in b["ids"]]
+                ranks = [rank_of[ids] for ids in unzipped(b["ids"])]
                 sizes = np.array([len(r) for r in ranks], np.int64)
                 ends = done + np.cumsum(sizes)
                 done = int(ends[-1]) if len(ends) else done
