@@ -120,6 +120,17 @@ def test_global_position_is_dense(spark):
     assert {r.id: r.position for r in rows} == want
 
 
+def test_range_positions_with_one_shared_prefix(spark):
+    names = [f"https://host/path/{(k * 7919) % 20_000:05d}" for k in range(20_000)]
+    df = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "name string, k int").repartition(6)
+    placed = ranking.range_positions(df, ["name"])
+    want = {n: i for i, n in enumerate(sorted(names))}
+    assert {r["name"]: r.position for r in placed.collect()} == want and placed.columns == ["name", "k", "position"]
+    parts = sorted(r["count"] for r in df.repartitionByRange(16, "name").groupBy(F.spark_partition_id()).count().collect())
+    assert len(parts) == 16 and parts[-1] < 2 * parts[8]  # a shared prefix does not gather rows
+    assert ranking.range_positions(df.limit(0), ["name"]).count() == 0
+
+
 # The cutoffs are worked out by hand: the first day on which the running count reaches the wanted rows, never the last day.
 @pytest.mark.parametrize("counts,keep,day", [([5, 5], 0.9, 1), ([1, 1, 8], 0.25, 2), ([10, 1, 1], 0.1, 1), ([3, 3, 3, 3], 0.5, 2), ([1, 9], 0.05, 1),
                                              ([2, 3, 5, 15], 0.1, 1)])
@@ -143,9 +154,9 @@ def test_split_by_date_checks_sides(spark):
 def test_levels(spark):
     df = spark.createDataFrame([(3, 1), (1, None), (3, 9)], "a int, b int")
     levels = splits.category_levels(df, ["a", "b"])
-    assert splits.level_table(levels, "a") == [1, 3]
-    out = df.select(splits.encode_level(F.col("a"), [1, 3]).alias("x"), splits.encode_level(F.col("b"), [0, 9]).alias("y")).collect()
-    assert [(r.x, r.y) for r in out] == [(2, 0), (1, 1), (2, 2)]
+    assert sorted(levels.collect()) == [("a", 1, 1), ("a", 3, 2), ("b", 1, 1), ("b", 9, 2)]
+    out = splits.encode_by_join(df, levels, "a", "x").select("x").orderBy("x").collect()
+    assert [r.x for r in out] == [1, 2, 2]
     joined = splits.encode_by_join(df, levels, "b", "y").orderBy("a", "b").collect()
     assert [r.y for r in joined] == [0, 1, 2]
 

@@ -237,6 +237,14 @@ def versioned_lookup(spark, sf):
     return sorted_codes(table(spark, sf, "part"), ["p_name", "p_brand"])
 
 
+@query("url_codes", """
+SELECT value AS url, cast(row_number() OVER (ORDER BY value) AS int) AS code FROM (
+  SELECT DISTINCT lower(trim(coalesce(url, ''))) AS value FROM pages) WHERE value NOT IN ('', 'unknown')""")
+def url_codes(spark, sf):
+    """Codes of very many values that begin alike."""
+    return sorted_codes(table(spark, sf, "pages"), ["url"]).withColumnRenamed("value", "url")
+
+
 @query("route_bucket", f"""
 SELECT event_id, {_route('pickup_zone_id', 'dropoff_zone_id')} AS route_pair_id FROM ({X.EVENT_TRIPS}) e""")
 def route_buckets(spark, sf):

@@ -9,7 +9,7 @@ from waymark.catalog import fixtures as X
 from waymark.catalog.registry import SparkDialect, query, table
 from waymark.operators.requests import (explode_requests, failed_requests, feature_rows, parse_requests, quarantine,
                                         response_rows, scoring_rows, slow_requests, validate_requests)
-from waymark.operators.scoring import CANDIDATES, fit, score_batches
+from waymark.operators.scoring import CANDIDATES, MAX_ROUNDS, fit, score_batches
 from waymark.operators.metrics import label_cap
 from waymark.plans.scoring import score_requests
 from waymark.session import scratch_dir
@@ -104,7 +104,7 @@ def score_with_trees(spark, sf):
     """The same requests through a fitted tree model."""
     train = X.matrix(spark, sf)
     cap, _ = label_cap(train, S.LABEL)
-    return score_requests(X.requests(spark, sf), fit(train, CANDIDATES[5], cap, rounds=2), cap, "m1")
+    return score_requests(X.requests(spark, sf), fit(train, CANDIDATES[5], cap, MAX_ROUNDS), cap, "m1")
 
 
 # --- request log ----------------------------------------------------------------------------------

@@ -13,9 +13,9 @@ from waymark.operators.gates import (coerce_matrix, drift_gate, matrix_gate, mod
                                      training_frame)
 from waymark.operators.metrics import (baseline_metrics, error_metrics, from_log_target, label_cap, prediction_parity,
                                        to_log_target)
-from waymark.operators.scoring import CANDIDATES, fit, score, search
-from waymark.operators.splits import (category_levels, encode_by_join, encode_level, even_sample, fraction_cutoff,
-                                      level_table, nested_split, rows_per_date, split_by_date, split_by_fraction)
+from waymark.operators.scoring import CANDIDATES, MAX_ROUNDS, fit, score, search
+from waymark.operators.splits import (category_levels, encode_by_join, even_sample, fraction_cutoff, nested_split,
+                                      rows_per_date, split_by_date, split_by_fraction)
 
 from waymark.plans.training import SAMPLE_COARSE, SAMPLE_FINE, SAMPLE_ORDER, sample_keys
 
@@ -230,7 +230,7 @@ def level_encode(spark, sf):
     m = table(spark, sf, "events").select("event_id", "ts", (F.col("user_id") % 25).cast("int").alias("zone"),
                                           F.hour("ts").alias("hour"))
     known = category_levels(m.where("ts < timestamp_ntz'2024-01-01 12:00:00'"), ["zone", "hour"])
-    coded = m.withColumn("zone_code", encode_level(F.col("zone"), level_table(known, "zone")))
+    coded = encode_by_join(m, known, "zone", "zone_code")
     return encode_by_join(coded, known, "hour", "hour_code").select("event_id", "zone_code", "hour_code")
 
 
@@ -301,14 +301,23 @@ def training_frames(spark, sf):
         F.sum("pickup_zone_id").alias("zones"), F.sum(F.col(L).cast("double")).alias("label_sum"), F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("gbt_candidates")
+_SEARCHED = _sample_sql(_INNER, "as_of_ts, trip_id", 5_000, "trip_id, as_of_date")
+
+
+@query("gbt_candidates", f"""
+WITH inn AS ({_INNER}), sam AS ({_SEARCHED}), cut AS (SELECT {_cutoff_sql('SELECT * FROM sam', S.SEARCH_KEEP_FRACTION)} AS c)
+SELECT {len(CANDIDATES)} AS candidates, (SELECT count(*) FROM inn, cut WHERE as_of_date > c) AS judged_rows, true AS winner_has_least_error,
+  true AS some_cut, true AS all_ran_out""")
 def gbt_candidates(spark, sf):
-    """Two of the candidates with few rounds; one report row per candidate."""
+    """The whole search: every candidate, early stopping, judged on every row of the validation dates."""
     parts = _training_parts(spark, sf)
     value, _ = label_cap(parts["train"], L)
-    winner, best, reports = search(parts["search_train"], parts["search_validation"], value, CANDIDATES[:2], rounds=3)
-    rows = [(r["name"], r["best_iteration"], r["rows"], r["mae_seconds_capped"], r["name"] == winner.name) for r in reports]
-    return spark.createDataFrame(rows, "name string, best_iteration int, n_rows double, mae_capped double, selected boolean")
+    winner, best, reports = search(parts["search_train"], parts["search_judged"], value)
+    least = min(r["mae_seconds_capped"] for r in reports)
+    chosen = [r for r in reports if r["name"] == winner.name][0]
+    row = (len(reports), int(reports[0]["rows"]), chosen["mae_seconds_capped"] == least and chosen["best_iteration"] == best,
+           any(r["best_iteration"] < r["rounds"] for r in reports), all(r["stopped_early"] or r["rounds"] == MAX_ROUNDS for r in reports))
+    return spark.createDataFrame([row], "candidates int, judged_rows long, winner_has_least_error boolean, some_cut boolean, all_ran_out boolean")
 
 
 def _training_parts(spark, sf):
@@ -321,7 +330,7 @@ def score_matrix(spark, sf):
     """Fit on the train side and score every test row."""
     train, test = split_by_date(X.matrix(spark, sf), TEST_START)
     value, _ = label_cap(train, L)
-    return score(test, fit(train, CANDIDATES[5], value, rounds=3), value).select("trip_id", L, "prediction_seconds")
+    return score(test, fit(train, CANDIDATES[5], value, MAX_ROUNDS), value).select("trip_id", L, "prediction_seconds")
 
 
 # --- drift -----------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.parsing import norm_text
-from waymark.operators.ranking import global_position
+from waymark.operators.ranking import range_positions
 from waymark.session import broadcast_if_small
 
 
@@ -65,12 +65,8 @@ def category_values(df: DataFrame, columns: Sequence[str], exclude: Sequence[str
 
 def sorted_codes(df: DataFrame, columns: Sequence[str], exclude: Sequence[str] = ("", "unknown")) -> DataFrame:
     """Distinct normalised values over ``columns``, numbered 1..n in sorted order."""
-    values = category_values(df, columns, exclude).withColumns(
-        {"_first": F.substring("value", 1, 1), "_third": F.substring("value", 1, 3)})
-    return (
-        global_position(values, [F.col("value")], ["_first"], ["_third"])
-        .select("value", (F.col("position") + 1).cast("int").alias("code"))
-    )
+    placed = range_positions(category_values(df, columns, exclude), ["value"])
+    return placed.select("value", (F.col("position") + 1).cast("int").alias("code"))
 
 
 def attach_codes(df: DataFrame, codes: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -8,13 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waymark.session import several_passes
+from waymark.session import Scratch, several_passes
 
 _SKETCH_ACCURACY = 2_000
 _FEW_VALUES = 100_000  # distinct values per column that may be ranked from value counts
 _FEW_ROWS = 200_000  # values of one bracket that may be sorted in one task
 
 
+def range_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """Append the 0-based place of each row in the order of distinct keys ``order``.
+
+    Rows are dealt to range partitions from a sample of the keys and sorted there, so a prefix that all keys share
+    does not matter; a place is the rows of the partitions before plus the place inside. The sorted rows are
+    written, as counts and places must come from the same partitions; one row per partition is summed up and broadcast.
+    """
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    with Scratch(df.sparkSession, "positions") as scratch:
+        ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        stored = scratch.result(ordered.withColumns({"_part": F.spark_partition_id(), "_inside": inside}))
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = stored.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    return placed.select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name))
+
+
 def bucket_offsets(df: DataFrame, coarse: Sequence[str], fine: Sequence[str]) -> DataFrame:
     """Rows before each (coarse, fine) bucket, with its size and the grand total.
 

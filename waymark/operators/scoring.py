@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from waymark import settings as S
 from waymark.operators.metrics import error_metrics, from_log_target, to_log_target
-from waymark.session import materialize
+from waymark.session import Scratch
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,8 @@ CANDIDATES = (
     Candidate("small_tree_fast", 0.04, 15, -1, 60, 0.70, 0.90),
     Candidate("extra_wide_low_lr", 0.02, 128, -1, 15, 0.75, 0.85),
 )
+#: Boosting rounds at most, and rounds without a better one after which it stops.
+MAX_ROUNDS, PATIENCE = 40, 5
 COLD_START = ("avg_duration_7d_zone_hour", "avg_fare_30d_zone")
 MODEL_COLUMNS = (*S.FEATURES, *[f"{c}_missing" for c in COLD_START])
 
@@ -104,26 +108,57 @@ def score_batches(df: DataFrame, load: Callable[[], Callable[[np.ndarray], np.nd
     return df.select(*key_names, *names).mapInPandas(run, f"{fields}, prediction_seconds double")
 
 
-def search(train: DataFrame, validation: DataFrame, cap: float, candidates: Sequence[Candidate] = CANDIDATES,
-           rounds: int = 20) -> tuple[Candidate, int, list[dict]]:
-    """Fit every candidate; the lowest capped MAE wins and the first wins ties.
+def fit_stopped(train: DataFrame, validation: DataFrame, candidate: Candidate, cap: float, rounds: int, patience: int) -> tuple[PipelineModel, dict]:
+    """A model cut at its best round, and how boosting went.
 
-    Both sides are written to the shared folder first: every boosting round reads
-    them again. Returns the winner, its best number of rounds and one report per
-    candidate.
+    Boosting goes on in blocks that double until ``patience`` rounds bring nothing better on the validation rows. Trees follow
+    from the seed and the rows, so fitting again with as many rounds as were best gives the same first trees.
     """
-    train = materialize(train.select(*S.FEATURES, S.LABEL), "search-train")
-    validation = materialize(validation.select(*S.FEATURES, S.LABEL), "search-validation")
-    reports = []
-    for c in candidates:
-        model = fit(train, c, cap, rounds)
+    tried = min(rounds, 2 * patience)
+    while True:
+        model = fit(train, candidate, cap, tried)
         trees: GBTRegressionModel = model.stages[-1]
-        assembled = model.stages[0].transform(with_model_columns(validation)).withColumn(
-            "target", to_log_target(F.col(S.LABEL), cap))
+        assembled = model.stages[0].transform(with_model_columns(validation)).withColumn("target", to_log_target(F.col(S.LABEL), cap))
         losses = trees.evaluateEachIteration(assembled, "absolute")
-        best = int(np.argmin(losses)) + 1
-        row = error_metrics(score(validation, model, cap), S.LABEL, "prediction_seconds", cap).first().asDict()
-        reports.append({"name": c.name, "best_iteration": best, **row})
+        best, stopped = stopping_round(losses, patience)
+        if stopped or tried == rounds:
+            break
+        tried = min(rounds, 2 * tried)
+    cut = model if best == tried else fit(train, candidate, cap, best)
+    return cut, {"best_iteration": best, "rounds": tried, "stopped_early": stopped, "log_loss": float(losses[best - 1])}
+
+
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The best round before ``patience`` rounds without a better one, 1-based, and whether those were seen."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def search(train: DataFrame, validation: DataFrame, cap: float, candidates: Sequence[Candidate] = CANDIDATES,
+           rounds: int = MAX_ROUNDS, patience: int = PATIENCE, parallel: int = 4) -> tuple[Candidate, int, list[dict]]:
+    """Fit every candidate with early stopping; the lowest capped MAE wins and the first wins ties.
+
+    Both sides are written to the shared folder first: every boosting round reads them again. ``parallel``
+    candidates share the cluster, as a round of a small sample leaves most of it idle. Returns the winner, its
+    best number of rounds and one report per candidate, all judged with the ensemble cut at its best round.
+    """
+    spark = train.sparkSession
+    with Scratch(spark, "search") as scratch:
+        train = scratch.keep(train.select(*S.FEATURES, S.LABEL), "train")
+        validation = scratch.keep(validation.select(*S.FEATURES, S.LABEL), "validation")
+
+        def report(c: Candidate) -> dict:
+            model, went = fit_stopped(train, validation, c, cap, rounds, patience)
+            errors = error_metrics(score(validation, model, cap), S.LABEL, "prediction_seconds", cap).first().asDict()
+            return {"name": c.name, **went, **errors}
+
+        with ThreadPoolExecutor(parallel) as pool:
+            reports = list(pool.map(inheritable_thread_target(spark)(report), candidates))
     winner = min(range(len(reports)), key=lambda i: reports[i]["mae_seconds_capped"])
     return candidates[winner], reports[winner]["best_iteration"], reports
 

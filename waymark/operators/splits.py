@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waymark.operators.ranking import bucket_offsets, global_position
+from waymark.operators.ranking import bucket_offsets, global_position, range_positions
 from waymark.session import BROADCAST_ROWS
 from waymark.settings import INNER_KEEP_FRACTION, SEARCH_KEEP_FRACTION, TEST_START_DATE
 
@@ -106,48 +106,40 @@ def _first_wanted_at_or_after(position: Column, total: Column, m: int) -> Column
 
 def nested_split(df: DataFrame, sample_rows: int, order: Sequence[Column], coarse: Sequence[str],
                  fine: Sequence[str], test_start: str = TEST_START_DATE, column: str = "as_of_date") -> dict:
-    """Test split, inner validation split, sample of the inner part, search split."""
+    """Test split, inner validation split, sample of the inner part, search split.
+
+    The sample bounds the rows a search fits on; ``search_judged`` are all inner rows of its validation dates.
+    """
     train, test = split_by_date(df, test_start, column)
     inner, validation = split_by_fraction(train, INNER_KEEP_FRACTION, column)
     sampled = even_sample(inner, order, sample_rows, coarse, fine)
-    search_train, search_validation = split_by_fraction(sampled, SEARCH_KEEP_FRACTION, column)
+    cutoff = fraction_cutoff(sampled, SEARCH_KEEP_FRACTION, column).first()["cutoff_date"]
+    if cutoff is None:
+        raise ValueError("a date split needs at least two dates")
+    late = F.col(column) > F.lit(str(cutoff)).cast("date")
     return {"train": train, "test": test, "inner_train": inner, "inner_validation": validation, "sample": sampled,
-            "search_train": search_train, "search_validation": search_validation}
+            "search_train": sampled.where(~late), "search_validation": sampled.where(late), "search_judged": inner.where(late)}
 
 
 def category_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column and distinct value, numbered 1..k in ascending order.
 
-    Values are de-duplicated with map-side combine before any ordering; the order
-    is per column over distinct category codes.
+    Values are de-duplicated with map-side combine, then all columns are ranked together over range partitions;
+    a column's numbers start at its first place, one row per column.
     """
     values = (
         df.select(*[F.col(c).try_cast("bigint").alias(c) for c in columns])
         .unpivot([], list(columns), "column_name", "level")
         .where(F.col("level").isNotNull()).distinct()
     )
-    by_column = W.partitionBy("column_name").orderBy("level")
-    return values.withColumn("code", F.row_number().over(by_column))
-
-
-def level_table(levels: DataFrame, column: str, max_levels: int = 100_000) -> list[int]:
-    """Ascending levels of one column for the driver; an error beyond ``max_levels``."""
-    rows = (levels.where(F.col("column_name") == column).orderBy("level").select("level")
-            .limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; join on category_levels() instead")
-    return [r["level"] for r in rows]
-
-
-def encode_level(value: Column, levels: Sequence[int]) -> Column:
-    """Position of the value among the levels, 1-based; 0 when unknown. NULL counts as 0."""
-    table = F.map_from_arrays(F.array(*[F.lit(int(v)) for v in levels]),
-                              F.array(*[F.lit(i + 1) for i in range(len(levels))]))
-    return F.coalesce(F.try_element_at(table, F.coalesce(value.cast("int"), F.lit(0))), F.lit(0)).cast("int")
+    placed = range_positions(values, ["column_name", "level"])
+    first = placed.groupBy("column_name").agg(F.min("position").alias("_first"))
+    code = (F.col("position") - F.col("_first") + 1).cast("int").alias("code")
+    return placed.join(F.broadcast(first), "column_name").select("column_name", "level", code)
 
 
 def encode_by_join(df: DataFrame, levels: DataFrame, column: str, target: str) -> DataFrame:
-    """:func:`encode_level` for level lists of any size."""
+    """Number of the value among the levels of ``column``; 0 when unknown. NULL counts as 0."""
     side = levels.where(F.col("column_name") == column).select(F.col("level").alias("_level"),
                                                                F.col("code").alias("_level_code"))
     return (

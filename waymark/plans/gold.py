@@ -28,7 +28,6 @@ HISTORY_FEATURES = (
 )
 SERVICE_ZONE_COLUMNS = ("pickup_service_zone", "dropoff_service_zone")
 MAX_SERVICE_ZONES = 100_000  # what one contract row can reasonably list
-MAP_CODES = 1_000  # up to here codes are a literal map, beyond it a join
 
 
 def filter_run(df: DataFrame, run_id: str) -> DataFrame:
@@ -84,13 +83,8 @@ def training_matrix(silver: DataFrame, service_zones: Sequence[str], min_label:
     base = with_route(point_in_time_base(silver)).withColumns({
         f"{role}_borough_id": fixed_code(F.col(f"{role}_borough"), S.BOROUGH_CODES) for role in ("pickup", "dropoff")})
     targets = {c: f"{c}_id" for c in SERVICE_ZONE_COLUMNS}
-    if len(service_zones) <= MAP_CODES:
-        codes = {"unknown": 0} | {v: i for i, v in enumerate(service_zones, 1)}
-        base = base.withColumns({t: fixed_code(F.col(c), codes) for c, t in targets.items()})
-    else:
-        table = silver.sparkSession.createDataFrame(list(zip(service_zones, range(1, len(service_zones) + 1))),
-                                                    "value string, code int")
-        base = attach_codes(base, table, targets)
+    table = silver.sparkSession.createDataFrame(list(zip(service_zones, range(1, len(service_zones) + 1))), "value string, code int")
+    base = attach_codes(base, table, targets)
     return with_history(base).where(usable_label(min_label, max_label)).select(*S.MATRIX_COLUMNS)
 
 

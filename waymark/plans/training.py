@@ -35,7 +35,7 @@ def train(matrix: DataFrame, sample_rows: int, rounds: int, candidates: Sequence
     parts = nested_split(sample_keys(matrix), sample_rows, [F.col(c) for c in SAMPLE_ORDER], SAMPLE_COARSE, SAMPLE_FINE,
                          test_start)
     cap, median = label_cap(parts["train"], S.LABEL)
-    winner, best_iteration, reports = search(parts["search_train"], parts["search_validation"], cap, candidates, rounds)
+    winner, best_iteration, reports = search(parts["search_train"], parts["search_judged"], cap, candidates, rounds)
     model = refit(parts["train"], winner, best_iteration, cap, min_rounds)
     evaluated = {
         name: error_metrics(score(parts[name], model, cap), S.LABEL, "prediction_seconds", cap).first().asDict()
