@@ -3,7 +3,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from waymark.session import scratch_dir
-from waymark.streaming.jobs import drain, in_flight, metric_rollup, read_files, stream_ingest, stream_latest
+from waymark.streaming import batches, metrics
+from waymark.streaming.batches import fold_latest, latest_rows, stream_latest
+from waymark.streaming.jobs import drain, in_flight, metric_rollup, read_files, stream_ingest
 
 LOG = "ts timestamp_ntz, route string, method string, status_code int, latency_ms double, batch_size int"
 
@@ -54,8 +56,27 @@ def test_newest_copy_wins_in_any_order(spark):
     spark.createDataFrame([(0, t + timedelta(days=2), 3)], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream = read_files(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema, max_files=1)
     stream_latest(stream, lambda b: b.withColumn("day", F.to_date("ts")), f"{base}/out", f"{base}/state", "trip_id", ["version"], "day").awaitTermination()
-    got = {r.trip_id: r.version for r in spark.read.parquet(f"{base}/out").collect()}
-    assert got == {10 * k + i: 3 if (k, i) == (0, 0) else 2 for k in range(3) for i in range(5)}
+    want = {10 * k + i: 3 if (k, i) == (0, 0) else 2 for k in range(3) for i in range(5)}
+    spec = ("trip_id", ["version"], "day")
+
+    def held():
+        rows = latest_rows(spark, f"{base}/out", *spec).collect()
+        return {r.trip_id: r.version for r in rows} if len({r.trip_id for r in rows}) == len(rows) else None
+
+    assert held() == want
+    fold_latest(spark, f"{base}/out", *spec)
+    assert held() == want and batches.complete(spark, f"{base}/out/new", "batch") == []
+    # A late row folds its own day only, and a fold that dies before it is marked changes nothing.
+    batches.write_batch(spark.createDataFrame([(10, t + timedelta(days=1), 9)], schema).withColumn("day", F.to_date("ts")), f"{base}/out/new", 7, "day")
+    late = want | {10: 9}
+    assert held() == late
+    spark.range(1).selectExpr("int(id) AS trip_id", "timestamp_ntz'2020-01-01' AS ts", "5 AS version", "date'2020-01-01' AS day").write.partitionBy("day").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/out/base/gen=7")
+    assert held() == late
+    fold_latest(spark, f"{base}/out", *spec)
+    assert held() == late and batches.complete(spark, f"{base}/out/base", "gen") == [3, 7]
+    days = [r.day for r in spark.read.parquet(f"{base}/out/base/gen=7").select("day").distinct().collect()]
+    assert days == [(t + timedelta(days=1)).date()]
 
 
 def test_ingest_takes_new_files_once(spark):
@@ -73,3 +94,20 @@ def test_ingest_takes_new_files_once(spark):
     frame(10, 15).coalesce(1).write.mode("append").parquet(f"{base}/in")
     run()
     assert sorted(r.id for r in spark.read.parquet(f"{base}/out").collect()) == list(range(15))
+
+
+def test_live_metrics_hold_every_window_and_count_late_rows(spark):
+    base, whole = scratch_dir(spark, "live"), log(spark)
+    later = spark.createDataFrame([(datetime(2024, 3, 10, 6, 0), "/predict", "POST", 200, 1.0, 1)], LOG)
+    late = spark.createDataFrame([(datetime(2024, 3, 10, 2, 30, 1), "/predict", "POST", 200, 1.0, 1)], LOG)
+    for part in (whole, later, late):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = read_files(spark, f"{base}/in", whole.schema, max_files=1)
+    metrics.stream_metrics(stream, f"{base}/out", f"{base}/state", delay="1 minute").awaitTermination()
+    every = whole.unionByName(later).unionByName(late)
+    order = ["window_start", "route", "status_code"]
+    assert metrics.live_rollup(spark, f"{base}/out").orderBy(*order).collect() == metric_rollup(every).select(
+        *metrics.live_rollup(spark, f"{base}/out").columns).orderBy(*order).collect()
+    assert [tuple(r) for r in metrics.late_rows(spark, f"{base}/out").collect()] == [("/predict", 1)]
+    levels = [(r.window_start.second, r.open_at_end) for r in metrics.live_open_requests(spark, f"{base}/out").orderBy("window_start").collect()]
+    assert levels == [(0, 1), (15, 1), (30, 0), (0, 0)]

@@ -13,8 +13,9 @@ from waymark.operators.scoring import CANDIDATES, MAX_ROUNDS, fit, score_batches
 from waymark.operators.metrics import label_cap
 from waymark.plans.scoring import score_requests
 from waymark.session import scratch_dir
-from waymark.streaming.jobs import (BATCH_BOUNDS, LATENCY_BOUNDS, drain, in_flight, metric_rollup, read_files, stream_canonical,
-                                    stream_ingest, stream_latest)
+from waymark.streaming import metrics
+from waymark.streaming.batches import latest_rows, stream_latest
+from waymark.streaming.jobs import BATCH_BOUNDS, LATENCY_BOUNDS, in_flight, metric_rollup, read_files, stream_canonical, stream_ingest
 
 KIND = "event_id % 16"
 _ERRORS = {
@@ -153,37 +154,52 @@ def _event_stream(spark, sf):
     return read_files(spark, sf, schema, max_files=1, glob="events.parquet")
 
 
+def _newest_first(spark, rows, name, files=4):
+    """A stream over four parts of ``rows``, the newest first, one per trigger; rows without ``ts`` come last."""
+    path = scratch_dir(spark, name)
+    seconds = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = rows.agg(F.percentile_approx(seconds, [0.25, 0.5, 0.75], 1000)).first()[0] or []
+    part = sum((F.when(seconds > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for k in reversed(range(len(cuts) + 1)):
+        rows.where(part == k).repartition(files).write.mode("append").parquet(path)
+    return read_files(spark, path, rows.schema, max_files=files)
+
+
+def _log_stream(spark, sf):
+    return _newest_first(spark, X.request_log(spark, sf), "log-input")
+
+
 @query("stream_metric_rollup", f"""
-WITH r AS ({_rollup_sql(3600)}) SELECT window_start, route, status_code, requests, errors, latency_sum
-FROM r WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+WITH r AS ({_rollup_sql(3600)}) SELECT window_start, route, status_code, requests, errors, latency_sum, latency_le_100, batch_sum FROM r""")
 def stream_metric_rollup(spark, sf):
-    """Windows the watermark has closed, in append mode."""
-    log = _event_stream(spark, sf).selectExpr(*[f"{e} AS {a}" for a, e in X.log_exprs(SparkDialect).items()])
-    out = drain(metric_rollup(log, window="1 hour", delay="10 minutes"), "rollup")
-    return out.select("window_start", "route", "status_code", "requests", "errors", "latency_sum")
+    """All windows, from a log that arrives newest part first."""
+    base = scratch_dir(spark, "metrics")
+    metrics.stream_metrics(_log_stream(spark, sf), f"{base}/table", f"{base}/state", "1 hour").awaitTermination()
+    return metrics.live_rollup(spark, f"{base}/table").select("window_start", "route", "status_code", "requests", "errors", "latency_sum", "latency_le_100", "batch_sum")
 
 
-def _backwards(spark, rows, name):
-    """A stream over four files, the newest rows first; files arrive one per trigger."""
-    path = scratch_dir(spark, name)
-    days = rows.withColumn("_day", F.to_date("ts")).select("_day").distinct().orderBy("_day").collect()
-    for k in range(4):
-        first, last = (days[min(len(days) * x // 4, len(days) - 1)]["_day"] for x in (3 - k, 4 - k))
-        part = rows.where((F.to_date("ts") >= first) & ((F.to_date("ts") < last) if k else F.lit(True)))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return read_files(spark, path, rows.schema, max_files=1)
+@query("stream_open_requests", f"""
+WITH l AS ({X.LOG}), m AS (SELECT ts AS moment, route, 1 AS d FROM l
+  UNION ALL SELECT ts + to_microseconds(cast(latency_ms * 1000 AS bigint)), route, -1 FROM l),
+n AS (SELECT time_bucket(INTERVAL 15 SECOND, moment, TIMESTAMP '1970-01-01') AS window_start, route, cast(sum(d) AS bigint) AS net_started FROM m GROUP BY ALL)
+SELECT window_start, route, net_started, cast(sum(net_started) OVER (PARTITION BY route ORDER BY window_start) AS bigint) AS open_at_end FROM n""")
+def stream_open_requests(spark, sf):
+    """The level of open requests at the end of every export window."""
+    base = scratch_dir(spark, "metrics")
+    metrics.stream_metrics(_log_stream(spark, sf), f"{base}/table", f"{base}/state").awaitTermination()
+    return metrics.live_open_requests(spark, f"{base}/table").select("window_start", "route", "net_started", "open_at_end")
 
 
 @query("stream_dedupe", """
 SELECT event_id, ts, cast(round(value * 100) AS bigint) + 1 AS cents FROM events""")
 def deduped_stream(spark, sf):
-    """Every event arrives twice, newest day first and the newer copy before the older; the newest copies stay."""
+    """Every event arrives twice, newest part first and the newer copy before the older; the newest copies stay."""
     events = table(spark, sf, "events").select("event_id", "ts", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
     copies = events.withColumn("version", F.explode(F.array(F.lit(2), F.lit(1)))).withColumn("cents", F.col("cents") + F.col("version") - 1)
     base = scratch_dir(spark, "latest")
-    stream = _backwards(spark, copies, "latest-input")
-    stream_latest(stream, lambda b: b.withColumn("day", F.to_date("ts")), f"{base}/table", f"{base}/state", "event_id", ["version"], "day").awaitTermination()
-    return spark.read.parquet(f"{base}/table").select("event_id", "ts", "cents")
+    stream, spec = _newest_first(spark, copies, "latest-input"), ("event_id", ["version"], "day")
+    stream_latest(stream, lambda b: b.withColumn("day", F.to_date("ts")), f"{base}/table", f"{base}/state", *spec, fold_every=3).awaitTermination()
+    return latest_rows(spark, f"{base}/table", *spec).select("event_id", "ts", "cents")
 
 
 @query("stream_ingest", """
@@ -200,16 +216,19 @@ def ingested_stream(spark, sf):
 
 @query("stream_canonical", f"""
 SELECT pickup_ts, dropoff_ts, pickup_location_id, dropoff_location_id, pickup_borough, dropoff_service_zone,
-  trip_duration_seconds, fare_amount FROM ({X.SILVER}) s WHERE trip_duration_seconds > 0""")
+  trip_duration_seconds, fare_amount, 2.0 AS tip_amount FROM ({X.SILVER}) s WHERE trip_duration_seconds > 0""")
 def canonical_stream(spark, sf):
-    """Events as bronze rows, each arriving twice, through the streaming canonical job."""
-    bronze = _event_stream(spark, sf).selectExpr(*[f"{e} AS {a}" for a, e in X.event_trip_exprs(SparkDialect).items()]).select(
+    """Events as bronze rows in four parts, each arriving as two copies with other tips, through the streaming canonical job."""
+    events = table(spark, sf, "events")
+    twice = events.withColumn("_copy", F.explode(F.array(F.lit(2), F.lit(1))))
+    exprs = X.event_trip_exprs(SparkDialect)
+    bronze = _newest_first(spark, twice, "canonical-input").selectExpr(*[f"{e} AS {a}" for a, e in exprs.items()], "_copy").select(
         "pickup_ts", "dropoff_ts", F.col("pickup_zone_id").cast("bigint").alias("pickup_location_id"),
         F.col("dropoff_zone_id").cast("bigint").alias("dropoff_location_id"), F.col("event_id").alias("vendor_id"),
-        F.lit(1.0).alias("trip_distance"), "fare_amount", F.col("fare_amount").alias("total_amount"),
-        *[F.lit("x").alias(c) for c in S.LINEAGE_COLUMNS if c != "ingestion_ts"], F.col("pickup_ts").alias("ingestion_ts"),
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("_copy"))
+        F.lit(1.0).alias("trip_distance"), "fare_amount", F.col("fare_amount").alias("total_amount"), F.col("_copy").cast("double").alias("tip_amount"),
+        *[F.lit("x").alias(c) for c in S.LINEAGE_COLUMNS if c != "ingestion_ts"],
+        F.timestamp_add("SECOND", F.col("_copy"), F.col("pickup_ts")).alias("ingestion_ts"))
     base = scratch_dir(spark, "canonical")
-    out = stream_canonical(bronze.drop("_copy"), X.zones(spark, sf), "run-1", f"{base}/table", f"{base}/state")
+    out = stream_canonical(bronze, X.zones(spark, sf), "run-1", f"{base}/table", f"{base}/state")
     return out.select("pickup_ts", "dropoff_ts", "pickup_location_id", "dropoff_location_id", "pickup_borough",
-                      "dropoff_service_zone", "trip_duration_seconds", "fare_amount")
+                      "dropoff_service_zone", "trip_duration_seconds", "fare_amount", "tip_amount")

@@ -11,9 +11,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from waymark import settings as S
 from waymark.functions.times import as_instant, utc_wall
-from waymark.operators.dedupe import dedupe_latest
 from waymark.plans.silver import valid_trips, with_zones
-from waymark.session import Scratch, scratch_dir
+from waymark.session import scratch_dir
+from waymark.streaming.batches import latest_rows, stream_latest
 
 # Histogram bounds of request latency (ms) and batch size.
 LATENCY_BOUNDS = (5, 10, 25, 50, 75, 100, 250, 500, 750, 1000, 2500, 5000, 7500, 10000)
@@ -47,45 +47,15 @@ def stream_ingest(source: DataFrame, transform: Callable[[DataFrame], DataFrame]
             .trigger(availableNow=True).start())
 
 
-def stream_latest(source: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
-                  key: str | Sequence[str], order: Sequence[str], partition: str) -> StreamingQuery:
-    """Keep the newest row per key in a partitioned table, whatever order rows arrive in.
-
-    Each micro-batch reads the partitions it touches, deduplicates old and new rows together and replaces exactly
-    those partitions; a replay gives the same table. The partition value must follow from the key, as the pickup date
-    follows from a trip's id. Nothing is dropped for being late and no state grows with the stream.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with Scratch(spark, "stream-latest") as scratch:
-            rows = scratch.keep(dedupe_latest(transform(batch), key, order), "batch")
-            if rows.isEmpty():
-                return
-            if path_exists(spark, path):
-                touched = rows.select(F.col(partition).alias("_p")).distinct()
-                old = spark.read.schema(rows.schema).parquet(path)
-                old = old.join(touched, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
-                rows = scratch.keep(dedupe_latest(old.unionByName(rows), key, order), "merged")
-            (rows.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(partition).parquet(path))
-
-    return (source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 def stream_canonical(trips: DataFrame, zones: DataFrame, run_id: str, path: str, checkpoint: str) -> DataFrame:
     """Canonical trips from a stream of bronze rows: validity, the newest row per trip, zones.
 
     The table under ``path`` keeps the columns that order the copies of a trip, so any later run may replace a row by
     a newer one; zones are joined when it is read.
     """
+    spark = trips.sparkSession
     stream_latest(trips, valid_trips, path, checkpoint, "trip_id", S.DEDUPE_ORDER, "pickup_date").awaitTermination()
-    return with_zones(trips.sparkSession.read.parquet(path), zones, run_id)
+    return with_zones(latest_rows(spark, path, "trip_id", S.DEDUPE_ORDER, "pickup_date"), zones, run_id)
 
 
 def _bounds(value, bounds: Sequence[int], name: str) -> list:
