@@ -8,6 +8,7 @@ from waymark import settings as S
 from waymark.catalog import fixtures as X
 from waymark.catalog.registry import query, table
 from waymark.functions.columns import keep_known
+from waymark.operators.distances import drift_scores
 from waymark.operators.drift import drift_report, psi
 from waymark.operators.gates import (coerce_matrix, drift_gate, matrix_gate, model_input, model_input_gate, train_gate,
                                      training_frame)
@@ -365,7 +366,8 @@ def _scores(spark, sf):
 
 @query("psi_categorical", f"SELECT * FROM ({_PSI}) WHERE kind = 'categorical'")
 def psi_categorical(spark, sf):
-    out = _scores(spark, sf).where(F.col("kind") == "categorical")
+    reference, current = split_by_date(X.matrix(spark, sf), "2024-01-16")
+    out = psi(current, reference, numeric=())
     return out.withColumn("psi", F.round("psi", 6)).drop("drifted")
 
 
@@ -375,6 +377,58 @@ def psi_numeric(spark, sf):
     return out.withColumn("psi", F.round("psi", 6)).drop("drifted")
 
 
+_SIDES = f"SELECT *, as_of_date >= DATE '2024-01-16' AS cur FROM ({X.MATRIX}) x"
+_VALUES = " UNION ALL ".join(f"SELECT '{c}' AS column_name, cast({c} AS double) AS value, cur FROM m WHERE {c} IS NOT NULL AND NOT isnan({c})"
+                             for c in (*S.NUMERIC_FEATURES, L))
+_ORDERED = f"""
+WITH m AS ({_SIDES}), v AS ({_VALUES}),
+k AS (SELECT column_name, value, count(*) FILTER (cur) AS c, count(*) FILTER (NOT cur) AS r FROM v GROUP BY ALL),
+t AS (SELECT column_name, sum(c) AS nc, sum(r) AS nr, greatest(sqrt(greatest(sum(r * value * value) / sum(r) - (sum(r * value) / sum(r)) ** 2, 0)), 1e-3) AS sd FROM k GROUP BY ALL),
+g AS (SELECT column_name, nc, nr, sd, abs(sum(c) OVER w / nc - sum(r) OVER w / nr) AS gap, lead(value) OVER w - value AS step
+  FROM k JOIN t USING (column_name) WINDOW w AS (PARTITION BY column_name ORDER BY value)),
+s AS (SELECT column_name, any_value(nc) AS nc, any_value(nr) AS nr, max(gap) AS d, sum(gap * coalesce(step, 0)) / any_value(sd) AS wd FROM g GROUP BY ALL),
+x AS (SELECT *, (sqrt(nc * nr / (nc + nr)) + 0.12 + 0.11 / sqrt(nc * nr / (nc + nr))) * d AS x FROM s)"""
+_BINNED = f"""
+WITH m AS ({_SIDES}), b AS (
+{" UNION ALL ".join(f"SELECT '{c}' AS column_name, 'categorical' AS kind, coalesce(cast({c} AS varchar), '<null>') AS bin, cur FROM m" for c in S.CATEGORICAL_FEATURES)}
+UNION ALL {" UNION ALL ".join(f"SELECT '{c}', 'numeric', cast(len(list_filter(e, lambda x: x < {c})) AS varchar), cur FROM m, (SELECT list_distinct([{', '.join(f'quantile_cont({c}, {i / 10})' for i in range(1, 10))}]) AS e FROM m WHERE NOT cur AND NOT isnan({c})) WHERE {c} IS NOT NULL AND NOT isnan({c})" for c in (*S.NUMERIC_FEATURES, L))}),
+h AS (SELECT column_name, kind, bin, count(*) FILTER (cur) AS c, count(*) FILTER (NOT cur) AS r FROM b GROUP BY ALL),
+t AS (SELECT *, sum(c) OVER w AS tc, sum(r) OVER w AS tr FROM h WINDOW w AS (PARTITION BY column_name)),
+s AS (SELECT column_name, kind, count(*) AS bins, sum((sqrt(tr / tc) * c - sqrt(tc / tr) * r) ** 2 / (c + r)) AS chi,
+  sqrt(greatest(sum(CASE WHEN c > 0 THEN c / tc * ln(c / tc / ((c / tc + r / tr) / 2)) ELSE 0 END
+    + CASE WHEN r > 0 THEN r / tr * ln(r / tr / ((c / tc + r / tr) / 2)) ELSE 0 END) / 2, 0)) AS js FROM t GROUP BY ALL)"""
+
+
+def _drift(spark, sf, method, kind=None):
+    reference, current = split_by_date(X.matrix(spark, sf), "2024-01-16")
+    out = drift_scores(current, reference, method, **({"categorical": ()} if kind == "numeric" else {"numeric": ()} if kind == "categorical" else {}))
+    return out.select("column_name", "kind", F.round("statistic", 6).alias("statistic"), "drifted")
+
+
+@query("drift_ks", f"""{_ORDERED}
+SELECT column_name, 'numeric' AS kind, round(d, 6) AS statistic, CASE WHEN x < 0.2 THEN false
+  ELSE list_sum([(CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * j * j * x * x) for j in range(1, 101)]) < 0.05 END AS drifted FROM x""")
+def drift_ks(spark, sf):
+    return _drift(spark, sf, "ks", "numeric")
+
+
+@query("drift_wasserstein", f"{_ORDERED} SELECT column_name, 'numeric' AS kind, round(wd, 6) AS statistic, wd >= 0.1 AS drifted FROM x")
+def drift_wasserstein(spark, sf):
+    return _drift(spark, sf, "wasserstein", "numeric")
+
+
+@query("drift_chisquare", f"""{_BINNED}
+SELECT column_name, kind, round(chi, 6) AS statistic, bins > 1 AND ((chi / (bins - 1)) ** (1.0 / 3) - (1 - 2 / (9.0 * (bins - 1)))) / sqrt(2 / (9.0 * (bins - 1))) > 1.6448536269514722 AS drifted
+FROM s WHERE kind = 'categorical'""")
+def drift_chisquare(spark, sf):
+    return _drift(spark, sf, "chisquare", "categorical")
+
+
+@query("drift_jensenshannon", f"{_BINNED} SELECT column_name, kind, round(js, 6) AS statistic, js >= 0.1 AS drifted FROM s")
+def drift_jensenshannon(spark, sf):
+    return _drift(spark, sf, "jensenshannon")
+
+
 @query("drift_report", f"""
 WITH p AS ({_PSI}), n AS (SELECT count(*) FILTER (as_of_date >= DATE '2024-01-16') AS c, count(*) FILTER (as_of_date < DATE '2024-01-16') AS r FROM ({X.MATRIX}) x)
 SELECT max(c) AS current_rows, max(r) AS reference_rows, count(*) AS monitored_columns,

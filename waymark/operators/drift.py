@@ -16,6 +16,8 @@ DECILES = [i / 10 for i in range(1, 10)]
 
 def decile_edges(reference: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
     """Distinct inner decile edges of the reference side; NULL and NaN left out."""
+    if not columns:
+        return {}
     edges = exact_quantiles(reference, {c: F.col(c) for c in columns}, DECILES)
     return {c: sorted({e for e in v if e is not None}) for c, v in edges.items()}
 

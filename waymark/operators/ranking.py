@@ -32,6 +32,26 @@ def range_positions(df: DataFrame, order: Sequence[str], name: str = "position")
     return placed.select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name))
 
 
+def running_sums(df: DataFrame, group: str, order: str, sums: Sequence[str]) -> DataFrame:
+    """Replace ``sums`` by their running sums in the order of distinct ``order`` values of each group.
+
+    Also ``next``, the value after (NULL for the last). As :func:`range_positions`: sums inside range partitions plus the
+    sums of the partitions before; one row per group and partition meets in a task.
+    """
+    with Scratch(df.sparkSession, "sums") as scratch:
+        ordered = df.repartitionByRange(group, order).sortWithinPartitions(group, order)
+        stored = scratch.result(ordered.withColumn("_part", F.spark_partition_id()))
+    parts = stored.groupBy(group, "_part").agg(F.min(order).alias("_least"), *[F.sum(c).alias(f"_all_{c}") for c in sums])
+    across = W.partitionBy(group).orderBy("_part")
+    ahead = across.rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(F.col(group).alias("_group"), F.col("_part").alias("_p"), F.lead("_least").over(across).alias("_follows"),
+                         *[F.coalesce(F.sum(f"_all_{c}").over(ahead), F.lit(0)).alias(f"_before_{c}") for c in sums])
+    inside = W.partitionBy(group, "_part").orderBy(order)
+    joined = stored.join(F.broadcast(parts), (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_p")))
+    return joined.select(group, order, F.coalesce(F.lead(order).over(inside), F.col("_follows")).alias("next"),
+                         *[(F.col(f"_before_{c}") + F.sum(c).over(inside)).alias(c) for c in sums])
+
+
 def bucket_offsets(df: DataFrame, coarse: Sequence[str], fine: Sequence[str]) -> DataFrame:
     """Rows before each (coarse, fine) bucket, with its size and the grand total.
 
