@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions import columns as C
-from waymark.functions.hashing import canonical_json_text, columns_hash, route_bucket, schema_hash, stable_id, table_digest
+from waymark.functions.hashing import canonical_json_text, columns_hash, merge_digests, route_bucket, schema_hash, stable_id, table_digest
 from waymark.functions.parsing import norm_text, safe_code, safe_double, safe_long, safe_ts
 from waymark.functions.times import as_instant, calendar_parts, cutoff, duration_seconds, epoch_second, utc_wall
 from waymark.operators.contract import feature_spec
@@ -83,6 +83,12 @@ def test_table_digest_ignores_order(spark):
     a, b = (table_digest(d, ["id", "v"]).first() for d in (df, df.orderBy(F.col("id").desc()).repartition(7)))
     assert a == b
     assert a != table_digest(df.withColumn("v", F.col("v") + 1), ["id", "v"]).first()
+    assert a != table_digest(df.unionByName(df.limit(1)).unionByName(df.limit(1)), ["id", "v"]).first()  # a row two times more
+    parts = table_digest(df.withColumn("p", F.col("id") % 3), ["id", "v"], ["p"])
+    assert merge_digests(parts).first() == a and parts.count() > 1
+    texts = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "abc")], "x string, y string")
+    assert len({tuple(table_digest(texts.where(F.col("y") == y), ["x", "y"]).first()) for y in ("c", "bc", "abc")}) == 3
+    assert tuple(table_digest(df.limit(0), ["id", "v"]).first()) == (0, "0", "0", "0" * 16, "0" * 16)
 
 
 @pytest.mark.parametrize("name,want", [("PULocationID", "pulocation_id"), ("tpep_pickup_datetime", "tpep_pickup_datetime"),

@@ -8,7 +8,7 @@ from waymark import settings as S
 from waymark.catalog import fixtures as X
 from waymark.catalog.registry import query, table
 from waymark.functions.columns import normalize_columns, raw_record_json
-from waymark.functions.hashing import route_bucket, table_digest
+from waymark.functions.hashing import merge_digests, route_bucket, table_digest
 from waymark.functions.parsing import safe_code, safe_double, safe_long, safe_ts
 from waymark.functions.times import calendar_parts, epoch_second
 from waymark.operators.dedupe import dedupe_latest, duplicate_count, duplicate_keys, latest_by_key
@@ -356,7 +356,19 @@ def matrix_quality(spark, sf):
     return quality_summary(X.matrix(spark, sf, broken=True))
 
 
-@query("table_digest")
+_DIGESTED = {"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey", "l_returnflag": "l_returnflag",
+             "l_linestatus": "l_linestatus", "l_shipdate": "cast(l_shipdate AS date)", "cents": "cast(round(l_extendedprice * 100) AS bigint)"}
+_TEXTS = " || ".join(f"coalesce(length(cast({c} AS varchar)) || ':' || cast({c} AS varchar), '-')" for c in _DIGESTED)
+
+
+@query("table_digest", f"""
+WITH l AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _DIGESTED.items())} FROM lineitem), m AS (SELECT md5({_TEXTS}) AS h FROM l),
+w AS (SELECT cast('0x' || substr(h, 1, 16) AS ubigint) AS hi, cast('0x' || substr(h, 17, 16) AS ubigint) AS lo FROM m)
+SELECT count(*) AS n_rows, cast(cast(sum(hi) AS decimal(38,0)) % 18446744073709551616 AS varchar) AS sum_hi,
+  cast(cast(sum(lo) AS decimal(38,0)) % 18446744073709551616 AS varchar) AS sum_lo,
+  lpad(lower(to_hex(bit_xor(hi))), 16, '0') AS xor_hi, lpad(lower(to_hex(bit_xor(lo))), 16, '0') AS xor_lo FROM w""")
 def lineitem_digest(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    return table_digest(lines, lines.columns)
+    """Digests by ship month, merged to that of the whole table."""
+    lines = table(spark, sf, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in _DIGESTED.items()])
+    by_month = table_digest(lines.withColumn("month", F.date_format("l_shipdate", "yyyy-MM")), list(_DIGESTED), ["month"])
+    return merge_digests(by_month)

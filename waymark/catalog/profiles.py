@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from waymark import settings as S
@@ -13,7 +14,7 @@ from waymark.operators.profile import (partition_counts, profile_categorical, pr
 from waymark.session import scratch_dir
 from waymark.sources.lake import Lake
 from waymark.sources.readers import (cap_rows, describe_metadata, latest_by_time, list_files, read_columns,
-                                     read_first_files, read_skipping_corrupt)
+                                     read_checked, read_first_files)
 
 _BROKEN_TESTS = {c: f"{c} IS NULL" + (f" OR isnan({c})" if c in (*S.NUMERIC_FEATURES, S.LABEL) else "") for c in S.MATRIX_COLUMNS}
 
@@ -125,11 +126,15 @@ def metadata_summary(spark, sf):
                       F.array_join("last_snapshots", ",").alias("last_snapshots"))
 
 
-@query("partition_counts", "SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS partition FROM orders")
+@query("partition_counts", "SELECT 'o_orderstatus=' || o_orderstatus AS partition, cast(least(count(*), 3) AS bigint) AS n_files FROM orders GROUP BY ALL")
 def partitions(spark, sf):
     path = scratch_dir(spark, "orders")
-    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
-    return partition_counts(spark.read.parquet(path)).where("n_files > 0").select("partition")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    place = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey"))
+    for k in range(3):  # three writes, so three files a status
+        some = orders.withColumn("_k", place).where(F.col("_k") % 3 == k).drop("_k")
+        some.repartition("o_orderstatus").write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    return partition_counts(spark.read.parquet(path))
 
 
 @query("file_listing")
@@ -155,9 +160,22 @@ def pruned_scan(spark, sf):
     return read_columns(spark, f"{sf}/orders.parquet", ["o_totalprice", "o_orderkey"]).where(F.col("o_totalprice") > 300000)
 
 
-@query("skip_corrupt_scan", "SELECT count(*) AS n_rows FROM customer")
+@query("skip_corrupt_scan", """
+SELECT count(*) AS n_rows, cast(sum(c_custkey) AS bigint) AS key_sum, cast(0 AS bigint) AS n_files, 'read' AS reason FROM customer
+UNION ALL SELECT NULL, NULL, 1, 'not parquet' UNION ALL SELECT NULL, NULL, 1, 'truncated'""")
 def skip_corrupt_scan(spark, sf):
-    return read_skipping_corrupt(spark, f"{sf}/customer.parquet").agg(F.count(F.lit(1)).alias("n_rows"))
+    """A copy of customer with two broken files among its own: all rows, and both files named."""
+    path = scratch_dir(spark, "broken")
+    customers = table(spark, sf, "customer")
+    customers.select("c_custkey", "c_name").repartition(3).write.parquet(path)
+    segment = customers.agg(F.max("c_mktsegment").alias("t"))
+    for start in ("", "PAR1"):
+        segment.select(F.concat(F.lit(start), "t").alias("line")).coalesce(1).write.mode("append").text(path)
+    data, quarantine = read_checked(spark, path)
+    whole = data.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("c_custkey").alias("key_sum")).select("n_rows", "key_sum", F.lit(0).cast("bigint").alias("n_files"), F.lit("read").alias("reason"))
+    bad = quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("n_files"))
+    none = F.lit(None).cast("bigint")
+    return whole.unionByName(bad.select(none.alias("n_rows"), none.alias("key_sum"), "n_files", "reason"))
 
 
 @query("row_cap", "SELECT least(count(*), 5000) AS n_rows FROM events")

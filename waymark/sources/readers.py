@@ -33,6 +33,25 @@ def read_skipping_corrupt(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("ignoreCorruptFiles", True).parquet(path)
 
 
+def read_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The readable rows below ``path``, and ``path, length, reason`` of every file that gave none.
+
+    The scan says which files it got rows from; only the others are opened again, to name what is wrong: ``not parquet``
+    (no marker at the start), ``truncated`` (none at the end), ``unreadable`` (both, but no rows) or ``empty``.
+    """
+    data = read_skipping_corrupt(spark, path)
+    seen = data.select(F.col("_metadata.file_path").alias("path")).distinct()
+    # Only paths of files that gave nothing; the driver lists every path anyway to plan the scan.
+    suspects = [r["path"] for r in list_files(spark, path).join(seen, "path", "left_anti").select("path").collect()]
+    if not suspects:
+        return data, spark.createDataFrame([], "path string, length bigint, reason string")
+    opened = spark.read.format("binaryFile").load(suspects)
+    marker = F.lit(b"PAR1")
+    reason = (F.when(F.col("length") == 0, "empty").when(F.substring("content", 1, 4) != marker, "not parquet")
+              .when(F.substring("content", -4, 4) != marker, "truncated").otherwise("unreadable or without rows"))
+    return data, opened.select("path", "length", reason.alias("reason"))
+
+
 def land_trips(raw: DataFrame) -> DataFrame:
     """Source rows in the all-text landing schema, with the record kept as JSON."""
     return _land(raw, RAW_TRIP_FIELDS)
