@@ -29,17 +29,19 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     return spark.read.parquet(path).select(*columns)
 
 
-def read_skipping_corrupt(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("ignoreCorruptFiles", True).parquet(path)
+def read_skipping_corrupt(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The readable rows below ``path``. Without a schema all footers are merged, as the first file may be a broken one."""
+    reader = spark.read.option("ignoreCorruptFiles", True)
+    return (reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(path)
 
 
-def read_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_checked(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
     """The readable rows below ``path``, and ``path, length, reason`` of every file that gave none.
 
     The scan says which files it got rows from; only the others are opened again, to name what is wrong: ``not parquet``
     (no marker at the start), ``truncated`` (none at the end), ``unreadable`` (both, but no rows) or ``empty``.
     """
-    data = read_skipping_corrupt(spark, path)
+    data = read_skipping_corrupt(spark, path, schema)
     seen = data.select(F.col("_metadata.file_path").alias("path")).distinct()
     # Only paths of files that gave nothing; the driver lists every path anyway to plan the scan.
     suspects = [r["path"] for r in list_files(spark, path).join(seen, "path", "left_anti").select("path").collect()]
