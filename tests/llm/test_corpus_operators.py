@@ -351,11 +351,30 @@ def test_personal_data(spark):
 
 def test_personal_data_adds_likely_spans(spark):
     r = random.Random(4)
-    known = [f"call {r.randrange(100)} +1 ({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)} now" for _ in range(400)]
-    plain = [f"lot {r.randrange(10**7, 10**8)} of {r.randrange(10)}" for _ in range(400)]
-    out = personal_data.find_personal_data(frame(spark, known + plain + ["call (212) 555-0100 now"])).collect()
-    assert sum(x.n_phone for x in out) == 400
-    assert all(x.spans == x.base_spans for x in out if 400 <= x.doc_id < 800)
+    lead = ["please call", "reach us under", "the office, room", "write soon to", "ask them about", "send one copy to"]
+
+    def line(span):
+        return f"{prose(r.random(), 4)} {r.choice(lead)} {span} {prose(r.random(), 5)}"
+
+    def number():
+        return r.randrange(200, 999), r.randrange(200, 999), r.randrange(1000, 9999)
+
+    known = [line("+1 (%d) %d-%d" % number()) for _ in range(300)] + [line(f"u{r.randrange(99)}.n@mail{r.randrange(9)}.example.com") for _ in range(300)]
+    plain = [line(f"{r.randrange(10**7, 10**8)} of {r.randrange(10)}") for _ in range(300)] + [line(f"{r.randrange(10**9, 10**10)}") for _ in range(100)]
+    plain += [line(f"19{r.randrange(10, 99)}-0{r.randrange(1, 9)}-1{r.randrange(9)}") for _ in range(200)] + [f"we looked (at) trees. Then {prose(r.random(), 5)}" for _ in range(50)]
+    wide = [("phone", "(%d) %d-%d" % number()) for _ in range(50)] + [("phone", "%d-%d-%d" % number()) for _ in range(50)]
+    wide += [("email", f"bob{r.randrange(99)} (at) host{r.randrange(9)} (dot) org") for _ in range(50)]
+    texts = known + plain + [line(span) for _, span in wide]
+    out = {x.doc_id: x for x in personal_data.find_personal_data(frame(spark, texts)).collect()}
+    assert sum(x.n_phone for x in out.values()) == sum(x.n_email for x in out.values()) == 300
+    first = len(known) + len(plain)
+    hits = 0
+    for k, (kind, span) in enumerate(wide, first):
+        at = texts[k].index(span)
+        hits += f"{kind}:{at}:{at + len(span)}" in out[k].spans.split(",")
+    wrong = sum(out[k].spans != out[k].base_spans for k in range(len(known), first))
+    assert hits >= 0.95 * len(wide) and wrong <= 0.02 * len(plain), (hits, wrong)
+    assert all(x.n_spans == len([s for s in x.spans.split(",") if s]) for x in out.values())
 
 
 def test_pipeline(spark):

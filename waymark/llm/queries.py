@@ -146,7 +146,7 @@ def op1_quality_classifier(spark, sf):
 @query("op10_personal_data")
 def op10_personal_data(spark, sf):
     found = personal_data.find_personal_data(table(spark, sf, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_spans")
 
 
 @query("op8_repeated_passages")
