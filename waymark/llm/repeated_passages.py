@@ -126,6 +126,12 @@ def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                     "doc_id": np.repeat(np.array(ids, object), lengths), "n_words": np.repeat(sizes, lengths)})
 
 
+def with_classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
+    for b in batches:
+        yield pd.DataFrame({"cls": [text_class(hashes.of(lowered_words(t))) for t in b["text"]], "text": b["text"]})
+
+
 def placed_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for b in batches:
@@ -168,7 +174,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         classes = texts.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"))
         kept = scratch.keep(kept.join(classes.select("cls", "doc_id"), "cls"), "kept")
         scratch.drop(found)
-        placed = docs.join(kept, "doc_id").select("cls", "text", "places", "often").mapInPandas(
+        # Classes that only texts without doc_id have are joined by the class itself.
+        unnamed = docs.where("doc_id is null").select("text").mapInPandas(with_classes, "cls long, text string").dropDuplicates(["cls"])
+        texts_of = docs.join(kept, "doc_id").unionByName(unnamed.join(kept.where("doc_id is null"), "cls"))
+        placed = texts_of.select("cls", "text", "places", "often").mapInPandas(
             placed_contexts, "key binary, id long, at long, extra binary, hash long")
         placed = scratch.keep(placed, "contexts")
         pieces = compare_neighbours(placed.where("hash is null"), REACH, common_spans, scratch, "pieces").select(
