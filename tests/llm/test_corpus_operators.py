@@ -134,6 +134,36 @@ def test_decontamination(spark):
     assert decontamination.find_items(frame(spark, []).limit(0), bench).count() == 0
 
 
+def test_decontamination_at_the_ends_of_items(spark):
+    """Copies whose first, last or inner words are changed, as far as 0.8 allows, at all alignments of the windows."""
+    bench, texts, want = [], [], set()
+    for item, n in enumerate((17, 24, 35, 37, 47, 48, 60)):
+        words = prose(500 + item, n, 5000).split()
+        bench.append((item, " ".join(words)))
+        lost = (n - 4) // 9
+        edits = [set(range(lost)), set(range(n - lost, n)), {k for k in range(lost // 2)} | {n - 1 - k for k in range(lost - lost // 2)}]
+        edits += [{n // 2}] if lost >= 5 else []
+        for places in edits:
+            for before in range(0, 24, 3):
+                want.add((len(texts), item))
+                copy = " ".join(f"y{k}" if k in places else w for k, w in enumerate(words))
+                texts.append(f"{prose(9000 + len(texts), 40 + before, 5000)} {copy} {prose(7000 + len(texts), 30, 5000)}")
+    out = decontamination.find_items(frame(spark, texts), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    found = {(r.doc_id, r.item_id) for r in out}
+    assert len(want - found) <= 0.01 * len(want) and found <= want, sorted(want - found)
+
+
+def test_documents_without_id(spark):
+    item = prose(77, 40, 3000)
+    docs = frame(spark, [item, prose(1, 60), None, f"{prose(2, 60)} {item}", prose(3, 60)], ids=[None, None, None, 4, 5])
+    clean = decontamination.drop_contaminated(docs, spark.createDataFrame([(0, item)], "item_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text or "") for r in clean.collect()) == sorted([(0, prose(1, 60)), (0, ""), (5, prose(3, 60))])
+    shared = prose(88, 80, 3000)
+    texts = [f"{prose(4, 30)} {shared} {prose(5, 30)}", f"{prose(6, 20)} {shared}", f"{shared} {prose(7, 9)}"]
+    out = repeated_passages.repeated_passages(frame(spark, texts + [None, prose(8, 70)], ids=[None, 3, None, None, None]))
+    assert sorted((r.doc_id or 0, r.start, r.end) for r in out.collect()) == [(0, 0, 80), (0, 30, 110), (3, 20, 100)]
+
+
 def test_decontamination_of_repeated_items(spark, monkeypatch):
     passage = prose(110, 60, 3000).split()
     near = " ".join(passage[:30] + ["changed"] + passage[31:])

@@ -2,7 +2,7 @@
 
 Words are lower-cased with ASCII punctuation removed. Every item gets the largest window size ``c`` of ``SIZES``
 that, with windows ``c / 2`` words apart, fits completely into a passage of the item's length at any offset, also
-between as many changed words as the threshold allows. All windows of the item of that size have a 64-bit SimHash over their two-word features; documents are covered by
+between and beside as many changed words as the threshold allows, at the ends too. All windows of the item of that size have a 64-bit SimHash over their two-word features; documents are covered by
 windows of each size, ``c / 2`` apart. A leaked passage therefore contains a document
 window that stands opposite an item window, with the same fingerprint if the words are the same.
 
@@ -55,11 +55,13 @@ def plain_words(text: str | None) -> list[bytes]:
 def window_size(words: int) -> int:
     """The window for items of so many words; shorter items are their own window.
 
-    A similarity of 0.8 leaves room for one changed word in 45. Of the stretches between that many changes the longest
-    must still hold a window at any offset, so a passage with changed words keeps a window without any.
+    A similarity of 0.8 allows a ninth of the shingles to be lost: five for a changed word inside, one for each word lost
+    at the ends. For every number of changes inside, with what is left spent at the ends, the longest unchanged stretch
+    must still hold a window at any offset.
     """
-    changes = max(words - SHINGLE + 1, 0) // 45
-    return max([c for c in SIZES if c + c // 2 - 1 <= (words - changes) // (changes + 1)], default=words)
+    lost = max(words - SHINGLE + 1, 0) // 9
+    stretch = min((words - k - (lost - SHINGLE * k)) // (k + 1) for k in range(lost // SHINGLE + 1))
+    return max([c for c in SIZES if c + c // 2 - 1 <= stretch], default=words)
 
 
 def window_step(size: int) -> int:
@@ -224,7 +226,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> D
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """The documents, with all their columns, that hold no item."""
+    """The documents, with all their columns, that hold no item. A document without ``doc_id`` is judged by its own text."""
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
     with Scratch(docs.sparkSession, "decontaminated") as scratch:
-        gone = scratch.result(find_items(docs, benchmark, least).select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+        gone = scratch.result(find_items(docs.select(own.alias("doc_id"), "text"), benchmark, least).select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(gone, own == gone["_gone"], "left_anti").select(*docs.columns)
