@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from waymark import settings as S
 from waymark.catalog import fixtures as X
 from waymark.catalog.registry import SparkDialect, query, table
+from waymark.operators.inline_scoring import instance_values, predict_in_rows, responses
 from waymark.operators.requests import (explode_requests, failed_requests, feature_rows, parse_requests, quarantine,
                                         response_rows, scoring_rows, slow_requests, validate_requests)
 from waymark.operators.scoring import CANDIDATES, MAX_ROUNDS, fit, score_batches
@@ -86,7 +87,36 @@ SELECT event_id AS request_id, cast({_STATUS_SQL} AS int) AS status_code,
   ELSE to_json({{'detail': {_ERROR_SQL}}})::varchar END AS response FROM events""")
 def score_batch(spark, sf):
     """Requests through an external scorer (here the 7-day mean plus one second) to response texts."""
-    validated = validate_requests(X.requests(spark, sf))
+    return _mean_plus_one(X.requests(spark, sf))
+
+
+def _mean_plus_one(requests):
+    place = S.FEATURES.index("avg_duration_7d_zone_hour")
+
+    def load():
+        import numpy as np
+
+        return lambda m: np.log1p(m[:, place].astype("float64") + 1.0)
+
+    scored = predict_in_rows(instance_values(validate_requests(requests), "request_id"), load, 86_400.0)
+    return responses(scored.withColumn("predictions", F.transform("predictions", lambda p: F.round(p, 6))), "request_id", "m1")
+
+
+@query("score_repeated_ids", f"""
+SELECT event_id % 97 AS request_id, cast({_STATUS_SQL} AS int) AS status_code,
+  CASE WHEN {_STATUS_SQL} = 200 THEN '{{"model_version":"m1","n_instances":' || {_COUNT_SQL} || ',"predictions":[' || {_BODY} || ']}}'
+  ELSE to_json({{'detail': {_ERROR_SQL}}})::varchar END AS response FROM events""")
+def score_repeated_ids(spark, sf):
+    """Clients that use an id again: every request keeps an answer of its own."""
+    return _mean_plus_one(X.requests(spark, sf).withColumn("request_id", F.col("request_id") % 97))
+
+
+@query("score_exploded", f"""
+SELECT event_id AS request_id, cast({_STATUS_SQL} AS int) AS status_code,
+  CASE WHEN {_STATUS_SQL} = 200 THEN '{{"model_version":"m1","n_instances":' || {_COUNT_SQL} || ',"predictions":[' || {_BODY} || ']}}'
+  ELSE to_json({{'detail': {_ERROR_SQL}}})::varchar END AS response FROM events""")
+def score_exploded(spark, sf):
+    """The same requests as one row per instance, for models that only take rows."""
     place = S.FEATURES.index("avg_duration_7d_zone_hour")
 
     def load():
@@ -95,8 +125,8 @@ def score_batch(spark, sf):
         return lambda m: np.log1p(m[:, place].astype("float64") + 1.0)
 
     keys = ["request_id", "n_instances", "status_code", "error", "row_index"]
-    scored = score_batches(scoring_rows(validated, "request_id"), load, keys, 86_400.0).withColumn(
-        "prediction_seconds", F.round("prediction_seconds", 6))
+    rows = scoring_rows(validate_requests(X.requests(spark, sf)), "request_id")
+    scored = score_batches(rows, load, keys, 86_400.0).withColumn("prediction_seconds", F.round("prediction_seconds", 6))
     return response_rows(scored, "request_id", "m1")
 
 

@@ -6,8 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from waymark import settings as S
-from waymark.operators.requests import response_rows, scoring_rows, validate_requests
-from waymark.operators.scoring import score
+from waymark.operators.inline_scoring import instance_values, predict_in_rows, responses, tree_loader
+from waymark.operators.requests import validate_requests
 from waymark.session import spread_small
 
 
@@ -15,4 +15,5 @@ def score_requests(requests: DataFrame, model: PipelineModel, cap: float, model_
                    body: str = "body", max_instances: int = S.MAX_INSTANCES) -> DataFrame:
     """One response per request: predictions in instance order, or the first error."""
     validated = validate_requests(spread_small(requests), body=body, max_instances=max_instances)
-    return response_rows(score(scoring_rows(validated, key), model, cap), key, model_version)
+    scored = predict_in_rows(instance_values(validated, key), tree_loader(requests.sparkSession, model), cap)
+    return responses(scored, key, model_version)

@@ -79,6 +79,12 @@ class Scratch:
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
+    def folder(self, name: str) -> str:
+        """A new folder name for something that is no frame."""
+        path = scratch_dir(self.spark, f"{self.name}-{name}")
+        self.paths[path] = path
+        return path
+
     def keep(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         kept, path = self._store(df, name, partition_by)
         self.paths[kept] = path
