@@ -9,7 +9,7 @@ from waymark import settings as S
 from waymark.functions.hashing import schema_hash
 from waymark.operators.contract import (build_contract, contract_conflicts, contract_violations, current_snapshot,
                                         explode_contract, feature_spec, latest_contract, pin_snapshot)
-from waymark.operators.gates import (count_violations, drift_gate, matrix_gate, require_clean, require_exact_columns, train_gate)
+from waymark.operators.gates import (contract_gate, count_violations, drift_gate, matrix_gate, require_clean, require_exact_columns, train_gate)
 from waymark.operators.maintenance import compaction_plan, expiry_plan, orphan_files
 from waymark.operators.scoring import CANDIDATES, score
 from waymark.plans.bronze import ingest, to_bronze
@@ -141,13 +141,25 @@ def test_gates(spark, lake):
         require_clean(train_gate(gold.where("false")), "m")
     with pytest.raises(ValueError):
         require_exact_columns(gold.drop("trip_id"), S.MATRIX_COLUMNS, "m")
+    _, contract = load_training_inputs(lake)
+    require_clean(contract_gate(gold, contract), "m")
+    with pytest.raises(ValueError, match="bad_feature_version"):
+        require_clean(contract_gate(gold, {**contract, "feature_version": "v0"}), "m")
+    spec = json.loads(contract["feature_spec_json"])
+    for column in spec["output_columns"]:
+        if column["name"] == "pickup_borough_id":
+            column["domain"] = [0, 99]
+    with pytest.raises(ValueError, match="outside_domain"):
+        require_clean(contract_gate(gold, {**contract, "feature_spec_json": json.dumps(spec)}), "m")
+    with pytest.raises(ValueError, match="columns differ"):
+        contract_gate(gold, {**contract, "output_columns_json": '["trip_id"]'})
     assert count_violations(gold, {"x": F.col("pickup_hour") > 23}).first().asDict() == {"n_rows": 600, "x": 0}
 
 
 def test_training_and_scoring(spark, lake):
     matrix, contract = load_training_inputs(lake)
     assert contract["feature_version"] == S.FEATURE_VERSION
-    result = train(matrix, sample_rows=150, rounds=2, candidates=CANDIDATES[4:6], test_start="2025-01-17", min_rounds=3)
+    result = train(matrix, sample_rows=150, rounds=2, candidates=CANDIDATES[4:6], test_start="2025-01-17", min_rounds=3, contract=contract)
     assert result["winner"] in {c.name for c in CANDIDATES[4:6]} and len(result["candidates"]) == 2
     assert result["metrics"]["test"]["rows"] == matrix.where("as_of_date >= '2025-01-17'").count()
     scored = score(matrix, result["model"], result["label_cap"])

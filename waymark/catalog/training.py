@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from waymark import settings as S
 from waymark.catalog import fixtures as X
 from waymark.catalog.registry import query, table
 from waymark.functions.columns import keep_known
+from waymark.operators.contract import build_contract, latest_contract
 from waymark.operators.distances import drift_scores
 from waymark.operators.drift import drift_report, psi
-from waymark.operators.gates import (coerce_matrix, drift_gate, matrix_gate, model_input, model_input_gate, train_gate,
+from waymark.operators.gates import (coerce_matrix, contract_gate, drift_gate, matrix_gate, model_input, model_input_gate, train_gate,
                                      training_frame)
 from waymark.operators.metrics import (baseline_metrics, error_metrics, from_log_target, label_cap, prediction_parity,
                                        to_log_target)
@@ -19,6 +22,8 @@ from waymark.operators.splits import (category_levels, encode_by_join, even_samp
                                       rows_per_date, split_by_date, split_by_fraction)
 
 from waymark.plans.training import SAMPLE_COARSE, SAMPLE_FINE, SAMPLE_ORDER, sample_keys
+from waymark.session import scratch_dir
+from waymark.sources.lake import Lake
 
 L = S.LABEL
 TEST_START = "2024-01-24"
@@ -57,8 +62,7 @@ _VERSIONS = (_single("schema_version", S.SCHEMA_VERSION, "bad_schema_version") +
 _REQUIRED = [c for c in S.MATRIX_COLUMNS if c not in (_NAN7, "avg_fare_30d_zone")]
 
 
-@query("train_gate", f"""
-SELECT count(*) AS n_rows,
+_TRAIN_COUNTS = f"""SELECT count(*) AS n_rows,
   count(*) FILTER (cast(as_of_ts AS date) IS DISTINCT FROM as_of_date) AS date_mismatch,
   count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in _REQUIRED)} OR isnan({L}) OR isnan(trip_count_90d_zone_hour)) AS null_required,
   count(*) FILTER (pickup_hour NOT BETWEEN 0 AND 23 OR pickup_dow NOT BETWEEN 1 AND 7 OR pickup_month NOT BETWEEN 1 AND 12
@@ -67,12 +71,31 @@ SELECT count(*) AS n_rows,
   count(*) FILTER ({' OR '.join(f'coalesce({c} < 0, false)' for c in S.FEATURES if c.endswith('_id') or c.startswith('trip_count'))}) AS negative_code,
   count(*) FILTER (coalesce({_NAN7} < 0, false) OR coalesce(avg_fare_30d_zone < 0, false)) AS negative_history,
   count(*) FILTER (coalesce(isinf({_NAN7}), false) OR coalesce(isinf(avg_fare_30d_zone), false)) AS infinite_history,
-  {_VERSIONS}
-FROM ({X.BROKEN_MATRIX}) m""")
+  {_VERSIONS}"""
+
+
+@query("train_gate", f"{_TRAIN_COUNTS} FROM ({X.BROKEN_MATRIX}) m")
 def training_gate(spark, sf):
     return train_gate(X.matrix(spark, sf, broken=True))
 
 
+_CODES = {"pickup_borough_id": 6, "dropoff_borough_id": 6, "pickup_service_zone_id": 1, "dropoff_service_zone_id": 1, "route_pair_id": S.ROUTE_BUCKETS}
+
+
+@query("contract_gate", f"""{_TRAIN_COUNTS},
+  count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in _REQUIRED)}) AS null_declared,
+  count(*) FILTER (coalesce(NOT (pickup_zone_id >= 0 AND dropoff_zone_id >= 0 AND {' AND '.join(f'{c} BETWEEN 0 AND {n}' for c, n in _CODES.items())}), true)) AS outside_domain
+FROM ({X.BROKEN_MATRIX}) m""")
+def matrix_by_contract(spark, sf):
+    """A contract that knows one service zone, written, read back and held against the matrix."""
+    lake = Lake(spark, scratch_dir(spark, "lake"))
+    row = build_contract(spark, run_id="r", gold_table="g", silver_table="s", snapshot_id="1", rows=1, service_zones=["A"],
+                         created_ts=datetime(2024, 1, 1))
+    lake.append(row, S.GOLD_CONTRACTS, ["feature_version"], "r")
+    contract = latest_contract(lake.read(S.GOLD_CONTRACTS, S.CONTRACT_COLUMNS)).first().asDict()
+    return contract_gate(X.matrix(spark, sf, broken=True), contract)
+
+
 _NUMERIC = (*S.NUMERIC_FEATURES, L)
 
 

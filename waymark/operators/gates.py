@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +103,36 @@ def quality_summary(df: DataFrame, columns: Sequence[str] = S.NUMERIC_FEATURES)
                   *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}_nulls") for c in columns])
 
 
-def train_gate(df: DataFrame, schema_version: str = S.SCHEMA_VERSION, feature_version: str = S.FEATURE_VERSION) -> DataFrame:
+def contract_rules(contract: Mapping[str, Any]) -> Rules:
+    """What the column list of a loaded contract promises: no NULL where it says so, codes inside their domains.
+
+    A domain that is a whole range is compared by its ends, so its size does not matter; any other list by its values;
+    a text says that every code from 0 on is allowed.
+    """
+    columns = json.loads(contract["feature_spec_json"])["output_columns"]
+
+    def outside(column: dict) -> Column:
+        domain, value = column["domain"], F.col(column["name"])
+        if not isinstance(domain, list):
+            return _outside(column["name"], 0)
+        if sorted(domain) == list(range(min(domain), max(domain) + 1)):
+            return _outside(column["name"], min(domain), max(domain))
+        return F.coalesce(~value.isin(domain), F.lit(True))
+
+    return {
+        "null_declared": _any(*[F.col(c["name"]).isNull() for c in columns if not c["nullable"]]),
+        "outside_domain": _any(F.lit(False), *[outside(c) for c in columns if "domain" in c]),
+    }
+
+
+def contract_gate(df: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
+    """:func:`train_gate` by the versions, columns and domains of a loaded contract, still in one pass."""
+    require_exact_columns(df, json.loads(contract["output_columns_json"]), "training matrix")
+    return train_gate(df, contract["schema_version"], contract["feature_version"], contract_rules(contract))
+
+
+def train_gate(df: DataFrame, schema_version: str = S.SCHEMA_VERSION, feature_version: str = S.FEATURE_VERSION,
+               more: Rules | None = None) -> DataFrame:
     """The checks before training: contract columns, versions, ranges, labels, history features."""
     require_exact_columns(df, S.MATRIX_COLUMNS, "training matrix")
     required = [c for c in S.MATRIX_COLUMNS if c not in ("avg_duration_7d_zone_hour", "avg_fare_30d_zone")]
@@ -119,7 +150,7 @@ def train_gate(df: DataFrame, schema_version: str = S.SCHEMA_VERSION, feature_ve
         "negative_history": _any(*[F.coalesce(not_nan[c] < 0, F.lit(False)) for c in history]),
         "infinite_history": _any(*[is_infinite(F.col(c)) for c in history]),
     }
-    return count_violations(df, rules, [
+    return count_violations(df, rules | (more or {}), [
         single_value("schema_version", schema_version, "bad_schema_version"),
         single_value("feature_version", feature_version, "bad_feature_version"),
     ])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waymark import settings as S
 from waymark.functions.times import epoch_second
 from waymark.operators.contract import contract_violations, latest_contract
-from waymark.operators.gates import model_input_gate, require_clean, train_gate
+from waymark.operators.gates import contract_gate, model_input_gate, require_clean, train_gate
 from waymark.operators.metrics import baseline_metrics, error_metrics, label_cap
 from waymark.operators.scoring import CANDIDATES, Candidate, refit, score, search
 from waymark.operators.splits import nested_split
@@ -28,9 +28,12 @@ SAMPLE_FINE = ("_second", "_head")
 
 
 def train(matrix: DataFrame, sample_rows: int, rounds: int, candidates: Sequence[Candidate] = CANDIDATES,
-          test_start: str = S.TEST_START_DATE, min_rounds: int = S.MIN_FINAL_ROUNDS) -> dict:
-    """The whole training flow; returns the model, the cap and all reports."""
-    require_clean(train_gate(matrix), "training matrix")
+          test_start: str = S.TEST_START_DATE, min_rounds: int = S.MIN_FINAL_ROUNDS, contract: dict | None = None) -> dict:
+    """The whole training flow; returns the model, the cap and all reports.
+
+    With a loaded ``contract`` the matrix is held against what that says, else against the versions of this release.
+    """
+    require_clean(contract_gate(matrix, contract) if contract else train_gate(matrix), "training matrix")
     require_clean(model_input_gate(matrix), "model input")
     parts = nested_split(sample_keys(matrix), sample_rows, [F.col(c) for c in SAMPLE_ORDER], SAMPLE_COARSE, SAMPLE_FINE,
                          test_start)
