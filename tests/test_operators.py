@@ -230,6 +230,8 @@ def test_profiles(spark):
     df = spark.createDataFrame([(1.0, "x", True), (float("nan"), None, True), (3.0, "x", None), (None, "y", False)],
                                "a double, b string, c boolean")
     assert {(r.column_name, r.null_count) for r in profile_nulls(df).collect()} == {("a", 2), ("b", 1), ("c", 1)}
+    wide = spark.range(3).select(*[F.when(F.col("id") >= k % 3, F.lit(1)).alias(f"c{k:02d}") for k in range(1, 31)])
+    assert profile_nulls(wide).count() == 20 and [r.null_count for r in profile_nulls(wide, 3).collect()] == [2, 2, 2]
     n = profile_numeric(df).first()
     assert (n.n_values, n.mean, n.min, n.p50, n.max) == (2, 2.0, 1.0, 2.0, 3.0)
     top = {(r.column_name, r["rank"]): (r.value, r.n_rows, r.n_distinct) for r in profile_categorical(df).collect()}

@@ -22,7 +22,7 @@ _BROKEN_TESTS = {c: f"{c} IS NULL" + (f" OR isnan({c})" if c in (*S.NUMERIC_FEAT
 @query("profile_nulls", f"""
 WITH m AS ({X.BROKEN_MATRIX}), n AS (
 {' UNION ALL '.join(f"SELECT '{c}' AS column_name, count(*) FILTER ({t}) AS null_count, count(*) AS n FROM m" for c, t in _BROKEN_TESTS.items())})
-SELECT column_name, null_count, null_count * 100.0::double / n AS null_pct FROM n WHERE null_count > 0 ORDER BY 2 DESC, 1 LIMIT 12""")
+SELECT column_name, null_count, null_count * 100.0::double / n AS null_pct FROM n WHERE null_count > 0""")
 def nulls(spark, sf):
     return profile_nulls(X.matrix(spark, sf, broken=True))
 

@@ -13,7 +13,6 @@ from waymark.functions.parsing import safe_ts
 from waymark.operators.ranking import exact_quantiles
 
 TOP_VALUES = 5
-MAX_PROFILE_COLUMNS = 12
 MAX_TEXT = 180
 MAX_LIST = 10
 MAX_MAP = 12
@@ -26,16 +25,17 @@ def _missing(df: DataFrame, column: str):
     return value.isNull()
 
 
-def profile_nulls(df: DataFrame, max_columns: int = MAX_PROFILE_COLUMNS) -> DataFrame:
-    """Columns with missing values (NULL or NaN), worst first."""
+def profile_nulls(df: DataFrame, max_columns: int | None = None) -> DataFrame:
+    """Columns with missing values (NULL or NaN), worst first; all of them unless ``max_columns`` asks for a top list."""
     row = df.agg(F.count(F.lit(1)).alias("_rows"),
                  *[F.count(F.when(_missing(df, c), 1)).alias(c) for c in df.columns])
-    return (
+    out = (
         row.unpivot(["_rows"], list(df.columns), "column_name", "null_count")
         .where(F.col("null_count") > 0)
         .select("column_name", "null_count", (F.col("null_count") * 100.0 / F.col("_rows")).alias("null_pct"))
-        .orderBy(F.col("null_count").desc(), "column_name").limit(max_columns)
+        .orderBy(F.col("null_count").desc(), "column_name")
     )
+    return out if max_columns is None else out.limit(max_columns)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
