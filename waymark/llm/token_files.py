@@ -11,7 +11,8 @@ repeated task leaves no half files:
 
 Tokenizing: a tokenizer that drops white space maps each white-space separated chunk on its own,
 so a worker keeps the ids of chunks it has met (a bounded number) and asks the library for new ones. A tokenizer
-that keeps white space is refused.
+that keeps white space is refused. Where the tokenizer itself parts letters from the marks behind them, texts are cut
+there too, and where it lower-cases, chunks of ASCII letters are known by their lower-case form: fewer chunks are new.
 
 Nulls and empties: a NULL or empty text is the end id alone. Rows that share a ``doc_id`` follow each
 other ordered by their ids; a NULL ``doc_id`` comes first. An empty table gives empty files.
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +41,11 @@ from waymark.session import Scratch
 
 CACHED_CHUNKS = 300_000
 JOINED = 50
+# Ids (or chunks) that are gathered, packed or unpacked at once, as far as texts are not longer themselves.
+IDS_AT_ONCE = 1 << 17
+MARKS = ".,;:!?"
+# Letters that no normal form joins with a mark, up to the end of Latin-1.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)
 KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 _tokenizers: dict = {}
@@ -46,8 +54,8 @@ _tokenizers: dict = {}
 class Encoder:
     """One tokenizer of a worker with the ids of the chunks met so far, laid end to end.
 
-    The library's own threads are switched off: a task has one core, and Spark runs the tasks side by side. At
-    ``CACHED_CHUNKS`` chunks all are forgotten; the frequent ones are soon back.
+    The library's own threads are switched off: a task has one core, and Spark runs the tasks side by side. Beyond
+    ``CACHED_CHUNKS`` chunks those found in most batches stay, at most half, and the others are forgotten.
     """
 
     def __init__(self, path: str):
@@ -57,7 +65,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.ids_of([" a  b\n", "a", "b"]) != self.ids_of(["a b", "a", "b"]) or self.ids_of(["a b"])[0] != sum(self.ids_of(["a", "b"]), []):
             raise ValueError("this tokenizer does not drop white space, so its ids do not follow from the chunks of a text")
-        self.forget()
+        self.cuts, self.folds = self.parts_marks(), self.lowers()
+        self.known = pa.array([], pa.string())
+        self.ids, self.ends, self.batches = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -65,9 +75,40 @@ class Encoder:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
+    def added(self) -> list[str]:
+        return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def normal(self, text: str) -> str:
+        return self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
+
+    def parts_marks(self) -> bool:
+        """Whether a piece always ends between one of ``LETTERS`` and one of ``MARKS``."""
+        pre = self.tokenizer.pre_tokenizer
+        if pre is None or any(m in t for t in self.added() for m in MARKS):
+            return False
+        letters = [chr(c) for c in range(256) if re.match(f"[{LETTERS}]", chr(c))]
+        return all(any(x == 2 for _, (x, _) in pre.pre_tokenize_str(f"q{c}{m}z")) and self.normal(f"q{c}{m}z") == f"q{self.normal(c)}{m}z" and len(self.normal(c)) == 1
+                   for c in letters for m in MARKS)
+
+    def lowers(self) -> bool:
+        """Whether words of ASCII letters are lower-cased: all pairs of letters, and no added token that is such a word."""
+        pairs = "".join(x + y for x in string.ascii_letters for y in string.ascii_letters)
+        return self.normal(pairs) == pairs.lower() and not any(t.isascii() and t.isalpha() for t in self.added())
+
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        often = np.argsort(-self.batches, kind="stable")[:CACHED_CHUNKS // 2]
+        often = np.sort(often[self.batches[often] > 1])
+        self.ids, self.ends = self.gathered(often)
+        self.known, self.batches = self.known.take(pa.array(often)), np.ones(len(often), np.int32)
+
+    def gathered(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known chunks one after another, and where each one's begin and the last one's end."""
+        upto = np.concatenate([[0], np.cumsum((self.ends[1:] - self.ends[:-1])[place])])
+        ids = np.empty(upto[-1], np.uint32)
+        for at in range(0, len(place), IDS_AT_ONCE):
+            some, own = place[at:at + IDS_AT_ONCE], upto[at:at + IDS_AT_ONCE + 1]
+            ids[own[0]:own[-1]] = self.ids[np.repeat(self.ends[some] - own[:-1], np.diff(own)) + np.arange(own[0], own[-1])]
+        return ids, upto
 
     def ids_of(self, chunks: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
@@ -83,43 +124,78 @@ class Encoder:
                 owner = np.searchsorted(begins, np.array([x for x, _ in e.offsets] or [0], np.int64), "right")
                 found.append(np.array(e.ids, np.uint32))
                 sizes.append(np.bincount(owner[:len(e.ids)], minlength=len(words)))
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        self.known = pa.concat_arrays([self.known, pa.array(chunks, pa.string())])
         self.ids = np.concatenate([self.ids, *found])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        self.batches = np.concatenate([self.batches, np.zeros(len(chunks), np.int32)])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text. Chunks are cut and numbered by Arrow, and the ids of all texts gathered at once."""
         if len(self.known) > CACHED_CHUNKS:
             self.forget()
-        chunks = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        texts = pc.fill_null(texts, "")
+        if self.cuts:
+            texts = pc.replace_substring_regex(texts, f"([{LETTERS}])([{MARKS}])", r"\1 \2")
+        chunks = pc.ascii_split_whitespace(texts)
         coded = chunks.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if new := [c for c in distinct if c not in self.known]:
-            self.learn(new)
-        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-        start, size = self.ends[place], self.ends[place + 1] - self.ends[place]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+        distinct = coded.dictionary.cast(pa.string())
+        if self.folds:
+            distinct = pc.if_else(pc.match_substring_regex(distinct, "^[A-Za-z]+$"), pc.ascii_lower(distinct), distinct)
+        places = pc.index_in(distinct, value_set=self.known)
+        if places.null_count:
+            missing, n = distinct.filter(places.is_null()).unique(), len(self.known)
+            self.learn(missing.to_pylist())
+            places = pc.coalesce(places, pc.add(pc.index_in(distinct, value_set=missing), n))
+        places = places.to_numpy().astype(np.int64)
+        self.batches[places] += 1
+        ids, upto = self.gathered(places[coded.indices.to_numpy()])
         borders = upto[np.concatenate([[0], np.cumsum(pc.list_value_length(chunks).to_numpy())])].tolist()
         return [ids[x:y] for x, y in itertools.pairwise(borders)]
 
 
+def runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows cut into stretches of about ``IDS_AT_ONCE`` ids."""
+    stretch = np.cumsum(sizes) // IDS_AT_ONCE
+    borders = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(sizes)]
+    return ((x, y) for x, y in itertools.pairwise(borders) if x < y)
+
+
+def cut_at(whole: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw = whole.tobytes()
+    return [raw[x:y] for x, y in itertools.pairwise([0, *ends.tolist()])]
+
+
+def pack_rows(ranks: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and data bytes of several sequences, whose ranks follow each other."""
+    ranks = ranks.astype("<u4")
+    wide = np.uint8(1) + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < wide[:, None]]
+    ends, control_ends = np.cumsum(sizes), np.cumsum(-(-sizes // 4))
+    codes = np.zeros(4 * int(control_ends[-1]), np.uint8)
+    codes[np.arange(len(ranks)) + np.repeat(4 * (control_ends + -sizes // 4) - (ends - sizes), sizes)] = wide - 1
+    codes = codes.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
+    return cut_at(control, control_ends), cut_at(data, np.concatenate([[0], np.cumsum(wide, dtype=np.int64)])[ends])
+
+
+def unpack_rows(control: list[bytes], data: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The ranks of several rows of a block file one after another."""
+    at_row = 4 * (np.cumsum(-(-sizes // 4)) + -sizes // 4) - (np.cumsum(sizes) - sizes)
+    wide = LENGTHS[np.frombuffer(b"".join(control), np.uint8)].ravel()[np.arange(int(sizes.sum())) + np.repeat(at_row, sizes)]
+    at = np.cumsum(wide) - wide
+    raw = np.frombuffer(b"".join([*data, b"\0\0\0"]), np.uint8).astype(np.uint32)
+    return (raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16 | raw[at + 3] << 24) & KEEP[wide]
+
+
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of a sequence of ranks."""
-    ranks = ranks.astype("<u4")
-    sizes = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < sizes[:, None]]
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[:len(ranks)] = sizes - 1
-    return (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8).tobytes(), data.tobytes()
+    (control,), (data,) = pack_rows(ranks, np.array([len(ranks)]))
+    return control, data
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` ranks of one row of a block file."""
-    sizes = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    at = np.cumsum(sizes) - sizes
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    return (raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16 | raw[at + 3] << 24) & KEEP[sizes]
+    return unpack_rows([control], [data], np.array([n]))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -132,13 +208,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
             ids = [packer.compress(ids.astype("<u4").tobytes() + end) for ids in encoder.encode(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    def unzipped(column: pd.Series) -> Iterator[np.ndarray]:
-        return (np.frombuffer(raw, "<u4") for raw in map(ZstdDecompressor().decompress, column))
+    def unzipped(column: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of many rows one after another and how many each row has."""
+        opener, raw, size = ZstdDecompressor(), [], 0
+        for zipped in column:
+            raw.append(opener.decompress(zipped))
+            size += len(raw[-1]) // 4
+            if size >= IDS_AT_ONCE:
+                yield np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) // 4 for x in raw])
+                raw, size = [], 0
+        if raw:
+            yield np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) // 4 for x in raw])
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in unzipped(b["ids"]):
+            for ids, _ in unzipped(b["ids"]):
                 seen = np.bincount(ids)
                 if len(seen) > len(total):
                     total = np.pad(total, (0, len(seen) - len(total)))
@@ -158,13 +243,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
         def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             done = 0
             for b in batches:
-                ranks = [rank_of[ids] for ids in unzipped(b["ids"])]
-                sizes = np.array([len(r) for r in ranks], np.int64)
+                control, data, sizes = [], [], [np.zeros(0, np.int64)]
+                for ids, n in unzipped(b["ids"]):
+                    for column, more in zip((control, data), pack_rows(rank_of[ids], n), strict=True):
+                        column.extend(more)
+                    sizes.append(n)
+                sizes = np.concatenate(sizes)
                 ends = done + np.cumsum(sizes)
                 done = int(ends[-1]) if len(ends) else done
-                parts = [pack(r) for r in ranks]
-                yield pd.DataFrame({"part": b["part"], "doc_id": b["doc_id"], "start_in_part": ends - sizes, "n_tokens": sizes,
-                                    "control": [c for c, _ in parts], "data": [d for _, d in parts]})
+                yield pd.DataFrame({"part": b["part"], "doc_id": b["doc_id"], "start_in_part": ends - sizes, "n_tokens": sizes, "control": control, "data": data})
 
         spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(order)), "id": np.array(order, np.int64)}), "rank long, id long").write.parquet(f"{path}/vocabulary")
         ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").withColumn("part", F.spark_partition_id())
@@ -180,8 +267,14 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
 
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = [vocabulary[unpack(c, d, n)] for c, d, n in zip(b["control"], b["data"], b["n_tokens"], strict=True)]
-            last = {"ids_crc32": [zlib.crc32(x.tobytes()) for x in ids]} if digest else {"ids": [x.astype(np.int64) for x in ids]}
+            control, data, sizes, rows = b["control"].tolist(), b["data"].tolist(), b["n_tokens"].to_numpy(np.int64), []
+            for x, y in runs(sizes):
+                ids = vocabulary[unpack_rows(control[x:y], data[x:y], sizes[x:y])]
+                if digest:
+                    rows += map(zlib.crc32, cut_at(ids, 4 * np.cumsum(sizes[x:y])))
+                else:
+                    rows += np.split(ids.astype(np.int64), np.cumsum(sizes[x:y])[:-1])
+            last = {"ids_crc32" if digest else "ids": rows}
             yield pd.DataFrame({"doc_id": b["doc_id"], "start": b["start"], "n_tokens": b["n_tokens"]} | last)
 
     blocks = spark.read.parquet(f"{path}/blocks").join(spark.read.parquet(f"{path}/parts"), "part")
