@@ -14,8 +14,10 @@ threshold: the lowest at which ``PRECISION`` of the held-out examples are to be
 
 Only built-in expressions and the JVM's boosted trees touch rows. The patterns are written so that a long run of equal
 characters is passed once: a match starts at the start of a run or where the last match ended, and repeats are
-possessive. The trees learn from at most ``SAMPLE_ROWS`` base spans and as many proposals, the ones with the smallest hash,
-half of which set the threshold; every proposal is judged.
+possessive. The trees learn from all base spans and all proposals to refuse, half of which set the threshold. Examples with
+the same features and label become one row with their number as its weight, so that learning grows with the kinds of
+examples. The trees' splits lie between values of all these rows, up to a million of them (beyond, Spark ML picks the
+splits to try from a million, and still weighs each by all rows). Every proposal is judged.
 
 Offsets are code points, the end is exclusive. Nulls and empties: a NULL text is empty and has no spans. Repeated rows
 are judged separately. With too few proposals to learn from nothing is added. An empty table gives an empty
@@ -24,6 +26,8 @@ table; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,9 +37,9 @@ from pyspark.sql import functions as F
 from waymark.llm.text import let
 from waymark.session import Scratch
 
-SAMPLE_ROWS = 10_000
 LEAST_OF_EACH = 25
 PRECISION = 0.9
+MOST_BINS = 1_000
 CONTEXT = 24
 KINDS = ("email", "ip", "card", "phone")
 _MAIL = "[A-Za-z0-9._%+-]"
@@ -164,30 +168,38 @@ def overlaps(df: DataFrame, which: Column) -> DataFrame:
 
 
 def examples(found: DataFrame, scratch: Scratch) -> DataFrame:
-    """``use, label`` and features of rewritten base spans and of proposals to refuse."""
-    order = (F.xxhash64("row", "start", "generator"), "row", "start", "generator")
-    made = scratch.keep(rewritten(found.where("base").orderBy(*order).limit(SAMPLE_ROWS)), "rewritten")
-    taken = made.where("label = 1").select("form").distinct()  # at most SAMPLE_ROWS forms
-    plain = found.where("not base and not touched").join(F.broadcast(taken), "form", "left_anti").orderBy(*order).limit(SAMPLE_ROWS)
-    every = made.unionByName(plain.select("row", "start", F.lit(0.0).alias("label"), "form", *FEATURES))
-    return scratch.keep(every.withColumn("use", F.pmod(F.xxhash64("start", "row"), F.lit(2))), "examples")
+    """``use, label``, features and ``weight`` (how many) of all rewritten base spans and proposals to refuse."""
+    kinds = ["use", "label", "form", *FEATURES]
+
+    def counted(df: DataFrame) -> DataFrame:
+        return df.withColumn("use", F.pmod(F.xxhash64("start", "row"), F.lit(2))).groupBy(*kinds).agg(F.count(F.lit(1)).alias("n"))
+
+    made = scratch.keep(counted(rewritten(found.where("base"))), "rewritten")
+    taken = made.where("label = 1").select("form").distinct()
+    plain = counted(found.where("not base and not touched").withColumn("label", F.lit(0.0))).join(taken, "form", "left_anti")
+    every = made.unionByName(plain).groupBy("use", "label", *FEATURES).agg(F.sum("n").cast("double").alias("weight"))
+    # In a fixed order, so that a rerun adds up the same sums.
+    return scratch.keep(every.sortWithinPartitions("use", "label", *FEATURES), "examples")
 
 
 def added(found: DataFrame, scratch: Scratch) -> DataFrame | None:
     """``row, kind, start, end`` of the proposals the trees select; None if there is too little to learn from."""
-    sample = examples(found, scratch)
-    seen = {(r["use"], r["label"]): r["count"] for r in sample.groupBy("use", "label").count().collect()}
-    if min(seen.get((u, y), 0) for u in (0, 1) for y in (0.0, 1.0)) < LEAST_OF_EACH:
+    every = examples(found, scratch)
+    seen = {(r["use"], r["label"]): r for r in every.groupBy("use", "label").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
+    if min(seen[u, y]["n"] if (u, y) in seen else 0 for u in (0, 1) for y in (0.0, 1.0)) < LEAST_OF_EACH:
         return None
+    # With as many bins as the root of the rows, Spark ML looks at all rows for the splits to try.
+    bins = min(max(32, math.isqrt(sum(r["rows"] for (u, _), r in seen.items() if u == 0)) + 1), MOST_BINS)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = GBTClassifier(maxIter=20, maxDepth=4, seed=5, labelCol="label").fit(vector.transform(sample.where("use = 0")))
+    trees = GBTClassifier(maxIter=20, maxDepth=4, maxBins=bins, seed=5, labelCol="label", weightCol="weight")
+    model = trees.fit(vector.transform(every.where("use = 0")))
 
     def judged(df: DataFrame) -> DataFrame:
         return model.transform(vector.transform(df)).withColumn("p", vector_to_array("probability")[1])
 
-    bins = judged(sample.where("use = 1")).groupBy(F.floor(F.col("p") * 100).alias("bin")).agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
-    threshold, good, n = None, 0.0, 0
-    for r in sorted(bins.collect(), key=lambda r: -r["bin"]):  # at most 101 rows
+    levels = judged(every.where("use = 1")).groupBy(F.floor(F.col("p") * 100).alias("bin")).agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
+    threshold, good, n = None, 0.0, 0.0
+    for r in sorted(levels.collect(), key=lambda r: -r["bin"]):  # at most 101 rows
         good, n = good + r["good"], n + r["n"]
         if good >= PRECISION * n:
             threshold = r["bin"] / 100
