@@ -50,6 +50,8 @@ CANDIDATES = (
 )
 #: Boosting rounds at most, and rounds without a better one after which it stops.
 MAX_ROUNDS, PATIENCE = 40, 5
+#: Training rows of one part.
+ROWS_PER_PART = 65_536
 COLD_START = ("avg_duration_7d_zone_hour", "avg_fare_30d_zone")
 MODEL_COLUMNS = (*S.FEATURES, *[f"{c}_missing" for c in COLD_START])
 
@@ -68,11 +70,22 @@ def _regressor(c: Candidate, rounds: int, seed: int) -> GBTRegressor:
         subsamplingRate=c.subsample, featureSubsetStrategy=str(c.feature_fraction), seed=seed, cacheNodeIds=True)
 
 
+def spread_rows(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """``df`` stored in even parts of about ``ROWS_PER_PART`` rows; as it is where it fits one part.
+
+    Boosting passes over its rows several times a round, one task a part: a file of few row groups would keep most cores idle.
+    """
+    rows = df.count()
+    return df if rows <= ROWS_PER_PART else scratch.keep(df.repartition(-(-rows // ROWS_PER_PART)), "rows")
+
+
 def fit(df: DataFrame, candidate: Candidate, cap: float, rounds: int, seed: int = 42) -> PipelineModel:
     """Boosted trees on the log target; a model over plain feature columns."""
-    frame = with_model_columns(df).withColumn("target", to_log_target(F.col(S.LABEL), cap))
     assembler = VectorAssembler(inputCols=list(MODEL_COLUMNS), outputCol="features")
-    return Pipeline(stages=[assembler, _regressor(candidate, rounds, seed)]).fit(frame)
+    with Scratch(df.sparkSession, "fit") as scratch:
+        rows = spread_rows(df.select(*S.FEATURES, S.LABEL), scratch)
+        frame = with_model_columns(rows).withColumn("target", to_log_target(F.col(S.LABEL), cap))
+        return Pipeline(stages=[assembler, _regressor(candidate, rounds, seed)]).fit(frame)
 
 
 def score(df: DataFrame, model: PipelineModel, cap: float, output: str = "prediction_seconds") -> DataFrame:
