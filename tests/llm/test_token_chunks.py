@@ -1,5 +1,9 @@
 """Chunks of the token files: few new ones, and the ids of whole-text encoding."""
 
+import os
+import subprocess
+import sys
+
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -53,3 +57,33 @@ def test_rows_packed_together(monkeypatch, at_once):
     got = [token_files.unpack_rows(control[x:y], data[x:y], sizes[x:y]) for x, y in token_files.runs(sizes)]
     assert np.concatenate(got).tolist() == np.concatenate(rows).tolist()
     assert list(token_files.runs(sizes))[0][0] == 0 and list(token_files.runs(sizes))[-1][1] == len(sizes)
+
+
+LONG_TEXTS = """
+import numpy as np, public_tokenizers, pyarrow as pa
+from waymark.llm import token_files
+e = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+text = " ".join(f"word{k % 500}" for k in range(60_000))
+texts = pa.array([text] * 60 + [None, ""], pa.string())
+before = pa.total_allocated_bytes()
+got = e.encode(texts)
+want = np.array(e.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+assert len(got) == 62 and all((x == want).all() for x in got[:60]) and not len(got[60]) and not len(got[61])
+print((pa.default_memory_pool().max_memory() - before) / len(text))
+"""
+
+
+def test_memory_does_not_follow_the_texts_of_a_batch():
+    """Arrow's buffers for sixty long texts: the size of some, not of all."""
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    run = subprocess.run([sys.executable, "-c", LONG_TEXTS], env=env, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert float(run.stdout) < 60
+
+
+@pytest.mark.parametrize("sizes", [[], [0, 0], [5], [3, 3, 0, 9, 1, 1], [100, 0, 100]])
+def test_stretches_hold_every_row_once(sizes):
+    import numpy as np
+
+    got = [k for x, y in token_files.runs(np.array(sizes, np.int64), 4) for k in range(x, y)]
+    assert got == list(range(len(sizes)))

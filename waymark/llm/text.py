@@ -40,11 +40,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def lower_to(spark: SparkSession, name: str, rows: int) -> None:
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def bound_reads(spark: SparkSession, rows: int = 512) -> None:
+    """Lower the number of rows that Parquet scans hold at once, whose columns are arrays of the JVM's heap, for whole texts.
+
+    Like :func:`bound_batches` this is a setting of the session that stays.
+    """
+    lower_to(spark, "spark.sql.parquet.columnarReaderBatchSize", rows)
+
+
 def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
-    """Lower the number of rows that reach a Python worker at once, for rows that are whole texts.
+    """Lower the number of rows that reach a Python worker, or are read, at once, for rows that are whole texts.
 
     This is a setting of the session; it stays, as results are computed after an operator returns.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+    lower_to(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    bound_reads(spark)

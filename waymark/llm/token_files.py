@@ -41,8 +41,9 @@ from waymark.session import Scratch
 
 CACHED_CHUNKS = 300_000
 JOINED = 50
-# Ids (or chunks) that are gathered, packed or unpacked at once, as far as texts are not longer themselves.
+# Ids (or chunks) that are gathered, packed or unpacked at once, and bytes cut into chunks at once, as far as texts are not longer themselves.
 IDS_AT_ONCE = 1 << 17
+BYTES_AT_ONCE = 1 << 22
 MARKS = ".,;:!?"
 # Letters that no normal form joins with a mark, up to the end of Latin-1.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -130,7 +131,12 @@ class Encoder:
         self.batches = np.concatenate([self.batches, np.zeros(len(chunks), np.int32)])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text. Chunks are cut and numbered by Arrow, and the ids of all texts gathered at once."""
+        """The ids of each text. A batch is taken in stretches, so that its memory does not grow with the length of its texts."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        return [ids for x, y in runs(sizes, BYTES_AT_ONCE) for ids in self.encode_stretch(texts.slice(x, y - x))]
+
+    def encode_stretch(self, texts: pa.Array) -> list[np.ndarray]:
+        """Chunks are cut and numbered by Arrow, and the ids of all texts gathered at once."""
         if len(self.known) > CACHED_CHUNKS:
             self.forget()
         texts = pc.fill_null(texts, "")
@@ -153,9 +159,9 @@ class Encoder:
         return [ids[x:y] for x, y in itertools.pairwise(borders)]
 
 
-def runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Rows cut into stretches of about ``IDS_AT_ONCE`` ids."""
-    stretch = np.cumsum(sizes) // IDS_AT_ONCE
+def runs(sizes: np.ndarray, at_once: int | None = None) -> Iterator[tuple[int, int]]:
+    """Rows cut into stretches of about ``at_once`` (else ``IDS_AT_ONCE``) ids or bytes."""
+    stretch = np.cumsum(sizes, dtype=np.int64) // (at_once or IDS_AT_ONCE)
     borders = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(sizes)]
     return ((x, y) for x, y in itertools.pairwise(borders) if x < y)
 
@@ -207,6 +213,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
         for b in batches:
             ids = [packer.compress(ids.astype("<u4").tobytes() + end) for ids in encoder.encode(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        ids = None
+        pa.default_memory_pool().release_unused()  # the worker stays, idle, beside those of the next stages
 
     def unzipped(column: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of many rows one after another and how many each row has."""
