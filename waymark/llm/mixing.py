@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.text import word_count
+from waymark.llm.text import bound_reads, word_count
 from waymark.session import Scratch, broadcast_if_small
 
 CAP = 3
@@ -158,6 +158,7 @@ def mix(docs: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) ->
     hash and the limit of its class; classes are joined, not rows, and no text is shuffled while they are few.
     Equal rows (by 128 bits) cannot be told apart: one of them stands for the pooled copies of all.
     """
+    bound_reads(docs.sparkSession)
     keys = ["_key", "_key1"]
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(*docs.columns).alias("_key"), F.xxhash64(F.lit("mix"), *docs.columns).alias("_key1"), "source", "text")
     with Scratch(docs.sparkSession, "mix") as scratch:

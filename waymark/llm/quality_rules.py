@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.text import SPACE, let, lines, words
+from waymark.llm.text import SPACE, bound_reads, let, lines, words
 from waymark.session import Scratch, broadcast_if_small
 
 MIN_WORDS = 50
@@ -133,6 +133,7 @@ def filter_documents(docs: DataFrame, host: str = "source", text: str = "text",
     The base rules are read off each row again instead of joining stored verdicts back, so no text is shuffled; only the
     refused hosts are joined, broadcast after a count, else spread over ``SALTS`` keys.
     """
+    bound_reads(docs.sparkSession)
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col(host).alias("_own_host"), F.col(text).alias("_text"))
     with Scratch(docs.sparkSession, "quality-rules") as scratch:
         rules = scratch.keep(document_rules(own.select("_own_host", "_text"), "_text").select("_own_host", "base_failed", "failed"), "measures")
