@@ -110,3 +110,37 @@ def test_long_stretch_and_empty_table(spark):
     assert row[0].doc_id is None and row[0].n_a > 0 and row[0].n_links > 0 and tuple(row[1]) == (3, 0, 0, 0, 0, 0, 0, "")
     none = token_alignment.align(frame(spark, []).limit(0), *FILES)
     assert none.count() == 0
+
+
+def test_texts_are_encoded_once(spark):
+    texts = [soup(k) for k in range(40)] + [None, ""]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    docs = frame(spark, texts).select("doc_id", "text")
+    out = token_alignment.align(docs.mapInArrow(counted, docs.schema), *FILES).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in out} == dict(enumerate(expected(texts)))
+    assert seen.value == len(texts)
+
+
+@pytest.mark.parametrize("frequent", [1_000_000, 0])
+def test_repeated_links_of_large_groups(spark, frequent, monkeypatch):
+    monkeypatch.setattr(token_alignment, "PAIRS_AT_ONCE", 3)
+    texts = ["z" * 1_501 + " and " + "z" * 1_501, "z" * 1_501, "and and", "and zz"]
+    ids = [token_alignment.Aligner.at(*FILES)._encode([texts[1]])[k] for k in (0, 1)]
+    assert len(ids[0]) * len(ids[1]) > token_alignment.LARGE_GROUP
+    found = {r.doc_id: tuple(r)[1:] for r in token_alignment.align(frame(spark, texts), *FILES, frequent=frequent).collect()}
+    assert found == dict(enumerate(expected(texts)))
+
+
+def test_links_of_long_texts(monkeypatch):
+    aligner = token_alignment.Aligner.at(*FILES)
+    places = aligner.places(pa.array([soup(2_000 + k) * 3 for k in range(30)] + ["a z" + "z" * 1_500 + " a a"]))
+    whole = [[x.tolist() for x in aligner.links(p)] for p in places]
+    monkeypatch.setattr(token_alignment, "LONG_TEXT", 0)
+    assert [[x.tolist() for x in aligner.links(p)] for p in places] == whole
+    assert [sum(times) for _, times in whole] == [int(aligner.numbers[p, 4].sum()) for p in places]

@@ -9,10 +9,10 @@ pattern starts a new piece there, and no piece of the other vocabulary has a spa
 loaded; otherwise whole texts are encoded). So a text is a sequence of stretches, and a worker remembers what it
 learned of a stretch; at ``CACHED`` stretches it forgets all of them and goes on. New stretches are encoded end to end.
 
-Counts. One pass counts, per pair of ids, the documents that hold it linked; a task adds up its own before
-anything is shuffled. A second pass needs the count of every link. The most frequent pairs, at most
-``FREQUENT`` of them, are broadcast; links of other pairs leave the task as rows and are joined with the counts, so
-the result is exact at any number of pairs. A group of very many tokens is held as distinct ids with their numbers.
+Counts. Texts are encoded once: a row keeps its distinct id pairs and how often it holds each. From these rows the
+documents of each pair are counted, and a second pass over them adds up the counts without any text. The most frequent
+pairs, at most ``FREQUENT`` of them, are broadcast; links of other pairs leave the task as rows and are joined with the
+counts, so the result is exact at any number of pairs. A group of very many tokens is held as distinct ids with their numbers.
 
 Nulls and empties: a NULL or empty text, and one whose tokens do not give back its bytes, has no tokens: zeros and an
 empty digest. Rows that share a ``doc_id`` are documents of their own; a NULL ``doc_id`` stays. An empty table gives
@@ -39,6 +39,8 @@ from waymark.session import Scratch
 CACHED = 500_000
 FREQUENT = 1_000_000
 ROUND_CHARS = 100_000
+PAIRS_AT_ONCE = 1_000_000
+LONG_TEXT = 65_536
 LARGE_GROUP = 4_096
 SPACE_MARK = "▁"
 #: A lone space at the end of a text stays with the word before: the second library gives no token for it alone.
@@ -47,6 +49,8 @@ BORDER = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 UNEVEN = "^ | $|[" + "".join(f"\\x{{{ord(c):x}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "] "
 ID_BITS = 32
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+TOKENS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+LINKED = f"{TOKENS}, pairs array<long>, times array<long>"
 _aligners: dict = {}
 
 
@@ -70,6 +74,24 @@ def last_of_component(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarra
     return succ[:n] - n, succ[n:] - n
 
 
+def offsets(sizes: np.ndarray) -> np.ndarray:
+    """Where each of some lists laid end to end begins, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def names_of(fields: str) -> list[str]:
+    return [f.split()[0] for f in fields.split(", ")]
+
+
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets(sizes), pa.int32()), pa.array(values, pa.int64()))
+
+
+def room(held: np.ndarray, size: int) -> np.ndarray:
+    """``held`` with place for ``size`` rows, at least doubled where it grows."""
+    return held if size <= len(held) else np.concatenate([held, np.zeros((max(size, 2 * len(held)) - len(held), *held.shape[1:]), held.dtype)])
+
+
 class Aligner:
     """Both tokenizers of a worker with the stretches met so far."""
 
@@ -88,8 +110,7 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(names)]
         self.in_stretches = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in names)
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in some], np.int64) for some in (self.a_bytes, self.b_bytes))
-        self.a_names, self.b_names = ([str(i) for i in range(len(some))] for some in (self.a_bytes, self.b_bytes))
-        self.counts = None
+        self.a_names, self.b_names = (pa.array([str(i) for i in range(len(some))], pa.large_string()) for some in (self.a_bytes, self.b_bytes))
         self.forget()
 
     @classmethod
@@ -101,17 +122,14 @@ class Aligner:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.pair_at: dict[int, int] = {}
-        self.pairs: list[int] = []
-        self.linked: list[np.ndarray] = []  # per stretch, places in pairs
-        self.rare: list = []  # per stretch, (keys, numbers) of links without a broadcast count
         self.groups: list[str] = []
-        self.numbers = np.zeros((0, 7), np.int64)  # faults, tokens of A, of B, groups, links, best, counts
+        self.numbers = np.zeros((0, 5), np.int64)  # faults, tokens of A, of B, groups, links
+        self.first = np.zeros(1, np.int64)  # where the links of each stretch begin, and those of the next one would
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def use(self, counts: tuple | None) -> None:
-        """Counts of frequent pairs for the second pass, or None to count; another set starts afresh."""
-        if counts is not self.counts:
-            self.counts = counts
+    def use(self, most: int | None = None) -> None:
+        """Forget all stretches once there are more than ``most``, or ``CACHED``."""
+        if len(self.known) > (CACHED if most is None else most):
             self.forget()
 
     def stretches(self, text: str) -> list[str]:
@@ -166,19 +184,21 @@ class Aligner:
                     alone = self._encode([s]) if len(unit) > 1 else None
                     good.append(([s], *alone)) if alone else bad.append(s)
         if bad:
-            self._add(bad, np.array([[1, 0, 0, 0, 0, 0, 0]] * len(bad), np.int64), [""] * len(bad), [np.zeros(0, np.int64)] * len(bad), [None] * len(bad))
+            none = np.zeros(0, np.int64)
+            self._add(bad, np.array([[1, 0, 0, 0, 0]] * len(bad), np.int64), [""] * len(bad), none, none, np.zeros(len(bad) + 1, np.int64))
         for unit, a, b, sizes in good:
             self._align(unit, a, b, sizes)
 
-    def _add(self, stretches, numbers, groups, linked, rare) -> None:
+    def _add(self, stretches, numbers, groups, pairs, times, cuts) -> None:
+        """Remember stretches; ``cuts`` tell where the links of each begin among ``pairs``, and where they end."""
         at = len(self.groups)
-        self.known.update(zip(stretches, range(at, at + len(stretches)), strict=True))
-        if at + len(stretches) > len(self.numbers):
-            self.numbers = np.concatenate([self.numbers, np.zeros((at + 2 * len(stretches), 7), np.int64)])
-        self.numbers[at:at + len(stretches)] = numbers
+        to, old = at + len(stretches), int(self.first[at])
+        self.known.update(zip(stretches, range(at, to), strict=True))
+        self.numbers, self.first = room(self.numbers, to), room(self.first, to + 1)
+        self.pairs, self.times = room(self.pairs, old + len(pairs)), room(self.times, old + len(pairs))
+        self.numbers[at:to], self.first[at:to + 1] = numbers, old + cuts
+        self.pairs[old:old + len(pairs)], self.times[old:old + len(pairs)] = pairs, times
         self.groups += groups
-        self.linked += linked
-        self.rare += rare
 
     def _align(self, stretches: list[str], a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> None:
         n, ends_b = len(stretches), np.cumsum(self.b_sizes[b])
@@ -206,41 +226,20 @@ class Aligner:
         keys, number, owner = keys[order], number[order], owner[order]
         cuts = np.searchsorted(owner, np.arange(n + 1))
 
-        sums = np.zeros((n, 7), np.int64)
+        sums = np.zeros((n, 5), np.int64)
         of_a, of_b = place[group_a], place[group_b]
         sums[:, 1], sums[:, 2] = np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n)
         sums[:, 3] = np.bincount(place, minlength=n)
         np.add.at(sums[:, 4], owner, number)
-        linked, rare, groups = [np.zeros(0, np.int64)] * n, [None] * n, [""] * n
-        if self.counts is None:
-            distinct, inverse = np.unique(keys, return_inverse=True)
-            for key in distinct.tolist():
-                if key not in self.pair_at:
-                    self.pair_at[key] = len(self.pairs)
-                    self.pairs.append(key)
-            local = np.fromiter(map(self.pair_at.__getitem__, distinct.tolist()), np.int64, len(distinct))[inverse]
-            linked = [local[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        else:
-            known, count, best = self.counts
-            at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
-            hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-            np.add.at(sums[:, 5], owner[hit], number[hit] * best[at[hit]])
-            np.add.at(sums[:, 6], owner[hit], number[hit] * count[at[hit]])
-            miss = np.flatnonzero(~hit)
-            for k in np.unique(owner[miss]).tolist():
-                some = miss[(miss >= cuts[k]) & (miss < cuts[k + 1])] if len(miss) < 64 else np.arange(cuts[k], cuts[k + 1])[~hit[cuts[k]:cuts[k + 1]]]
-                rare[k] = keys[some], number[some]
-            groups = self._names(a, b, count_a, count_b, place, n)
-        self._add(stretches, sums, groups, linked, rare)
-
-    def _names(self, a, b, count_a, count_b, place, n: int) -> list[str]:
-        """The groups of each stretch as text."""
-        left, right = list(map(self.a_names.__getitem__, a.tolist())), list(map(self.b_names.__getitem__, b.tolist()))
-        each, x, y = [[] for _ in range(n)], 0, 0
-        for k, p, q in zip(place.tolist(), count_a.tolist(), count_b.tolist(), strict=True):
-            each[k].append(f"{','.join(left[x:x + p])}|{','.join(right[y:y + q])}")
-            x, y = x + p, y + q
-        return [";".join(some) for some in each]
+        self._add(stretches, sums, self._names(a, b, count_a, count_b, np.bincount(place, minlength=n)), keys, number, cuts)
+
+    def _names(self, a, b, count_a, count_b, count) -> list[str]:
+        """The groups of each stretch as text, from the tokens of each group on either side and the groups of each stretch."""
+        def joined(names: pa.Array, sizes: np.ndarray, mark: str) -> pa.Array:
+            return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets(sizes), pa.int64()), names), pa.scalar(mark, names.type))
+
+        left, right = joined(self.a_names.take(pa.array(a)), count_a, ","), joined(self.b_names.take(pa.array(b)), count_b, ",")
+        return joined(pc.binary_join_element_wise(left, right, pa.scalar("|", left.type)), count, ";").to_pylist()
 
     def places(self, texts: pa.Array) -> list[np.ndarray]:
         """The stretches of each text, as places in what is known."""
@@ -253,32 +252,52 @@ class Aligner:
         place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
         return [place[x:x + k] for x, k in zip(start.tolist(), n.tolist(), strict=True)]
 
-
-def pair_counts(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """``pair, n``: in how many rows of ``docs(text)`` each pair of ids is linked."""
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def links(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs linked in a text of these stretches, ascending, and how often each is."""
+        often = None
+        if len(places) > LONG_TEXT:  # which repeats most of its stretches, so each is laid out once
+            places, often = np.unique(places, return_counts=True)
+        begin, size = self.first[places], self.first[places + 1] - self.first[places]
+        at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        times = self.times[at] if often is None else self.times[at] * np.repeat(often, size)
+        if (times == 1).all():
+            return np.unique(self.pairs[at], return_counts=True)
+        pairs, inverse = np.unique(self.pairs[at], return_inverse=True)
+        total = np.zeros(len(pairs), np.int64)
+        np.add.at(total, inverse, times)
+        return pairs, total
+
+
+def linked(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+    """Per row of ``docs(doc_id, text)`` its tokens and groups, its distinct linked pairs and how often it holds each; see ``LINKED``."""
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner.at(byte_level, pieces)
-        aligner.use(None)
-        seen = np.zeros(0, np.int64)
+        nothing = 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-        def given() -> pa.RecordBatch:
-            held = np.flatnonzero(seen)
-            return pa.RecordBatch.from_pydict({"pair": np.array(aligner.pairs, np.int64)[held], "n": seen[held]})
+        def given(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+            *sums, digests, pairs, times = zip(*rows, strict=True)
+            sizes = np.array([len(p) for p in pairs], np.int64)
+            columns = [ids, *(pa.array(c, pa.int64()) for c in sums), pa.array(digests, pa.string()), *(lists(np.concatenate(c), sizes) for c in (pairs, times))]
+            return pa.RecordBatch.from_arrays(columns, names_of(LINKED))
 
         for b in batches:
-            for places in aligner.places(b.column("text")):
-                if len(seen) < len(aligner.pairs):
-                    seen = np.pad(seen, (0, 2 * len(aligner.pairs) - len(seen)))
-                if len(places) and not aligner.numbers[places, 0].any():
-                    # A place that occurs twice in the index is still raised by one: a document counts once.
-                    seen[np.concatenate([aligner.linked[k] for k in set(places.tolist())])] += 1
-            if len(aligner.known) > CACHED:
-                yield given()
-                seen = np.zeros(0, np.int64)
-                aligner.forget()
-        yield given()
+            rows, at, held = [], 0, 0
+            for places in aligner.places(b.column("text")) if b.num_rows else []:
+                sums = aligner.numbers[places].sum(0).tolist()
+                if not len(places) or sums[0]:
+                    rows.append(nothing)
+                    continue
+                digest = hashlib.sha256(";".join(map(aligner.groups.__getitem__, places.tolist())).encode()).hexdigest()
+                rows.append((*sums[1:], digest, *aligner.links(places)))
+                held += len(rows[-1][-1])
+                if held >= PAIRS_AT_ONCE:
+                    yield given(b.column("doc_id").slice(at, len(rows)), rows)
+                    rows, at, held = [], at + len(rows), 0
+            if rows:
+                yield given(b.column("doc_id").slice(at), rows)
+            aligner.use()
 
-    return docs.select("text").mapInArrow(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return docs.select("doc_id", "text").mapInArrow(aligned, LINKED)
 
 
 def most_frequent(rated: DataFrame, bound: int) -> tuple[tuple, bool]:
@@ -303,43 +322,33 @@ def align(docs: DataFrame, byte_level: str, pieces: str, frequent: int = FREQUEN
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bound_batches(spark)
     with Scratch(spark, "alignment") as scratch:
-        counts = scratch.keep(pair_counts(docs, byte_level, pieces).withColumn("a", F.shiftright("pair", ID_BITS)), "counts")
+        links = scratch.keep(linked(docs, byte_level, pieces), "links")
+        counts = links.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+        counts = scratch.keep(counts.withColumn("a", F.shiftright("pair", ID_BITS)), "counts")
         most = counts.groupBy("a").agg(F.max("n").alias("most"))  # a row per id of the vocabulary
         rated = scratch.keep(counts.join(F.broadcast(most), "a").select("pair", "n", (F.col("n") == F.col("most")).cast("int").alias("best")), "rated")
         table, whole = most_frequent(rated, frequent)
         shared = spark.sparkContext.broadcast(table)
+        fields = f"{TOKENS}, n_best long, count_sum long, rare array<long>, times array<long>"
 
-        def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            aligner = Aligner.at(byte_level, pieces)
-            aligner.use(shared.value)
-            types = [pa.int64()] * 6 + [pa.string()] + [pa.list_(pa.int64())] * 2
-            names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare", "times"]
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, count, best = shared.value
             for b in batches:
-                if not b.num_rows:
-                    continue
-                rows = []
-                for places in aligner.places(b.column("text")):
-                    sums = aligner.numbers[places].sum(0).tolist()
-                    if not len(places) or sums[0]:
-                        rows.append((0, 0, 0, 0, 0, 0, "", None, None))
-                        continue
-                    at = places.tolist()
-                    digest = hashlib.sha256(";".join(map(aligner.groups.__getitem__, at)).encode()).hexdigest()
-                    rare = [r for r in map(aligner.rare.__getitem__, at) if r]
-                    keys, number = map(np.concatenate, zip(*rare, strict=True)) if rare else (None, None)
-                    rows.append((*sums[1:], digest, keys, number))
-                columns = [b.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))]
-                yield pa.RecordBatch.from_arrays(columns, names)
-                if len(aligner.known) > CACHED:
-                    aligner.forget()
-
-        found = docs.mapInArrow(aligned, f"{RESULT}, rare array<long>, times array<long>")
+                ends = offsets(pc.list_value_length(b.column("pairs")).to_numpy(zero_copy_only=False).astype(np.int64))
+                pairs, times = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("pairs", "times"))
+                at = np.minimum(np.searchsorted(known, pairs), max(len(known) - 1, 0))
+                hit = known[at] == pairs if len(known) else np.zeros(len(pairs), bool)
+                sums = [offsets(np.where(hit, times * some[at], 0) if len(known) else np.zeros(len(pairs), np.int64)) for some in (best, count)]
+                missed = np.diff(offsets(~hit)[ends])
+                added = [pa.array(np.diff(some[ends]), pa.int64()) for some in sums] + [lists(some[~hit], missed) for some in (pairs, times)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-2], *added], names_of(fields))
+
+        found = links.mapInArrow(summed, fields)
         if whole:
-            return scratch.result(found.drop("rare", "times"))
+            return scratch.result(found.select(names_of(RESULT)))
         found = scratch.keep(found.withColumn("row", F.monotonically_increasing_id()), "rows")
-        loose = found.where("rare is not null").select("row", F.explode(F.arrays_zip("rare", "times")).alias("link"))
-        loose = loose.groupBy("row", F.col("link.rare").alias("pair")).agg(F.sum("link.times").alias("times"))
+        loose = found.select("row", F.explode(F.arrays_zip("rare", "times")).alias("link")).select("row", F.col("link.rare").alias("pair"), "link.times")
         more = loose.join(rated, "pair").groupBy("row").agg(F.sum(F.col("times") * F.col("best")).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_counts"))
         full = found.join(more, "row", "left").withColumn("n_best", F.col("n_best") + F.coalesce("more_best", F.lit(0)))
         full = full.withColumn("count_sum", F.col("count_sum") + F.coalesce("more_counts", F.lit(0)))
-        return scratch.result(full.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"))
+        return scratch.result(full.select(names_of(RESULT)))
