@@ -88,8 +88,8 @@ def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def room(held: np.ndarray, size: int) -> np.ndarray:
-    """``held`` with place for ``size`` rows, at least doubled where it grows."""
-    return held if size <= len(held) else np.concatenate([held, np.zeros((max(size, 2 * len(held)) - len(held), *held.shape[1:]), held.dtype)])
+    """``held`` with place for ``size`` rows, at least a quarter more where it grows."""
+    return held if size <= len(held) else np.concatenate([held, np.zeros((max(size, 5 * len(held) // 4) - len(held), *held.shape[1:]), held.dtype)])
 
 
 class Aligner:
@@ -125,7 +125,8 @@ class Aligner:
         self.groups: list[str] = []
         self.numbers = np.zeros((0, 5), np.int64)  # faults, tokens of A, of B, groups, links
         self.first = np.zeros(1, np.int64)  # where the links of each stretch begin, and those of the next one would
-        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.int64)
+        self.times: dict[int, np.ndarray] = {}  # how often each pair counts, for stretches with a very large group
 
     def use(self, most: int | None = None) -> None:
         """Forget all stretches once there are more than ``most``, or ``CACHED``."""
@@ -195,9 +196,10 @@ class Aligner:
         to, old = at + len(stretches), int(self.first[at])
         self.known.update(zip(stretches, range(at, to), strict=True))
         self.numbers, self.first = room(self.numbers, to), room(self.first, to + 1)
-        self.pairs, self.times = room(self.pairs, old + len(pairs)), room(self.times, old + len(pairs))
+        self.pairs = room(self.pairs, old + len(pairs))
         self.numbers[at:to], self.first[at:to + 1] = numbers, old + cuts
-        self.pairs[old:old + len(pairs)], self.times[old:old + len(pairs)] = pairs, times
+        self.pairs[old:old + len(pairs)] = pairs
+        self.times |= {at + k: times[cuts[k]:cuts[k + 1]].copy() for k in np.flatnonzero(numbers[:, 4] > np.diff(cuts)).tolist()}
         self.groups += groups
 
     def _align(self, stretches: list[str], a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> None:
@@ -259,9 +261,14 @@ class Aligner:
             places, often = np.unique(places, return_counts=True)
         begin, size = self.first[places], self.first[places + 1] - self.first[places]
         at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
-        times = self.times[at] if often is None else self.times[at] * np.repeat(often, size)
-        if (times == 1).all():
+        large = [k for k, p in enumerate(places.tolist()) if p in self.times] if self.times else []
+        if often is None and not large:
             return np.unique(self.pairs[at], return_counts=True)
+        times, end = np.ones(len(at), np.int64), np.cumsum(size)
+        for k in large:
+            times[end[k] - size[k]:end[k]] = self.times[int(places[k])]
+        if often is not None:
+            times *= np.repeat(often, size)
         pairs, inverse = np.unique(self.pairs[at], return_inverse=True)
         total = np.zeros(len(pairs), np.int64)
         np.add.at(total, inverse, times)
